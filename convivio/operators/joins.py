@@ -96,11 +96,12 @@ def shard_matrix(edges: DataFrame, shards: int = SHARDS) -> DataFrame:
         shard_of(F.col("follower_id"), shards).alias("source_shard"),
         shard_of(F.col("following_id"), shards).alias("target_shard"),
     ).agg(F.count(F.lit(1)).alias("edges"))
-    total = edges.select(F.count(F.lit(1))).scalar()
-    return cells.select(
+    # At most shards * shards cells are gathered to divide them by their sum.
+    gathered = cells.agg(F.collect_list(F.struct("*")).alias("cells"), F.sum("edges").alias("total"))
+    return gathered.select("total", F.inline("cells")).select(
         "source_shard", "target_shard", "edges",
         (F.col("source_shard") != F.col("target_shard")).alias("cross_shard"),
-        (F.col("edges") / total).alias("share"))
+        (F.col("edges") / F.col("total")).alias("share"))
 
 
 def cross_shard_share(edges: DataFrame, shards: int = SHARDS) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import json_object, micros_between, shard_of, uuid_text, zero_if_null
 from ..schema import SHARDS
+from ..session import durable
 from .windows import top_per_key
 
 
@@ -96,7 +97,7 @@ def floor_decrement(table: DataFrame, key: str, counter: str, removals: DataFram
 
 def delete_by_key(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not listed; the list is reduced to distinct keys first."""
-    return table.join(keys.select(key).distinct(), key, "left_anti")
+    return table.join(keys.select(key).distinct(), key, "left_anti").select(*table.columns)
 
 
 class FollowBatch(NamedTuple):
@@ -114,24 +115,27 @@ def classify_follows(requests: DataFrame, users: DataFrame, edges: DataFrame) ->
     """
     pair = ["follower_id", "following_id"]
     pairs = requests.groupBy(*pair).agg(F.min("request_id").alias("winner"))
-    known = users.select("user_id").distinct()
-    valid = (pairs
+    known = users.select("user_id")
+    # The anti join comes first: the pairs are already partitioned by both columns.
+    valid = (pairs.join(edges.select(*pair), pair, "left_anti")
              .join(known.withColumnRenamed("user_id", "follower_id"), "follower_id", "left_semi")
              .join(known.withColumnRenamed("user_id", "following_id"), "following_id", "left_semi")
-             .join(edges.select(*pair), pair, "left_anti")
              .select(F.col("winner").alias("request_id"), F.lit("COMMITTED").alias("verdict")))
     judged = requests.join(valid, "request_id", "left")
     return judged.withColumn("status", F.coalesce("verdict", F.lit("ABORTED"))).drop("verdict")
 
 
 def follow_batch(requests: DataFrame, users: DataFrame, edges: DataFrame,
-                 shards: int = SHARDS) -> FollowBatch:
+                 shards: int = SHARDS, keep: bool = False) -> FollowBatch:
     """Process follow requests: new edges, both counters of each new edge, and an audit log.
 
     The follower's following_count and the followed user's follower_count go up by one per
-    committed request. Aborted requests leave a log row and nothing else.
+    committed request. Aborted requests leave a log row and nothing else. Set `keep` when more
+    than one of the outputs is written: the verdicts are then stored once and not worked out again.
     """
     judged = classify_follows(requests, users, edges)
+    if keep:
+        judged = durable(judged)
     done = judged.filter(F.col("status") == "COMMITTED")
     added = done.select("follower_id", "following_id", F.col("at").alias("created_at"))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
@@ -158,11 +162,16 @@ class LikeBatch(NamedTuple):
     posts: DataFrame
 
 
-def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame) -> LikeBatch:
-    """Insert-ignore likes, and raise like_count of a post by its newly inserted likes only."""
+def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame, keep: bool = False) -> LikeBatch:
+    """Insert-ignore likes, and raise like_count of a post by its newly inserted likes only.
+
+    `keep` stores the new likes once when both outputs are written.
+    """
     pair = ["post_id", "user_id"]
     earliest = top_per_key(requests, pair, [F.asc("at"), F.asc("request_id")], 1)
     fresh = earliest.join(likes.select(*pair), pair, "left_anti")
+    if keep:
+        fresh = durable(fresh)
     rows = fresh.select(*pair, F.col("at").alias("created_at"))
     deltas = fresh.select("post_id", F.lit(1).cast("long").alias("like_count"))
     return LikeBatch(likes.select(*pair, "created_at").unionByName(rows),

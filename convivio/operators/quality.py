@@ -41,7 +41,8 @@ def audit(name: str, df: DataFrame, rules: Constraints) -> DataFrame:
 
 
 def _unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    repeated = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = df.dropna(subset=list(keys)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_repeats")).filter("_repeats > 1")
     return repeated.agg(F.count(F.lit(1)).alias("violations")).select(
         F.lit(f"unique({','.join(keys)})").alias("rule"), "violations")
 
@@ -58,9 +59,9 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: st
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """The orphan rows themselves."""
-    missing = orphan_keys(child, column, parent, parent_key).select(F.col("key").alias(column))
-    return child.join(missing, column, "left_semi")
+    """The orphan rows themselves; AQE splits the join partition of a hot value."""
+    parents = parent.select(F.col(parent_key).alias(column))
+    return child.filter(F.col(column).isNotNull()).join(parents, column, "left_anti").select(*child.columns)
 
 
 def foreign_key_report(links: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
@@ -82,7 +83,7 @@ def cascade_delete(deleted: DataFrame, children: Mapping[str, tuple[DataFrame, S
     left = {}
     for name, (child, columns) in children.items():
         for column in columns:
-            child = child.join(gone.withColumnRenamed(key, column), column, "left_anti")
+            child = child.join(gone.withColumnRenamed(key, column), column, "left_anti").select(*child.columns)
         left[name] = child
     return left
 

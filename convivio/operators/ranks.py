@@ -58,34 +58,39 @@ def sample_stats(samples: DataFrame, group: str = "group", value: str = "latency
     """Count, requested, errors, min, max, mean, median, p95, p99, population std dev per group.
 
     Ranks are zero-based positions in the sorted values: n // 2 for the median, and
-    min(n - 1, int(n * q)) for the percentiles. Equal values collapse to one weighted row, then
-    running totals over the range-partitioned values give each value its span of positions, so a
-    group of any size is spread over many tasks. A group without successes keeps its counts.
+    min(n - 1, int(n * q)) for the percentiles. The samples are read once: equal values collapse
+    to one weighted row per map task, and running totals over the range-partitioned values give
+    each value its span of positions, so a group of any size is spread over many tasks. A group
+    without successes keeps its counts.
     """
-    good = F.col(ok) & F.col(value).isNotNull()
-    seen = F.when(good, F.col(value))
-    facts = samples.groupBy(group).agg(
-        F.count(seen).alias("count"), F.count(F.lit(1)).alias("requested_iterations"),
-        F.min(seen).alias("min"), F.max(seen).alias("max"), F.avg(seen).alias("mean"),
-        F.stddev_pop(seen).alias("std_dev"),
-    ).withColumn("error_count", F.col("requested_iterations") - F.col("count"))
-    weighted = samples.filter(good).groupBy(group, value).agg(F.count(F.lit(1)).alias("freq"))
-    spans = running_total(weighted, [group, value], "freq", "upto")
-    starts = spans.groupBy(group).agg(F.min(F.col("upto") - F.col("freq")).alias("origin"),
-                                      F.sum("freq").alias("n"))
-    end = F.col("upto") - F.col("origin")
-    n = F.col("n")
+    v, freq = F.col("_value"), F.col("_freq")
+    seen = samples.select(group, F.when(F.col(ok), F.col(value)).alias("_value"))
+    weighted = seen.groupBy(group, "_value").agg(F.count(F.lit(1)).alias("_freq"))
+    # Failed samples are one null-valued row per group and take up no position.
+    weighted = weighted.withColumn("_good", F.when(v.isNotNull(), freq).otherwise(F.lit(0).cast("long")))
+    spans = running_total(weighted, [group, "_value"], "_good", "_upto")
+    n = F.sum("_good")
+    facts = spans.groupBy(group).agg(
+        n.alias("count"), F.sum("_freq").alias("requested_iterations"),
+        (F.sum("_freq") - n).alias("error_count"), F.min("_value").alias("min"),
+        F.max("_value").alias("max"), (F.sum(v * F.col("_good")) / F.nullif(n, F.lit(0))).alias("mean"),
+        F.min(F.col("_upto") - F.col("_good")).alias("_origin"))
+    end = F.col("_upto") - F.col("_origin")
+    total = F.col("count")
 
     def at_rank(rank):
-        return F.min(F.when(end > rank, F.col(value)))
+        return F.min(F.when(end > rank, v))
 
     def quantile_rank(q: float):
-        return F.least(n - 1, F.floor(n.cast("double") * F.lit(q)))
-
-    ranks = (spans.join(starts, group)
-             .groupBy(group).agg(at_rank(F.floor(n / 2)).alias("median"),
-                                 at_rank(quantile_rank(0.95)).alias("p95"),
-                                 at_rank(quantile_rank(0.99)).alias("p99")))
-    return facts.join(ranks, group, "left").select(
+        return F.least(total - 1, F.floor(total.cast("double") * F.lit(q)))
+
+    shares = F.pow(v - F.col("mean"), 2) * F.col("_good")
+    # Null-safe joins: samples without a group are a group of their own.
+    shared = facts.withColumnRenamed(group, "_group")
+    ranks = (spans.join(shared, F.col(group).eqNullSafe(F.col("_group"))).groupBy("_group")
+             .agg(at_rank(F.floor(total / 2)).alias("median"), at_rank(quantile_rank(0.95)).alias("p95"),
+                  at_rank(quantile_rank(0.99)).alias("p99"), F.sum(shares).alias("_squares")))
+    spread = F.sqrt(F.col("_squares") / F.nullif(total, F.lit(0)))
+    return facts.join(ranks, F.col(group).eqNullSafe(F.col("_group"))).select(
         group, "count", "requested_iterations", "error_count", "min", "max", "mean", "median",
-        "p95", "p99", "std_dev")
+        "p95", "p99", spread.alias("std_dev"))

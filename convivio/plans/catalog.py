@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema
 from ..functions import draws
@@ -33,7 +34,8 @@ def query(name: str):
     """Register a function of the social tables under a name."""
     def register(build: Callable[[SocialTables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(SocialTables(prepare(spark), str(folder).rstrip("/")))
+            place = str(folder).rstrip("/")
+            return build(SocialTables(prepare(spark, place), place))
         run.__name__ = name
         run.__doc__ = build.__doc__
         REGISTRY[name] = run
@@ -97,9 +99,10 @@ def _latency_documents(t) -> DataFrame:
 def _(t):
     """Nested result documents written as JSON and read back with their file names."""
     path = _fresh(t, "docs")
-    _latency_documents(t).select("group", "doc.write_primary").write.json(path)
-    shape = "`group` string, write_primary struct<count:long,error_count:long,median:double,p95:double>"
-    docs = t.spark.read.schema(shape).json(path).select("*", F.col("_metadata.file_name").alias("file_name"))
+    _latency_documents(t).repartition("group").write.partitionBy("group").json(path)
+    shape = T.StructType.fromDDL(
+        "doc struct<write_primary: struct<count: long, error_count: long, median: double, p95: double>>")
+    docs = tables.read_documents(t.spark, path, shape).select("*", "doc.write_primary")
     return docs.select("group", F.col("write_primary.count").alias("n"),
                        F.col("write_primary.error_count").alias("errors"),
                        F.col("write_primary.median").alias("median"),
@@ -139,7 +142,7 @@ def _(t):
 
 @query("s11_summary_sink")
 def _(t):
-    summary = experiments.summarise(_experiment_documents(t))
+    summary = experiments.summarise(_experiment_documents(t)).withColumn("value", F.round("value", 4))
     return tables.read_json(t.spark, tables.write_json(summary, _fresh(t, "summary")), summary.schema)
 
 
@@ -430,7 +433,7 @@ def _(t):
 @query("a7_sample_stats")
 def _(t):
     stats = ranks.sample_stats(t.samples)
-    return stats.withColumn("mean", F.round("mean", 6)).withColumn("std_dev", F.round("std_dev", 6))
+    return stats.withColumn("mean", F.round("mean", 9)).withColumn("std_dev", F.round("std_dev", 9))
 
 
 @query("a7_sample_stats_by_user")
@@ -439,7 +442,7 @@ def _(t):
     by_user = t.raw("events").select(F.col("user_id").cast("string").alias("group"),
                                      F.col("value").alias("latency_ms"), (F.col("value") < 300).alias("ok"))
     stats = ranks.sample_stats(by_user)
-    return stats.withColumn("mean", F.round("mean", 6)).withColumn("std_dev", F.round("std_dev", 6))
+    return stats.withColumn("mean", F.round("mean", 9)).withColumn("std_dev", F.round("std_dev", 9))
 
 
 @query("a8_spread")
@@ -506,7 +509,7 @@ def _(t):
     second = means.select(F.to_json(F.struct(
         F.col("signup").alias("write_mean_ms"), F.col("view").alias("join_mean_ms"))).alias("payload"))
     compared = experiments.compare_engines(first, second)
-    return compared.withColumn("first_ms", F.round("first_ms", 6)).withColumn("second_ms", F.round("second_ms", 6))
+    return compared.withColumn("first_ms", F.round("first_ms", 9)).withColumn("second_ms", F.round("second_ms", 9))
 
 
 @query("a12_group_sizes")
@@ -726,12 +729,12 @@ def _(t):
 # --- streaming ---------------------------------------------------------------------------------
 
 def _streamed(t, source, rounds=1):
-    """Write the outbox in id order, project it with an available-now stream, return the model path."""
+    """Write the outbox, project it with an available-now stream, return the model path."""
     base = _fresh(t, "outbox")
     rows = tables.conform(source, schema.EVENT_OUTBOX)
     for _ in range(rounds):
-        rows.repartitionByRange("event_id").write.mode("append").parquet(f"{base}/events")
-        stream = outbox.read_outbox(t.spark, f"{base}/events", max_files=4)
+        tables.append(rows, f"{base}/events")
+        stream = outbox.read_outbox(t.spark, f"{base}/events")
         outbox.start_projection(stream, f"{base}/model", f"{base}/checkpoint").awaitTermination()
     return f"{base}/model"
 

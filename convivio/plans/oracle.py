@@ -46,7 +46,7 @@ TABLES = {
     "samples": """SELECT event_type AS grp, event_id AS seq, value AS latency_ms,
         (event_type <> 'error' OR value < 300) AS ok FROM events""",
     "runs": """SELECT user_id AS series, CASE WHEN event_type IN ('click', 'view') THEN 'on' ELSE 'off' END AS mode,
-        value AS elapsed_ms, 10 AS inserted_rows FROM events""",
+        value AS elapsed_ms, 97 AS inserted_rows FROM events""",
     "tx_id": "SELECT event_id, {uuid_tx} AS tx_id, event_type, ts, value FROM events",
     "transaction_events": """SELECT tx_id, event_id * 2 AS seq, 'PREPARED' AS status, ts AS moment FROM tx_id
         UNION ALL SELECT tx_id, event_id * 2 + 1, CASE WHEN event_type = 'error' THEN 'ABORTED' ELSE 'COMMITTED' END,
@@ -81,8 +81,8 @@ TABLES = {
         FROM ranked GROUP BY grp""",
     "sample_facts": """SELECT grp, count(*) FILTER (WHERE ok) AS count, count(*) AS requested_iterations,
         count(*) FILTER (WHERE NOT ok) AS error_count, min(latency_ms) FILTER (WHERE ok) AS min,
-        max(latency_ms) FILTER (WHERE ok) AS max, round(avg(latency_ms) FILTER (WHERE ok), 6) AS mean,
-        round(stddev_pop(latency_ms) FILTER (WHERE ok), 6) AS std_dev FROM samples GROUP BY grp""",
+        max(latency_ms) FILTER (WHERE ok) AS max, round(avg(latency_ms) FILTER (WHERE ok), 9) AS mean,
+        round(stddev_pop(latency_ms) FILTER (WHERE ok), 9) AS std_dev FROM samples GROUP BY grp""",
     "mode_costs": """SELECT series, sum(elapsed_ms) FILTER (WHERE mode = 'on') / sum(inserted_rows) FILTER (WHERE mode = 'on') AS on_ms,
         sum(elapsed_ms) FILTER (WHERE mode = 'off') / sum(inserted_rows) FILTER (WHERE mode = 'off') AS off_ms
         FROM runs GROUP BY series""",
@@ -354,7 +354,7 @@ PLAIN = {
     "s9_month_layout": """SELECT strftime(created_at, '%Y%m') AS created_month, count(*) AS row_count,
         CAST(sum(like_count) AS BIGINT) AS likes FROM posts GROUP BY 1""",
     "s10_provenance": "SELECT 'shard=' || (user_id % 3) AS partition_name, count(*) AS row_count FROM users GROUP BY 1",
-    "s11_summary_sink": _SUMMARY,
+    "s11_summary_sink": f"SELECT experiment, available, status, metric, round(value, 4) AS value FROM ({_SUMMARY})",
     "f1_point_lookup": "SELECT * FROM users WHERE user_id = 1",
     "f1_pruned_lookup": "SELECT * FROM users WHERE user_id = 1",
     "f2_text_lookup": """SELECT u.user_id, u.username, u.full_name, count(p.post_id) AS post_count FROM users u
@@ -425,10 +425,10 @@ PLAIN = {
     "a9_experiment_summary": f"SELECT experiment, available, status, metric, round(value, 4) AS value FROM ({_SUMMARY})",
     "a10_mode_comparison": _MODES.format(on="on_ms", off="off_ms"),
     "a10_mode_comparison_rounded": _MODES.format(on="round_even(on_ms, 4)", off="round_even(off_ms, 4)"),
-    "a11_engine_comparison": """SELECT 'write' AS metric, round(avg(latency_ms) FILTER (WHERE grp = 'click'), 6) AS first_ms,
-            round(avg(latency_ms) FILTER (WHERE grp = 'signup'), 6) AS second_ms FROM samples
-        UNION ALL SELECT 'read', round(avg(latency_ms) FILTER (WHERE grp = 'view'), 6), 15 FROM samples
-        UNION ALL SELECT 'join', 300, round(avg(latency_ms) FILTER (WHERE grp = 'view'), 6) FROM samples""",
+    "a11_engine_comparison": """SELECT 'write' AS metric, round(avg(latency_ms) FILTER (WHERE grp = 'click'), 9) AS first_ms,
+            round(avg(latency_ms) FILTER (WHERE grp = 'signup'), 9) AS second_ms FROM samples
+        UNION ALL SELECT 'read', round(avg(latency_ms) FILTER (WHERE grp = 'view'), 9), 15 FROM samples
+        UNION ALL SELECT 'join', 300, round(avg(latency_ms) FILTER (WHERE grp = 'view'), 9) FROM samples""",
     "a12_group_sizes": "SELECT saga_status, step_name, count(*) AS row_count FROM sagas GROUP BY 1, 2",
     "w1_keep_latest_likes": "SELECT post_id, user_id, created_at FROM post_likes",
     "w1_keep_latest_follows": """SELECT comment_id, user_id, post_id, content, created_at FROM (SELECT *, row_number() OVER (

@@ -30,13 +30,30 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
     """Apply the runtime settings the operators rely on to a session made elsewhere."""
     for key, value in SESSION_DEFAULTS.items():
         spark.conf.set(key, value)
+    if folder:
+        size_shuffles(spark, folder)
     return spark
 
 
+def size_shuffles(spark: SparkSession, folder: str) -> None:
+    """Raise the shuffle width to the input: one partition per GiB, at most 50,000.
+
+    The queries shuffle a few narrow, pre-aggregated columns of the folder's tables, so a GiB of
+    input leaves a partition well below an executor's memory; AQE merges those that are small.
+    The setting is never lowered.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    wanted = min(50_000, -(-size // 2**30))
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: `spark.checkpoint.dir`, or a local one if unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

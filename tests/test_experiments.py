@@ -1,0 +1,82 @@
+"""Golden numbers: recorded inputs and the results published for them."""
+
+import json
+
+import pytest
+
+from convivio.operators import aggregates, experiments
+
+
+def test_write_latency_spread(spark):
+    raw = [602.16, 523.48, 460.79, 496.13, 519.13, 496.52, 437.81, 435.7, 450.19, 496.05, 420.81, 421.22]
+    df = spark.createDataFrame([("geo", v) for v in raw], "`group` string, v double")
+    assert tuple(aggregates.spread(df, "group", "v").first()) == ("geo", 480.0, 420.81, 602.16)
+
+
+def runs(spark, on_ms, off_ms, rows):
+    return spark.createDataFrame([("r", "on", on_ms, rows), ("r", "off", off_ms, rows)],
+                                 "run string, commit_mode string, elapsed_ms double, inserted_rows long")
+
+
+@pytest.mark.parametrize("on, off, rows, first, want", [
+    (6.593, 2.859, 100, True, (0.0659, 0.0286, 56.6)),
+    (6.593, 2.859, 100, False, (0.0659, 0.0286, 56.64)),
+    (5.778, 6.093, 200, False, (0.0289, 0.0305, -5.45)),
+    (5.778, 6.093, 200, True, (0.0289, 0.0305, -5.54)),
+    (0.0, 1.0, 10, False, (0.0, 0.1, 0.0)),
+])
+def test_mode_comparison(spark, on, off, rows, first, want):
+    assert tuple(experiments.compare_modes(runs(spark, on, off, rows), "run", first).first())[1:] == want
+
+
+def test_mode_comparison_with_a_missing_mode(spark):
+    got = experiments.compare_modes(runs(spark, 1.0, 1.0, 1).filter("commit_mode = 'off'"), "run").first()
+    assert tuple(got)[1:] == (None, 1.0, 0.0)
+
+
+def documents(spark, docs):
+    rows = [(n, None if d is None else json.dumps(d)) for n, d in docs.items()]
+    return spark.createDataFrame(rows, "name string, payload string")
+
+
+def test_experiment_summary(spark):
+    docs = {
+        "exp1": {"write_primary": {"mean": 235.0066}, "read_primary": {"mean": 234.7786},
+                 "read_replica1": {"mean": 247.2385}, "read_replica2": {"mean": 234.4259}},
+        "exp3": {"summary": {"sync_per_insert_ms": 0.0659, "async_per_insert_ms": 0.0286, "async_improvement_pct": 56.6}},
+        "exp4": {"success_scenario": {"result": "COMMITTED", "elapsed_ms": 239.2275, "source_shard": 1, "target_shard": 2}},
+        "exp5": {"mode": "dry-run", "pre_failover_state": {"replication_status": [{"a": 1}, {"a": 2}]}},
+        "later": None,
+    }
+    got = {}
+    for r in experiments.summarise(documents(spark, docs)).collect():
+        entry = got.setdefault(r.experiment, (r.available, r.status, {}))
+        if r.metric:
+            entry[2][r.metric] = r.value
+    assert got == {
+        "exp1": (True, "ok", {"write_mean_ms": 235.0066, "read_primary_mean_ms": 234.7786,
+                              "read_replica1_mean_ms": 247.2385, "read_replica2_mean_ms": 234.4259}),
+        "exp3": (True, "ok", docs["exp3"]["summary"]),
+        "exp4": (True, "committed", {"elapsed_ms": 239.2275, "source_shard": 1.0, "target_shard": 2.0}),
+        "exp5": (True, "dry-run", {"replica_count": 2.0}),
+        "later": (False, "pending", {}),
+    }
+
+
+def test_summary_fallbacks(spark):
+    docs = {"exp1": {}, "exp4": {"result": "FAILED"}, "exp5": {"mode": "live"}, "other": {"x": 1}}
+    got = {(r.experiment, r.metric): (r.status, r.value) for r in experiments.summarise(documents(spark, docs)).collect()}
+    assert got[("exp1", "write_mean_ms")] == ("ok", 0.0)
+    assert got[("exp4", "elapsed_ms")] == ("failed", 0.0)
+    assert got[("exp4", "source_shard")] == ("failed", None)
+    assert got[("exp5", "replica_count")] == ("ok", 0.0)
+    assert got[("other", None)] == ("ok", None)
+
+
+def test_engine_comparison(spark):
+    first = documents(spark, {"a": {"write_primary": {"mean": 235.0066}, "read_mean_ms": 4.5}})
+    second = documents(spark, {"b": {"write_mean_ms": 8.788, "join_mean_ms": 55.369}})
+    got = {r.metric: (r.first_ms, r.second_ms) for r in experiments.compare_engines(first, second).collect()}
+    assert got == {"write": (235.0066, 8.788), "read": (4.5, 15.0), "join": (300.0, 55.369)}
+    none = experiments.compare_engines(first.limit(0), second.limit(0)).collect()
+    assert [(r.first_ms, r.second_ms) for r in none] == [(10.0, 20.0), (5.0, 15.0), (300.0, 120.0)]
