@@ -61,7 +61,7 @@ def sample_words(row_id: Column, stream: str, words: Sequence[str], size: Column
         F.struct(draw(row_id, f"{stream}/{at}", seed).alias("turn"), F.lit(word).alias("word"))
         for at, word in enumerate(words)
     ]
-    shuffled = F.transform(F.array_sort(F.array(*keyed)), lambda item: item["word"])
+    shuffled = F.sort_array(F.array(*keyed)).getField("word")
     return F.array_join(F.slice(shuffled, F.lit(1), size.cast("int")), " ")
 
 

@@ -240,7 +240,7 @@ def create_posts(commands: DataFrame) -> CreatedPosts:
 
 def rejected_batch_check(requests: DataFrame, users: DataFrame, edges: DataFrame) -> DataFrame:
     """Edge counts before and after a request batch, and whether nothing changed."""
-    result = follow_batch(requests, users, edges)
+    result = follow_batch(requests, users, edges, keep=True)
     total = F.count(F.lit(1))
     committed = F.coalesce(F.sum((F.col("status") == "COMMITTED").cast("long")), F.lit(0).cast("long"))
     return result.log.agg(total.alias("requests"), committed.alias("committed")).select(

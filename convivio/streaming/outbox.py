@@ -8,6 +8,8 @@ The stream's checkpoint takes the place of the outbox's processed flag.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,22 +27,34 @@ class Decoded(NamedTuple):
     rejects: DataFrame
 
 
+def parse(outbox: DataFrame) -> DataFrame:
+    """Outbox rows with their payload fields in `_p` columns and whether all of them are there.
+
+    The generator keeps the JSON from being parsed once per use of a field.
+    """
+    fields = F.inline_outer(F.array(F.from_json("payload", PAYLOAD))).alias(
+        "_p_post_id", "_p_user_id", "_p_content", "_p_created_at")
+    parsed = outbox.select("*", fields).withColumn("_p_at", F.col("_p_created_at").try_cast("timestamp_ntz"))
+    needed = ("_p_post_id", "_p_user_id", "_p_content", "_p_at")
+    return parsed.withColumn("_whole", reduce(and_, [F.col(c).isNotNull() for c in needed]))
+
+
+def split(parsed: DataFrame) -> Decoded:
+    events = parsed.filter("_whole").select(
+        "event_id", F.col("_p_post_id").alias("post_id"), F.col("_p_user_id").alias("user_id"),
+        F.col("_p_content").alias("content"), F.col("_p_at").alias("created_at"),
+        F.col("created_at").alias("indexed_at"))
+    kept = [c for c in parsed.columns if c != "_whole" and not c.startswith("_p_")]
+    return Decoded(events, parsed.filter("NOT _whole").select(*kept))
+
+
 def decode(outbox: DataFrame) -> Decoded:
     """Split the outbox into events with their payload fields and rows that cannot be decoded.
 
     A payload is rejected when it is null, is not valid JSON, or lacks a field the read model needs.
     indexed_at is the outbox row's own time, so a replay gives the same value.
     """
-    fields = F.from_json("payload", PAYLOAD)
-    parsed = outbox.withColumn("_p", fields).withColumn(
-        "_at", F.col("_p.created_at").try_cast("timestamp_ntz"))
-    whole = (F.col("_p.post_id").isNotNull() & F.col("_p.user_id").isNotNull()
-             & F.col("_p.content").isNotNull() & F.col("_at").isNotNull())
-    good = F.coalesce(whole, F.lit(False))
-    events = parsed.filter(good).select(
-        "event_id", "_p.post_id", "_p.user_id", "_p.content", F.col("_at").alias("created_at"),
-        F.col("created_at").alias("indexed_at"))
-    return Decoded(events, parsed.filter(~good).drop("_p", "_at"))
+    return split(parse(outbox))
 
 
 def project_batch(outbox: DataFrame) -> DataFrame:
@@ -58,14 +72,13 @@ def start_projection(outbox: DataFrame, model_path: str, checkpoint: str,
     """Run the projection; by default over everything available, then stop."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        parsed = parse(batch).persist()
         try:
-            (project_batch(batch).write.mode("overwrite")
-                .parquet(f"{model_path}/folds/batch_id={batch_id}"))
-            (decode(batch).rejects.write.mode("overwrite")
-                .parquet(f"{model_path}/rejects/batch_id={batch_id}"))
+            events, bad = split(parsed)
+            fold_events(events).write.mode("overwrite").parquet(f"{model_path}/folds/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{model_path}/rejects/batch_id={batch_id}")
         finally:
-            batch.unpersist()
+            parsed.unpersist()
 
     return (outbox.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())
