@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from ..functions.scalars import round_even
 
 
+# The reading given with each experiment, and the one for a missing result.
+READINGS = {
+    "exp1": "La linea base compara escritura en el primary y lecturas por PK entre primary y replicas.",
+    "exp3": "Este experimento cuantifica el costo de habilitar confirmacion sincronica de replicas.",
+    "exp4": "Se documenta coordinacion manual entre shards logicos y una aproximacion de rollback controlado.",
+    "exp5": "El failover queda documentado como procedimiento manual con evidencia del estado previo.",
+}
+PENDING_READING = " aun no tiene resultados persistidos."
+
+
 def compare_modes(runs: DataFrame, group: str, round_first: bool = False) -> DataFrame:
     """Cost per inserted row of the modes `on` and `off`, and the improvement of `off` in percent.
 
@@ -39,7 +49,7 @@ def summarise(documents: DataFrame, name: str = "name", payload: str = "payload"
     """One row per experiment and metric from (name, JSON text) documents.
 
     A null payload is an experiment that has not run: available false, status pending, and one
-    row without a metric. Each kind of experiment keeps its own metrics.
+    row without a metric. Each kind of experiment keeps its own metrics and reading.
     """
     doc = F.col(payload)
 
@@ -72,8 +82,20 @@ def summarise(documents: DataFrame, name: str = "name", payload: str = "payload"
              .when(kind == "exp5", entry(F.when(dry_run, "dry-run").otherwise("ok"),
                                          metrics(("replica_count", replica_count))))
              .otherwise(entry(ok, none)))
-    rows = documents.select(kind.alias("experiment"), doc.isNotNull().alias("available"), found.alias("found"))
-    return rows.select("experiment", "available", "found.status", F.inline_outer("found.metrics"))
+    reading = F.when(doc.isNull(), F.concat(kind, F.lit(PENDING_READING)))
+    for known, text in READINGS.items():
+        reading = reading.when(kind == known, text)
+    rows = documents.select(kind.alias("experiment"), doc.isNotNull().alias("available"), found.alias("found"),
+                            reading.otherwise("").alias("interpretation"))
+    return rows.select("experiment", "available", "found.status", "interpretation",
+                       F.inline_outer("found.metrics"))
+
+
+def nest_summary(summary: DataFrame) -> DataFrame:
+    """One row per experiment with its metrics as a map; an experiment has a handful of them."""
+    named = F.collect_list(F.when(F.col("metric").isNotNull(), F.struct("metric", "value")))
+    return (summary.groupBy("experiment", "available", "status", "interpretation")
+            .agg(F.map_from_entries(named).alias("metrics")))
 
 
 def compare_engines(first: DataFrame, second: DataFrame, payload: str = "payload") -> DataFrame:

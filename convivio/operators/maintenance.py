@@ -196,11 +196,12 @@ def fold_sagas(events: DataFrame) -> DataFrame:
     """
     last = F.max_by(F.struct("saga_status", "step_name"), "seq")
     raised = F.max(F.col("step_name") == "UPDATE_COUNTERS")
+    # A saga's events share their payload, so it is parsed once per saga.
     author = F.get_json_object("payload", "$.user_id").cast("long")
     return (events.groupBy("saga_id")
-            .agg(last.alias("now"), F.max("post_id").alias("post_id"), F.max(author).alias("user_id"),
+            .agg(last.alias("now"), F.max("post_id").alias("post_id"), F.max("payload").alias("payload"),
                  raised.alias("counted"), F.min("at").alias("created_at"), F.max("at").alias("updated_at"))
-            .select("saga_id", "now.saga_status", "now.step_name", "post_id", "user_id", "counted",
+            .select("saga_id", "now.saga_status", "now.step_name", "post_id", author.alias("user_id"), "counted",
                     "created_at", "updated_at"))
 
 

@@ -142,8 +142,12 @@ def _(t):
 
 @query("s11_summary_sink")
 def _(t):
+    """The experiment summary written with its metrics nested, and read back."""
     summary = experiments.summarise(_experiment_documents(t)).withColumn("value", F.round("value", 4))
-    return tables.read_json(t.spark, tables.write_json(summary, _fresh(t, "summary")), summary.schema)
+    nested = experiments.nest_summary(summary)
+    back = tables.read_json(t.spark, tables.write_json(nested, _fresh(t, "summary")), nested.schema)
+    return back.select("experiment", "available", "status", "interpretation",
+                       F.explode_outer("metrics").alias("metric", "value"))
 
 
 # --- generators --------------------------------------------------------------------------------

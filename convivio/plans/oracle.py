@@ -10,6 +10,7 @@ import re
 
 from ..functions.draws import BASE36, stream_key
 from ..operators import generate
+from ..operators.experiments import PENDING_READING, READINGS
 
 # --- the social tables -------------------------------------------------------------------------
 
@@ -317,6 +318,11 @@ TABLES["all_costs"] = """SELECT sum(elapsed_ms) FILTER (WHERE mode = 'on') / sum
     sum(elapsed_ms) FILTER (WHERE mode = 'off') / sum(inserted_rows) FILTER (WHERE mode = 'off') AS off_ms FROM runs"""
 
 
+_READ_SUMMARY = f"""SELECT experiment, available, status, CASE experiment
+    {" ".join(f"WHEN {_text(name)} THEN {_text(text)}" for name, text in READINGS.items())}
+    ELSE experiment || {_text(PENDING_READING)} END AS interpretation, metric, round(value, 4) AS value FROM ({_SUMMARY})"""
+
+
 def _violations(table: str, rule: str, test: str, source: str) -> str:
     return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, count(*) FILTER (WHERE {test}) AS violations "
             f"FROM {source}")
@@ -354,7 +360,7 @@ PLAIN = {
     "s9_month_layout": """SELECT strftime(created_at, '%Y%m') AS created_month, count(*) AS row_count,
         CAST(sum(like_count) AS BIGINT) AS likes FROM posts GROUP BY 1""",
     "s10_provenance": "SELECT 'shard=' || (user_id % 3) AS partition_name, count(*) AS row_count FROM users GROUP BY 1",
-    "s11_summary_sink": f"SELECT experiment, available, status, metric, round(value, 4) AS value FROM ({_SUMMARY})",
+    "s11_summary_sink": _READ_SUMMARY,
     "f1_point_lookup": "SELECT * FROM users WHERE user_id = 1",
     "f1_pruned_lookup": "SELECT * FROM users WHERE user_id = 1",
     "f2_text_lookup": """SELECT u.user_id, u.username, u.full_name, count(p.post_id) AS post_count FROM users u
@@ -422,7 +428,7 @@ PLAIN = {
     "a7_sample_stats": _SAMPLE_STATS,
     "a8_spread": """SELECT grp AS "group", round_even(avg(latency_ms), 2) AS average, round_even(min(latency_ms), 2) AS minimum,
         round_even(max(latency_ms), 2) AS maximum FROM samples GROUP BY grp""",
-    "a9_experiment_summary": f"SELECT experiment, available, status, metric, round(value, 4) AS value FROM ({_SUMMARY})",
+    "a9_experiment_summary": _READ_SUMMARY,
     "a10_mode_comparison": _MODES.format(on="on_ms", off="off_ms"),
     "a10_mode_comparison_rounded": _MODES.format(on="round_even(on_ms, 4)", off="round_even(off_ms, 4)"),
     "a11_engine_comparison": """SELECT 'write' AS metric, round(avg(latency_ms) FILTER (WHERE grp = 'click'), 9) AS first_ms,

@@ -84,6 +84,11 @@ def start_projection(outbox: DataFrame, model_path: str, checkpoint: str,
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def projected_rows(query: StreamingQuery) -> int:
+    """Outbox rows the query took in, over the progress reports Spark keeps (100 by default)."""
+    return sum(progress.numInputRows for progress in query.recentProgress)
+
+
 def read_model(spark: SparkSession, model_path: str, snapshot: str | None = None,
                after_batch: int = -1) -> DataFrame:
     """The current read model: the folded batches, over an older snapshot if there is one.

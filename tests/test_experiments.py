@@ -48,11 +48,11 @@ def test_experiment_summary(spark):
         "exp5": {"mode": "dry-run", "pre_failover_state": {"replication_status": [{"a": 1}, {"a": 2}]}},
         "later": None,
     }
-    got = {}
-    for r in experiments.summarise(documents(spark, docs)).collect():
-        entry = got.setdefault(r.experiment, (r.available, r.status, {}))
-        if r.metric:
-            entry[2][r.metric] = r.value
+    summary = experiments.nest_summary(experiments.summarise(documents(spark, docs))).collect()
+    readings = {r.experiment: r.interpretation for r in summary}
+    assert readings.pop("later") == "later aun no tiene resultados persistidos."
+    assert readings == experiments.READINGS
+    got = {r.experiment: (r.available, r.status, r.metrics) for r in summary}
     assert got == {
         "exp1": (True, "ok", {"write_mean_ms": 235.0066, "read_primary_mean_ms": 234.7786,
                               "read_replica1_mean_ms": 247.2385, "read_replica2_mean_ms": 234.4259}),

@@ -73,15 +73,6 @@ def test_row_numbers_are_dense_under_any_partitioning(spark, parts):
     assert got == list(zip(keys, range(1, 1001)))
 
 
-def test_running_total(spark):
-    df = spark.range(500).select("id", (F.col("id") % 5).alias("w"))
-    got = {r.id: r.total for r in ranks.running_total(df, ["id"], "w", "total").collect()}
-    total = 0
-    for i in range(500):
-        total += i % 5
-        assert got[i] == total
-
-
 def test_keep_latest_breaks_ties(spark, rows):
     df = spark.createDataFrame([(1, 2, 10, 1), (1, 2, 10, 5), (1, 2, 9, 9), (3, 3, 1, 1)],
                                "a long, b long, created_at long, id long")

@@ -92,7 +92,10 @@ def test_iso_times_are_read(spark):
 
 def test_visible_rows_equal_distinct_keys(spark, base):
     events = [event(n, n // 2, 1, "x") for n in range(100)]
-    write(spark, rows_of(events), f"{base}/events")
-    project(spark, base)
+    for half in (events[:50], events[50:]):
+        write(spark, rows_of(half), f"{base}/events")
+    query = outbox.start_projection(outbox.read_outbox(spark, f"{base}/events", 1), f"{base}/model", f"{base}/checkpoint")
+    query.awaitTermination()
+    assert outbox.projected_rows(query) == 100
     assert outbox.read_model(spark, f"{base}/model").count() == 50
     assert spark.createDataFrame(events, EVENTS).select(F.countDistinct("post_id")).first()[0] == 50
