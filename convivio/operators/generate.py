@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.draws import (
     alphanumeric, between, chance, draw, moment_before, pick, sample_words,
 )
-from ..functions.scalars import first_item
+from ..functions.scalars import first_item, uuid_text
 from .filters import not_self
 from .ranks import number_rows
 from .windows import latest_moment
@@ -58,8 +58,8 @@ def users(ids: DataFrame, as_of: Column, seed: int = 42, key: str = "user_id") -
 
 
 def posts(ids: DataFrame, max_user_id: int | Column, as_of: Column, seed: int = 42,
-          key: str = "post_id") -> DataFrame:
-    """Post rows by users 1..max_user_id; 5 % deleted, two to four hashtags, up to 90 days old."""
+          key: str = "post_id", days: int = 90) -> DataFrame:
+    """Post rows by users 1..max_user_id; 5 % deleted, two to four hashtags, up to `days` old."""
     pid = F.col(key)
 
     def d(stream):
@@ -75,7 +75,51 @@ def posts(ids: DataFrame, max_user_id: int | Column, as_of: Column, seed: int =
         between(d("comment_count"), 0, 1000).alias("comment_count"),
         between(d("share_count"), 0, 100).alias("share_count"),
         chance(d("deleted"), 0.05).alias("is_deleted"),
-        moment_before(as_of, d("created"), 90).alias("created_at"))
+        moment_before(as_of, d("created"), days).alias("created_at"))
+
+
+def plain_users(ids: DataFrame, seed: int = 42, key: str = "user_id", token_length: int = 36,
+                limits: tuple[int, int, int] = (1000, 500, 100)) -> DataFrame:
+    """User rows of the SQL loaders: numbered names and texts, counters below `limits`.
+
+    The name carries the first `token_length` characters of a uuid; 8 gives the short form.
+    """
+    uid = F.col(key)
+    number = uid.cast("string")
+
+    def handle(stream):
+        token = F.substring(uuid_text(F.lit(f"{seed}/{stream}"), uid), 1, token_length)
+        return F.concat(F.lit("user_"), number, F.lit("_"), token)
+
+    counters = [between(draw(uid, f"plain/{name}", seed), 0, top - 1).alias(name) for name, top in zip(
+        ["follower_count", "following_count", "post_count"], limits)]
+    return ids.select(
+        uid.cast("long").alias("user_id"), handle("username").alias("username"),
+        F.concat(handle("email"), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("User "), number).alias("full_name"),
+        F.concat(F.lit("Bio for user "), number).alias("bio"), *counters)
+
+
+def plain_posts(ids: DataFrame, max_user_id: int | Column, as_of: Column, seed: int = 42, key: str = "post_id",
+                days: int = 390, tags: str = "#social", odds: tuple[float, float] = (0.4, 0.7)) -> DataFrame:
+    """Post rows of the SQL loaders: numbered text and one of three cities."""
+    pid = F.col(key)
+    return ids.select(
+        pid.cast("long").alias("post_id"), between(draw(pid, "plain/user", seed), 1, max_user_id).alias("user_id"),
+        F.concat(F.lit("Post content #"), pid.cast("string"), F.lit(f" with some hashtags {tags}")).alias("content"),
+        weighted_location(pid, *odds, seed).alias("location"),
+        moment_before(as_of, draw(pid, "plain/created", seed), days).alias("created_at"))
+
+
+def plain_comments(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Column, as_of: Column,
+                   seed: int = 42, key: str = "comment_id", days: int = 120) -> DataFrame:
+    """Comment rows of the SQL loaders, all with the same text."""
+    cid = F.col(key)
+    return ids.select(
+        cid.cast("long").alias("comment_id"), between(draw(cid, "plain/post", seed), 1, max_post_id).alias("post_id"),
+        between(draw(cid, "plain/user", seed), 1, max_user_id).alias("user_id"),
+        F.lit("Great post! #awesome #love").alias("content"),
+        moment_before(as_of, draw(cid, "plain/created", seed), days).alias("created_at"))
 
 
 def weighted_location(row_id: Column, first_odds: float, second_odds: float, seed: int = 42) -> Column:
@@ -86,8 +130,8 @@ def weighted_location(row_id: Column, first_odds: float, second_odds: float, see
 
 
 def comments(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Column, as_of: Column,
-             seed: int = 42, key: str = "comment_id") -> DataFrame:
-    """Comment rows; 5 % deleted, up to 30 days old."""
+             seed: int = 42, key: str = "comment_id", days: int = 30) -> DataFrame:
+    """Comment rows; 5 % deleted, up to `days` old."""
     cid = F.col(key)
 
     def d(stream):
@@ -99,26 +143,26 @@ def comments(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Colum
         pick(d("text"), COMMENT_TEXTS).alias("content"),
         between(d("like_count"), 0, 1000).alias("like_count"),
         chance(d("deleted"), 0.05).alias("is_deleted"),
-        moment_before(as_of, d("created"), 30).alias("created_at"))
+        moment_before(as_of, d("created"), days).alias("created_at"))
 
 
 def follow_candidates(ids: DataFrame, max_user_id: int | Column, as_of: Column, seed: int = 42,
-                      key: str = "id") -> DataFrame:
+                      key: str = "id", days: int = 60) -> DataFrame:
     cid = F.col(key)
     return ids.select(
         between(draw(cid, "follows/from", seed), 1, max_user_id).alias("follower_id"),
         between(draw(cid, "follows/to", seed), 1, max_user_id).alias("following_id"),
-        moment_before(as_of, draw(cid, "follows/created", seed), 60).alias("created_at"))
+        moment_before(as_of, draw(cid, "follows/created", seed), days).alias("created_at"))
 
 
 def followers(ids: DataFrame, max_user_id: int | Column, as_of: Column, count: int | None = None,
-              seed: int = 42, key: str = "id") -> DataFrame:
+              seed: int = 42, key: str = "id", days: int = 60) -> DataFrame:
     """Distinct edges without self-follows from one candidate per id.
 
     `count` keeps that many of them, in random order, by dense row numbers, so no single task
     or driver holds the kept rows.
     """
-    edges = latest_moment(not_self(follow_candidates(ids, max_user_id, as_of, seed, key)),
+    edges = latest_moment(not_self(follow_candidates(ids, max_user_id, as_of, seed, key, days)),
                           ["follower_id", "following_id"])
     if count is None:
         return edges
@@ -132,13 +176,13 @@ def _keep(pairs: DataFrame, key: list[str], count: int, name: str) -> DataFrame:
 
 
 def likes(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Column, as_of: Column,
-          count: int | None = None, seed: int = 42, key: str = "id") -> DataFrame:
+          count: int | None = None, seed: int = 42, key: str = "id", days: int = 30) -> DataFrame:
     """Distinct (post, user) likes with dense like ids; `count` keeps that many, in random order."""
     cid = F.col(key)
     candidates = ids.select(
         between(draw(cid, "likes/post", seed), 1, max_post_id).alias("post_id"),
         between(draw(cid, "likes/user", seed), 1, max_user_id).alias("user_id"),
-        moment_before(as_of, draw(cid, "likes/created", seed), 30).alias("created_at"))
+        moment_before(as_of, draw(cid, "likes/created", seed), days).alias("created_at"))
     pairs = latest_moment(candidates, ["post_id", "user_id"])
     key = ["post_id", "user_id"]
     numbered = number_rows(pairs, key, "like_id") if count is None else _keep(pairs, key, count, "like_id")

@@ -102,6 +102,7 @@ def delete_by_key(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 class FollowBatch(NamedTuple):
     edges: DataFrame
+    added: DataFrame
     users: DataFrame
     log: DataFrame
 
@@ -110,11 +111,15 @@ def classify_follows(requests: DataFrame, users: DataFrame, edges: DataFrame) ->
     """Each request with its status.
 
     COMMITTED needs two known users, a pair that is not stored, and to be the first request for
-    that pair; anything else is ABORTED. Self-follows are accepted. Pairs are judged once and
-    the verdict goes back to the requests, so repeated requests cost one row in the joins.
+    that pair; anything else is ABORTED, and so is a request marked in an optional boolean column
+    `simulate_error`. Self-follows are accepted. Pairs are judged once and the verdict goes back
+    to the requests, so repeated requests cost one row in the joins.
     """
     pair = ["follower_id", "following_id"]
-    pairs = requests.groupBy(*pair).agg(F.min("request_id").alias("winner"))
+    tried = requests
+    if "simulate_error" in requests.columns:
+        tried = requests.filter(~F.coalesce("simulate_error", F.lit(False)))
+    pairs = tried.groupBy(*pair).agg(F.min("request_id").alias("winner"))
     known = users.select("user_id")
     # The anti join comes first: the pairs are already partitioned by both columns.
     valid = (pairs.join(edges.select(*pair), pair, "left_anti")
@@ -130,8 +135,9 @@ def follow_batch(requests: DataFrame, users: DataFrame, edges: DataFrame,
     """Process follow requests: new edges, both counters of each new edge, and an audit log.
 
     The follower's following_count and the followed user's follower_count go up by one per
-    committed request. Aborted requests leave a log row and nothing else. Set `keep` when more
-    than one of the outputs is written: the verdicts are then stored once and not worked out again.
+    committed request. Aborted requests leave a log row and nothing else. `added` alone can be
+    appended to the stored edges. Set `keep` when more than one of the outputs is written: the
+    verdicts are then stored once and not worked out again.
     """
     judged = classify_follows(requests, users, edges)
     if keep:
@@ -153,19 +159,21 @@ def follow_batch(requests: DataFrame, users: DataFrame, edges: DataFrame,
                     following_id=F.col("following_id")).alias("operation_data"),
         F.col("at").alias("created_at"), F.col("at").alias("completed_at"))
     return FollowBatch(
-        edges.unionByName(added),
+        edges.unionByName(added), added,
         apply_counters(users, deltas, "user_id", ["follower_count", "following_count"]), log)
 
 
 class LikeBatch(NamedTuple):
     likes: DataFrame
+    added: DataFrame
     posts: DataFrame
 
 
 def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame, keep: bool = False) -> LikeBatch:
     """Insert-ignore likes, and raise like_count of a post by its newly inserted likes only.
 
-    `keep` stores the new likes once when both outputs are written.
+    `added` alone can be appended to the stored likes. `keep` stores the new likes once when more
+    than one output is written.
     """
     pair = ["post_id", "user_id"]
     earliest = top_per_key(requests, pair, [F.asc("at"), F.asc("request_id")], 1)
@@ -174,7 +182,7 @@ def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame, keep: bo
         fresh = durable(fresh)
     rows = fresh.select(*pair, F.col("at").alias("created_at"))
     deltas = fresh.select("post_id", F.lit(1).cast("long").alias("like_count"))
-    return LikeBatch(likes.select(*pair, "created_at").unionByName(rows),
+    return LikeBatch(likes.select(*pair, "created_at").unionByName(rows), rows,
                      apply_counters(posts, deltas, "post_id", ["like_count"]))
 
 

@@ -180,6 +180,22 @@ def _(t):
                              moment(EVENTS_AS_OF))
 
 
+@query("g1_plain_users")
+def _(t):
+    return generate.plain_users(_ids(t, "customer", "c_custkey", "user_id"))
+
+
+@query("g2_plain_posts")
+def _(t):
+    return generate.plain_posts(_ids(t, "orders", "o_orderkey", "post_id"), _user_total(t), moment(EVENTS_AS_OF))
+
+
+@query("g3_plain_comments")
+def _(t):
+    return generate.plain_comments(_ids(t, "events", "event_id", "comment_id"), _post_total(t), _user_total(t),
+                                   moment(EVENTS_AS_OF))
+
+
 @query("g4_followers")
 def _(t):
     return generate.followers(_ids(t, "events", "event_id", "id"), _user_total(t), moment(EVENTS_AS_OF))
@@ -651,6 +667,14 @@ def _(t):
     return _follows(t).users
 
 
+@query("m7_follow_added")
+def _(t):
+    """Only the new edges, with one kind of event failing on purpose."""
+    failing = t.raw("events").select(F.col("event_id").alias("request_id"),
+                                     (F.col("event_type") == "error").alias("simulate_error"))
+    return maintenance.follow_batch(t.follow_requests.join(failing, "request_id"), t.accounts, t.stored_edges).added
+
+
 @query("m8_like_rows")
 def _(t):
     return maintenance.like_batch(t.like_requests, t.posts, t.post_likes).likes
@@ -748,6 +772,21 @@ def _(t):
     return outbox.read_model(t.spark, _streamed(t, t.event_outbox))
 
 
+def _projected_once(t):
+    return outbox.project_once(t.event_outbox, t.read_model)
+
+
+@query("r1_batch_projection")
+def _(t):
+    """All pending events projected as one batch over an existing model."""
+    return _projected_once(t).model
+
+
+@query("r1_flagged_outbox")
+def _(t):
+    return _projected_once(t).outbox.select("event_id", "event_type", "aggregate_id", "processed")
+
+
 @query("r2_idempotent_replay")
 def _(t):
     """All events arrive twice, in two runs of the same stream."""

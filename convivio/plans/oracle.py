@@ -70,6 +70,10 @@ TABLES = {
     "folded": """SELECT k AS post_id, min_by(user_id, event_id) AS user_id, max_by(event_type, event_id) AS content,
         min_by(ts, event_id) AS created_at, max_by(ts, event_id) AS indexed_at,
         min(event_id) AS first_event_id, max(event_id) AS last_event_id FROM ev GROUP BY k""",
+    "pending_folded": """SELECT k AS post_id, min_by(user_id, event_id) AS user_id,
+        max_by(event_type, event_id) AS content, min_by(ts, event_id) AS created_at,
+        max_by(ts, event_id) AS indexed_at, min(event_id) AS first_event_id, max(event_id) AS last_event_id
+        FROM ev WHERE event_type <> 'view' GROUP BY k""",
     "like_requests": "SELECT event_id AS request_id, k AS post_id, user_id, ts AS moment FROM ev",
     "new_likes": """SELECT post_id, user_id, min(moment) AS created_at FROM like_requests r
         WHERE NOT EXISTS (SELECT 1 FROM post_likes l WHERE l.post_id = r.post_id AND l.user_id = r.user_id)
@@ -199,6 +203,12 @@ def _words(row_id: str, stream: str, words: list[str], size: str) -> str:
     return (f"array_to_string(list_transform(list_sort([{turns}])[1:{size}], lambda w: w.word), ' ')")
 
 
+def _place(row_id: str) -> str:
+    one, two = _chance(drawn_sql(row_id, "location/1"), 0.4), _chance(drawn_sql(row_id, "location/2"), 0.7)
+    names = [_text(place) for place in generate.LOCATIONS[:3]]
+    return f"CASE WHEN {one} THEN {names[0]} WHEN {two} THEN {names[1]} ELSE {names[2]} END"
+
+
 POSTS_AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-02-01 00:00:00"
 
@@ -246,6 +256,24 @@ def _generators() -> dict[str, str]:
             {_between(c('like_count'), 0, 1000)} AS like_count, {_chance(c('deleted'), 0.05)} AS is_deleted,
             {_before(EVENTS_AS_OF, c('created'), 30)} AS created_at
             FROM (SELECT event_id + 1 AS comment_id FROM events)""",
+        "g1_plain_users": f"""SELECT user_id,
+            'user_' || user_id || '_' || {_uuid("'42/username:' || user_id")} AS username,
+            'user_' || user_id || '_' || {_uuid("'42/email:' || user_id")} || '@example.com' AS email,
+            'User ' || user_id AS full_name, 'Bio for user ' || user_id AS bio,
+            {_between(drawn_sql('user_id', 'plain/follower_count'), 0, 999)} AS follower_count,
+            {_between(drawn_sql('user_id', 'plain/following_count'), 0, 499)} AS following_count,
+            {_between(drawn_sql('user_id', 'plain/post_count'), 0, 99)} AS post_count
+            FROM (SELECT c_custkey + 1 AS user_id FROM customer)""",
+        "g2_plain_posts": f"""SELECT post_id, {_between(drawn_sql('post_id', 'plain/user'), 1, users)} AS user_id,
+            'Post content #' || post_id || ' with some hashtags #social' AS content, {_place('post_id')} AS location,
+            {_before(EVENTS_AS_OF, drawn_sql('post_id', 'plain/created'), 390)} AS created_at
+            FROM (SELECT o_orderkey + 1 AS post_id FROM orders)""",
+        "g3_plain_comments": f"""SELECT comment_id,
+            {_between(drawn_sql('comment_id', 'plain/post'), 1, posts)} AS post_id,
+            {_between(drawn_sql('comment_id', 'plain/user'), 1, users)} AS user_id,
+            'Great post! #awesome #love' AS content,
+            {_before(EVENTS_AS_OF, drawn_sql('comment_id', 'plain/created'), 120)} AS created_at
+            FROM (SELECT event_id + 1 AS comment_id FROM events)""",
         "g4_followers": f"""SELECT follower_id, following_id, max(created_at) AS created_at FROM (
             SELECT {_between(e('follows/from'), 1, users)} AS follower_id,
                 {_between(e('follows/to'), 1, users)} AS following_id,
@@ -265,9 +293,7 @@ def _generators() -> dict[str, str]:
             JOIN (SELECT user_id * 7 + 3 AS account_id, row_number() OVER (ORDER BY user_id) - 1 AS slot
                   FROM accounts) p USING (slot)""",
         "t7_random_row": f"SELECT user_id, username, full_name FROM users ORDER BY {drawn_sql('user_id', 'sample')}, user_id LIMIT 1",
-        "f11_case_draws": f"""SELECT post_id, CASE WHEN {_chance(drawn_sql('post_id', 'location/1'), 0.4)}
-            THEN {_text(generate.LOCATIONS[0])} WHEN {_chance(drawn_sql('post_id', 'location/2'), 0.7)}
-            THEN {_text(generate.LOCATIONS[1])} ELSE {_text(generate.LOCATIONS[2])} END AS place FROM posts""",
+        "f11_case_draws": f"SELECT post_id, {_place('post_id')} AS place FROM posts",
         "fn_strings": f"""SELECT user_id, 'user_' || user_id || '_' || username AS joined, substr(username, 1, 8) AS head,
             replace(username, '#', '_') AS replaced, format('{{}}_{{}}_{{}}', 'run', 'on', user_id) AS formatted,
             upper(full_name) AS upper_name, lower(full_name) AS lower_name, username AS first_item,
@@ -293,6 +319,12 @@ _POST_COUNTS = """SELECT u.user_id, u.username, count(p.post_id) AS post_count
 _DAILY = """SELECT CAST(created_at AS DATE) AS creation_date, count(*) AS num_posts,
     avg(like_count) AS avg_likes FROM posts {where} GROUP BY 1 ORDER BY 1 DESC"""
 _READ_MODEL = "SELECT * FROM folded"
+_UPSERTED = """SELECT coalesce(p.post_id, f.post_id) AS post_id, coalesce(p.user_id, f.user_id) AS user_id,
+        coalesce(f.content, p.location) AS content, coalesce(p.created_at, f.created_at) AS created_at,
+        coalesce(f.indexed_at, p.created_at) AS indexed_at,
+        CASE WHEN p.post_id IS NULL THEN f.first_event_id ELSE -1 END AS first_event_id,
+        coalesce(f.last_event_id, -1) AS last_event_id
+        FROM posts p FULL JOIN {folded} f ON p.post_id = f.post_id"""
 _RECENT = f"WHERE created_at >= TIMESTAMP '{POSTS_AS_OF}' - INTERVAL 30 DAY"
 _SAMPLE_STATS = """SELECT f.grp AS "group", count, requested_iterations, error_count, min, max, mean, median, p95, p99,
     std_dev FROM sample_facts f LEFT JOIN ranks USING (grp)"""
@@ -457,12 +489,7 @@ PLAIN = {
         SELECT follower_id, following_id, min_by(moment, request_id) AS created_at FROM requests r
         WHERE NOT EXISTS (SELECT 1 FROM stored_edges e WHERE e.follower_id = r.follower_id
             AND e.following_id = r.following_id) GROUP BY follower_id, following_id""",
-    "m2_upsert": """SELECT coalesce(p.post_id, f.post_id) AS post_id, coalesce(p.user_id, f.user_id) AS user_id,
-        coalesce(f.content, p.location) AS content, coalesce(p.created_at, f.created_at) AS created_at,
-        coalesce(f.indexed_at, p.created_at) AS indexed_at,
-        CASE WHEN p.post_id IS NULL THEN f.first_event_id ELSE -1 END AS first_event_id,
-        coalesce(f.last_event_id, -1) AS last_event_id
-        FROM posts p FULL JOIN folded f ON p.post_id = f.post_id""",
+    "m2_upsert": _UPSERTED.format(folded="folded"),
     "m3_counter_apply": """SELECT u.user_id, u.username, u.post_count + count(c.comment_id) AS post_count
         FROM user_counters u LEFT JOIN comments c ON u.user_id = c.user_id GROUP BY u.user_id, u.username, u.post_count""",
     "m4_counter_drift": """SELECT p.post_id, like_count AS stored, count(l.like_id) AS actual,
@@ -483,6 +510,12 @@ PLAIN = {
         follower_count + (SELECT count(*) FROM judged j WHERE status = 'COMMITTED' AND j.following_id = a.user_id) AS follower_count,
         following_count + (SELECT count(*) FROM judged j WHERE status = 'COMMITTED' AND j.follower_id = a.user_id) AS following_count
         FROM accounts a""",
+    "m7_follow_added": """SELECT r.follower_id, r.following_id, min_by(r.moment, r.request_id) AS created_at FROM requests r
+        JOIN events v ON r.request_id = v.event_id AND v.event_type <> 'error'
+        WHERE EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = r.follower_id)
+        AND EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = r.following_id)
+        AND NOT EXISTS (SELECT 1 FROM stored_edges e WHERE e.follower_id = r.follower_id
+            AND e.following_id = r.following_id) GROUP BY r.follower_id, r.following_id""",
     "m8_like_rows": "SELECT post_id, user_id, created_at FROM post_likes UNION ALL SELECT * FROM new_likes",
     "m8_like_counters": """SELECT p.post_id, p.user_id, location, like_count + count(n.user_id) AS like_count, p.created_at
         FROM posts p LEFT JOIN new_likes n ON p.post_id = n.post_id
@@ -517,6 +550,8 @@ PLAIN = {
     "m13_rejected_batch": """SELECT count(*) AS requests, CAST(0 AS BIGINT) AS committed, count(*) AS count_before,
         count(*) AS count_after, true AS rolled_back FROM stored_edges""",
     "r1_outbox_projection": _READ_MODEL,
+    "r1_batch_projection": _UPSERTED.format(folded="pending_folded"),
+    "r1_flagged_outbox": "SELECT event_id, event_type, k AS aggregate_id, true AS processed FROM ev",
     "r2_idempotent_replay": _READ_MODEL,
     "r3_payload_decode": """SELECT event_id, k AS post_id, user_id, event_type AS content, ts AS created_at,
         ts AS indexed_at FROM ev WHERE event_type NOT IN ('error', 'signup')""",

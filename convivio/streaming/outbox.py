@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.filters import pending
 from ..operators.maintenance import fold_events, merge_folds, upsert_posts
+from ..operators.ordering import oldest_pending
 from ..schema import EVENT_OUTBOX, POSTS_READ_MODEL
 
 PAYLOAD = "post_id long, user_id long, content string, created_at string"
@@ -62,6 +64,24 @@ def project_batch(outbox: DataFrame) -> DataFrame:
     return fold_events(decode(outbox).events)
 
 
+class Projection(NamedTuple):
+    model: DataFrame
+    outbox: DataFrame
+
+
+def project_once(outbox: DataFrame, model: DataFrame, batch_size: int | None = None) -> Projection:
+    """The projection as one batch over tables: pending events into the model, then flagged.
+
+    `batch_size` takes the oldest pending events only. Rows that cannot be decoded stay pending.
+    """
+    batch = pending(outbox) if batch_size is None else oldest_pending(outbox, batch_size)
+    events = decode(batch).events
+    done = events.select("event_id", F.lit(True).alias("_done")).distinct()
+    flagged = outbox.join(done, "event_id", "left").withColumn(
+        "processed", F.col("processed") | F.coalesce("_done", F.lit(False)))
+    return Projection(upsert_posts(model, fold_events(events)), flagged.select(*outbox.columns))
+
+
 def read_outbox(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     """The outbox folder as a stream of Parquet files."""
     return (spark.readStream.schema(EVENT_OUTBOX).option("maxFilesPerTrigger", max_files).parquet(path))

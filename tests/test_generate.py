@@ -97,6 +97,19 @@ def test_weighted_locations(spark):
     assert odds(0.4, 0.7) == pytest.approx([0.4, 0.42, 0.18], abs=0.02)
 
 
+def test_plain_loader_rows(spark):
+    ids = spark.range(1, 1001)
+    users = g.plain_users(ids, key="id", token_length=8).collect()
+    assert all(u.username.startswith(f"user_{u.user_id}_") and len(u.username.split("_")[2]) == 8 for u in users)
+    assert all(u.full_name == f"User {u.user_id}" and u.follower_count < 1000 and u.post_count < 100 for u in users)
+    posts = g.plain_posts(ids, 10, as_of(), key="id", days=90, tags="#social #network").collect()
+    assert all(p.content == f"Post content #{p.post_id} with some hashtags #social #network" for p in posts)
+    assert {p.user_id for p in posts} == set(range(1, 11))
+    comments = g.plain_comments(ids, 5, 5, as_of(), key="id").collect()
+    assert {c.content for c in comments} == {"Great post! #awesome #love"}
+    assert all(AS_OF - dt.timedelta(days=120) <= c.created_at <= AS_OF for c in comments)
+
+
 def test_streams_and_seeds_differ(spark):
     df = spark.range(1000).select(*[
         (draws.draw(F.col("id"), s, seed) % 2).alias(n) for n, s, seed in

@@ -71,6 +71,26 @@ def test_rejected_batch_changes_nothing(spark):
     assert (row.requests, row.committed, row.count_before, row.count_after, row.rolled_back) == (3, 0, 1, 1, True)
 
 
+def test_simulated_error_rolls_back_and_lets_a_later_request_win(spark):
+    users, edges = user_table(spark, [1, 2]), edge_table(spark, [])
+    batch = requests(spark, [(2, 1), (2, 1), (1, 2)]).withColumn("simulate_error", F.col("request_id") != 1)
+    out = m.follow_batch(batch, users, edges)
+    assert [(r.follower_id, r.following_id, r.created_at) for r in out.added.collect()] == [(2, 1, at(1))]
+    assert sorted(tuple(r)[2:] for r in out.users.collect()) == [(0, 1), (1, 0)]
+    assert sorted(r.status for r in out.log.collect()) == ["ABORTED", "ABORTED", "COMMITTED"]
+
+
+def test_hot_account_in_requests(spark):
+    """One followed account holds a third of the requests."""
+    pairs = [(n % 400, 5 if n % 3 == 0 else n % 371) for n in range(3000)]
+    known = list(range(300))
+    out = m.follow_batch(requests(spark, pairs), user_table(spark, known), edge_table(spark, [(0, 5)]))
+    edges, status, counters = follow_one_by_one(pairs, known, [(0, 5)])
+    assert sorted((r.follower_id, r.following_id) for r in out.edges.collect()) == sorted(edges)
+    assert {r.user_id: (r.follower_count, r.following_count) for r in out.users.collect()} == counters
+    assert out.log.filter("status = 'COMMITTED'").count() == status.count("COMMITTED")
+
+
 def test_follow_batch_with_no_requests(spark):
     out = m.follow_batch(requests(spark, []), user_table(spark, [1]), edge_table(spark, [(1, 1)]))
     assert (out.edges.count(), out.users.count(), out.log.count()) == (1, 1, 0)

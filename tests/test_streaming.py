@@ -78,6 +78,25 @@ def test_bad_payloads_go_to_rejects(spark, base):
     assert rejected.columns == schema.EVENT_OUTBOX.names
 
 
+def test_batches_of_pending_events_reach_the_same_model(spark):
+    events = [event(n, n % 7, n % 3, f"t{n}") for n in range(50)]
+    bad = (50, "POST_CREATED", 1, "{", False, at(50))
+    table = spark.createDataFrame(rows_of(events) + [bad], schema.EVENT_OUTBOX)
+    model = spark.createDataFrame([], schema.POSTS_READ_MODEL)
+    taken = []
+    for _ in range(3):
+        out = outbox.project_once(table, model, batch_size=20)
+        table = spark.createDataFrame(out.outbox.collect(), schema.EVENT_OUTBOX)
+        model = spark.createDataFrame(out.model.collect(), schema.POSTS_READ_MODEL)
+        taken.append(table.filter("processed").count())
+    assert taken == [20, 40, 50]
+    assert sorted(tuple(r) for r in model.collect()) == upsert_one_by_one(events)
+    assert [r.event_id for r in table.filter("NOT processed").collect()] == [50]
+    whole = outbox.project_once(spark.createDataFrame(rows_of(events), schema.EVENT_OUTBOX),
+                                spark.createDataFrame([], schema.POSTS_READ_MODEL))
+    assert sorted(tuple(r) for r in whole.model.collect()) == upsert_one_by_one(events)
+
+
 def test_decode_of_an_empty_outbox(spark):
     out = outbox.decode(spark.createDataFrame([], schema.EVENT_OUTBOX))
     assert out.events.count() == out.rejects.count() == 0
