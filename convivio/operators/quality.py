@@ -78,8 +78,12 @@ def foreign_key_report(links: Sequence[tuple[str, DataFrame, str, DataFrame, str
 
 def cascade_delete(deleted: DataFrame, children: Mapping[str, tuple[DataFrame, Sequence[str]]],
                    key: str = "user_id") -> dict[str, DataFrame]:
-    """Children left after the listed parents go; each child names its referring columns."""
-    gone = deleted.select(key).distinct()
+    """Children left after the listed parents go; each child names its referring columns.
+
+    `deleted` meets the children without an aggregate in between: AQE splits the partition of a
+    user with very many children only when both join inputs are plain exchanges.
+    """
+    gone = deleted.select(key)
     left = {}
     for name, (child, columns) in children.items():
         for column in columns:

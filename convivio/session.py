@@ -64,8 +64,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A path under the shared folder that no other call returns."""
-    return f"{shared_dir(spark)}/convivio-{tag}-{uuid.uuid4().hex}"
+    """A path no other call returns, in this application's part of the shared folder."""
+    return f"{shared_dir(spark)}/convivio-{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
 
 
 def durable(df: DataFrame) -> DataFrame:
