@@ -35,23 +35,32 @@ def prepare(spark: SparkSession, folder: str | None = None) -> SparkSession:
     for key, value in SESSION_DEFAULTS.items():
         spark.conf.set(key, value)
     if folder:
-        size_shuffles(spark, folder)
+        size_tasks(spark, folder)
     return spark
 
 
-def size_shuffles(spark: SparkSession, folder: str) -> None:
-    """Raise the shuffle width to the input: one partition per GiB, at most 50,000.
+def task_sizes(input_bytes: int) -> tuple[int, int]:
+    """Shuffle partitions and bytes per read task for an input of this size.
 
-    The queries shuffle a few narrow, pre-aggregated columns of the folder's tables, so a GiB of
-    input leaves a partition well below an executor's memory; AQE merges those that are small.
-    The setting is never lowered.
+    A query may shuffle about as many bytes as its largest table holds, so there is one shuffle
+    partition per 256 MiB, and at most 100,000 of them. Read tasks grow to 1 GiB, because the
+    driver tracks read tasks times shuffle partitions. At 100 TB both are near 100,000.
     """
+    mib = 2**20
+    return (min(100_000, -(-input_bytes // (256 * mib))),
+            max(128 * mib, min(1024 * mib, input_bytes // 100_000)))
+
+
+def size_tasks(spark: SparkSession, folder: str) -> None:
+    """Raise, never lower, the session's task sizes to suit a folder; AQE merges small partitions."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
-    size = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
-    wanted = min(50_000, -(-size // 2**30))
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    partitions, read_bytes = task_sizes(system.getContentSummary(path).getLength())
+    if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    if read_bytes > 128 * 2**20:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(read_bytes))
 
 
 def shared_dir(spark: SparkSession) -> str:
