@@ -717,10 +717,11 @@ def _(t):
 @query("m11_outbox_events")
 def _(t):
     """The events of the same commands, with their payloads decoded again."""
-    events = maintenance.create_posts(t.post_commands).outbox
-    decoded = outbox.decode(events).events
-    kept = events.select("event_id", "event_type", "aggregate_id", "processed")
-    return kept.join(decoded, "event_id")
+    parsed = outbox.parse(maintenance.create_posts(t.post_commands).outbox)
+    return parsed.filter("_whole").select(
+        "event_id", "event_type", "aggregate_id", "processed", F.col("_p_post_id").alias("post_id"),
+        F.col("_p_user_id").alias("user_id"), F.col("_p_content").alias("content"),
+        F.col("_p_at").alias("created_at"), F.col("created_at").alias("indexed_at"))
 
 
 @query("m12_constraint_audit")

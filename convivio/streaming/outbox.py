@@ -73,12 +73,16 @@ def project_once(outbox: DataFrame, model: DataFrame, batch_size: int | None = N
     """The projection as one batch over tables: pending events into the model, then flagged.
 
     `batch_size` takes the oldest pending events only. Rows that cannot be decoded stay pending.
+    Without it the flags follow from each row alone and need no join.
     """
     batch = pending(outbox) if batch_size is None else oldest_pending(outbox, batch_size)
     events = decode(batch).events
-    done = events.select("event_id", F.lit(True).alias("_done")).distinct()
-    flagged = outbox.join(done, "event_id", "left").withColumn(
-        "processed", F.col("processed") | F.coalesce("_done", F.lit(False)))
+    if batch_size is None:
+        flagged = parse(outbox).withColumn("processed", F.col("processed") | F.col("_whole"))
+    else:
+        done = events.select("event_id", F.lit(True).alias("_done"))
+        flagged = outbox.join(done, "event_id", "left").withColumn(
+            "processed", F.col("processed") | F.coalesce("_done", F.lit(False)))
     return Projection(upsert_posts(model, fold_events(events)), flagged.select(*outbox.columns))
 
 
