@@ -203,8 +203,9 @@ def _(t):
 
 @query("g5_likes")
 def _(t):
-    ids = _ids(t, "orders", "o_orderkey", "id")
-    return generate.likes(ids, F.lit(1000), _user_total(t), moment(EVENTS_AS_OF))
+    """Few posts for many candidates, so that pairs repeat."""
+    posts = t.accounts.select(F.count(F.lit(1))).scalar()
+    return generate.likes(_ids(t, "orders", "o_orderkey", "id"), posts, _user_total(t), moment(EVENTS_AS_OF))
 
 
 @query("g6_random_time")

@@ -282,7 +282,7 @@ def _generators() -> dict[str, str]:
             WHERE follower_id <> following_id GROUP BY follower_id, following_id""",
         "g5_likes": f"""SELECT row_number() OVER (ORDER BY post_id, user_id) AS like_id, post_id, user_id,
             max(created_at) AS created_at FROM (
-            SELECT {_between(e('likes/post'), 1, 1000)} AS post_id, {_between(e('likes/user'), 1, users)} AS user_id,
+            SELECT {_between(e('likes/post'), 1, '(SELECT count(*) FROM supplier)')} AS post_id, {_between(e('likes/user'), 1, users)} AS user_id,
                 {_before(EVENTS_AS_OF, e('likes/created'), 30)} AS created_at
             FROM (SELECT o_orderkey + 1 AS id FROM orders)) GROUP BY post_id, user_id""",
         "g6_random_time": f"SELECT user_id, {_before(EVENTS_AS_OF, drawn_sql('user_id', 'time'), 90)} AS at FROM users",

@@ -51,15 +51,24 @@ def task_sizes(input_bytes: int) -> tuple[int, int]:
             max(128 * mib, min(1024 * mib, input_bytes // 100_000)))
 
 
+_FOLDER_BYTES: dict[str, int] = {}
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Bytes under a folder, listed once per process."""
+    if folder not in _FOLDER_BYTES:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        _FOLDER_BYTES[folder] = system.getContentSummary(path).getLength()
+    return _FOLDER_BYTES[folder]
+
+
 def size_tasks(spark: SparkSession, folder: str) -> None:
     """Raise, never lower, the session's task sizes to suit a folder; AQE merges small partitions."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    partitions, read_bytes = task_sizes(system.getContentSummary(path).getLength())
+    partitions, read_bytes = task_sizes(folder_bytes(spark, folder))
     if partitions > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
-    if read_bytes > 128 * 2**20:
+    if read_bytes > spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(read_bytes))
 
 

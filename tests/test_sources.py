@@ -113,6 +113,17 @@ def test_task_sizes_grow_with_the_input(spark, data):
     session.size_tasks(spark, data)
     assert [spark.conf.get(k) for k in keys] == before
     mib, tib = 2**20, 2**40
+    session._FOLDER_BYTES["/pretend"] = 300 * tib
+    try:
+        spark.conf.set(keys[1], "300MB")
+        session.size_tasks(spark, "/pretend")
+        assert [spark.conf.get(k) for k in keys] == ["100000", str(1024 * mib)]
+        spark.conf.set(keys[1], "2GB")
+        session.size_tasks(spark, "/pretend")
+        assert spark.conf.get(keys[1]) == "2GB"
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.set(key, value)
     assert session.task_sizes(10 * mib) == (1, 128 * mib)
     assert session.task_sizes(tib) == (4096, 128 * mib)
     assert session.task_sizes(100 * tib) == (100_000, 1024 * mib)
