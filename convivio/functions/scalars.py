@@ -47,5 +47,17 @@ def json_object(**fields: Column) -> Column:
     return F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
 
 
+def size_text(size: Column) -> Column:
+    """Readable size: bytes below 10 kB, then kB, MB, GB or TB, rounded half up, up to 10240 of each."""
+    text = F.when(size < 10 * 1024, F.concat(size.cast("string"), F.lit(" bytes")))
+    units = ["kB", "MB", "GB", "TB"]
+    for step, unit in enumerate(units, start=1):
+        # Halves of the unit below are cut off before rounding, so the remainder never carries twice.
+        halves = F.shiftright(size, 10 * step - 1)
+        rounded = F.concat(F.shiftright(halves + 1, 1).cast("string"), F.lit(f" {unit}"))
+        text = text.otherwise(rounded) if unit == units[-1] else text.when(halves < 20 * 1024 - 1, rounded)
+    return text
+
+
 def zero_if_null(value: Column) -> Column:
     return F.coalesce(value, F.lit(0).cast("long"))

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import round_even
+from ..functions.scalars import round_even, size_text
 
 
 def daily_posts(posts: DataFrame) -> DataFrame:
@@ -44,13 +44,28 @@ def partition_distribution(placed: Mapping[str, tuple[DataFrame, str]]) -> DataF
     return cells.withColumn("skew", F.max("row_count").over(table) / F.avg("row_count").over(table))
 
 
+def _listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path and length of a table's Parquet files, from the file listing (no file is opened)."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", True).load(path).select("path", "length"))
+
+
+def layout_distribution(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """Rows, files, bytes and readable size per partition folder of a written layout."""
+    folder = F.concat(F.lit(f"{column}="), F.col(column).cast("string"))
+    rows = spark.read.parquet(path).groupBy(folder.alias("partition_name")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+    named = F.regexp_extract("path", f"/({column}=[^/]+)/", 1)
+    sizes = _listed_files(spark, path).groupBy(named.alias("partition_name")).agg(
+        F.count(F.lit(1)).alias("num_files"), F.sum("length").alias("size_bytes"))
+    return rows.join(sizes, "partition_name").withColumn("size", size_text(F.col("size_bytes")))
+
+
 def file_sizes(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """Data files and megabytes per table, from the file listing (no file is opened)."""
+    """Data files and megabytes per table."""
     listed = None
     for name, path in paths.items():
-        found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .option("recursiveFileLookup", True).load(path))
-        files = found.select(F.lit(name).alias("table_name"), F.col("length").alias("bytes"))
+        files = _listed_files(spark, path).select(F.lit(name).alias("table_name"), F.col("length").alias("bytes"))
         listed = files if listed is None else listed.unionByName(files)
     return (listed.groupBy("table_name")
             .agg(F.count(F.lit(1)).alias("num_ranges"),

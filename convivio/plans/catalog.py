@@ -443,6 +443,14 @@ def _(t):
         "posts": (t.posts, "date_format(created_at, 'yyyyMM')")})
 
 
+@query("a5_layout_distribution")
+def _(t):
+    """Rows and size per folder of a written layout."""
+    path = tables.write_hash_layout(t.post_likes, _fresh(t, "spread"), "user_id")
+    found = aggregates.layout_distribution(t.spark, path, "shard")
+    return found.select("partition_name", "row_count", (F.col("size_bytes") > 0).alias("has_bytes"))
+
+
 @query("a6_file_sizes")
 def _(t):
     return aggregates.file_sizes(t.spark, {
@@ -841,6 +849,7 @@ def _(t):
         F.greatest(uid - 20, F.lit(0).cast("long")).alias("floor_zero"),
         F.greatest(F.lit(20).cast("long"), F.floor(uid / 5).cast("long")).alias("runs"),
         S.round_even(F.floor(v * 1000).cast("double") / 8, 2).alias("even"),
+        S.size_text(F.pow(F.col("event_id") % 97, 6.0).cast("long")).alias("size"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("epoch"))
 
 

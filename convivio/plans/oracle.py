@@ -457,6 +457,8 @@ PLAIN = {
             _placed("users", "user_id % 3"), _placed("comments", "comment_id % 3"),
             _placed("post_likes", "user_id % 3"), _placed("followers", "follower_id % 3"),
             _placed("posts", "strftime(created_at, '%Y%m')")])})""",
+    "a5_layout_distribution": """SELECT 'shard=' || (user_id % 3) AS partition_name, count(*) AS row_count,
+        true AS has_bytes FROM post_likes GROUP BY 1""",
     "a7_sample_stats": _SAMPLE_STATS,
     "a8_spread": """SELECT grp AS "group", round_even(avg(latency_ms), 2) AS average, round_even(min(latency_ms), 2) AS minimum,
         round_even(max(latency_ms), 2) AS maximum FROM samples GROUP BY grp""",
@@ -562,7 +564,11 @@ PLAIN = {
         strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') AS iso FROM comments""",
     "fn_math": """SELECT event_id, ((user_id - 50) % 3 + 3) % 3 AS shard, CAST(floor(value * 2.5::DOUBLE) AS BIGINT) AS floored,
         greatest(user_id - 20, 0) AS floor_zero, greatest(20, user_id // 5) AS runs,
-        round_even(CAST(floor(value * 1000) AS DOUBLE) / 8, 2) AS even, epoch_us(ts) // 1000000 AS epoch FROM events""",
+        round_even(CAST(floor(value * 1000) AS DOUBLE) / 8, 2) AS even, epoch_us(ts) // 1000000 AS epoch,
+        CASE WHEN b < 10240 THEN b || ' bytes' WHEN b // 512 < 20479 THEN (b // 512 + 1) // 2 || ' kB'
+             WHEN b // 524288 < 20479 THEN (b // 524288 + 1) // 2 || ' MB'
+             ELSE (b // 536870912 + 1) // 2 || ' GB' END AS size
+        FROM (SELECT *, CAST((event_id % 97) ** 6 AS BIGINT) AS b FROM events)""",
     "fn_nulls_json": """SELECT event_id, CASE WHEN event_type <> 'view' THEN k ELSE -1 END AS k_or_default, user_id,
         CASE WHEN event_type <> 'view' THEN k END AS k, json_extract_string(props, '$.k') AS chained FROM ev""",
 }

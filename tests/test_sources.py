@@ -96,6 +96,15 @@ def test_file_sizes_of_a_layout(spark, posts, tmp_path):
     assert row.size_mb == pytest.approx(sum(map(os.path.getsize, files)) / 1024 / 1024)
 
 
+def test_layout_distribution(spark, posts, tmp_path):
+    path = tables.write_hash_layout(posts, f"{tmp_path}/d", "user_id")
+    got = {r.partition_name: r for r in aggregates.layout_distribution(spark, path, "shard").collect()}
+    assert {n: r.row_count for n, r in got.items()} == {"shard=0": 10, "shard=1": 5, "shard=2": 5}
+    for name, r in got.items():
+        sizes = [os.path.getsize(f"{path}/{name}/{f}") for f in os.listdir(f"{path}/{name}") if f.endswith(".parquet")]
+        assert (r.num_files, r.size_bytes, r["size"]) == (len(sizes), sum(sizes), f"{sum(sizes)} bytes")
+
+
 def test_partition_skew(spark, posts):
     got = aggregates.partition_distribution({"posts": (posts, "pmod(user_id, 3)")}).collect()
     assert {r.partition_name: r.row_count for r in got} == {"0": 10, "1": 5, "2": 5}
