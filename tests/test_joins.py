@@ -1,5 +1,3 @@
-from collections import defaultdict
-
 import pytest
 from pyspark.sql import functions as F
 
