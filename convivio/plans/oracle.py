@@ -47,7 +47,7 @@ TABLES = {
     "samples": """SELECT event_type AS grp, event_id AS seq, value AS latency_ms,
         (event_type <> 'error' OR value < 300) AS ok FROM events""",
     "runs": """SELECT user_id AS series, CASE WHEN event_type IN ('click', 'view') THEN 'on' ELSE 'off' END AS mode,
-        value AS elapsed_ms, 97 AS inserted_rows FROM events""",
+        CAST(value AS DECIMAL(12, 3)) AS elapsed_ms, 97 AS inserted_rows FROM events""",
     "tx_id": "SELECT event_id, {uuid_tx} AS tx_id, event_type, ts, value FROM events",
     "transaction_events": """SELECT tx_id, event_id * 2 AS seq, 'PREPARED' AS status, ts AS moment FROM tx_id
         UNION ALL SELECT tx_id, event_id * 2 + 1, CASE WHEN event_type = 'error' THEN 'ABORTED' ELSE 'COMMITTED' END,
@@ -88,8 +88,8 @@ TABLES = {
         count(*) FILTER (WHERE NOT ok) AS error_count, min(latency_ms) FILTER (WHERE ok) AS min,
         max(latency_ms) FILTER (WHERE ok) AS max, round(avg(latency_ms) FILTER (WHERE ok), 9) AS mean,
         round(stddev_pop(latency_ms) FILTER (WHERE ok), 9) AS std_dev FROM samples GROUP BY grp""",
-    "mode_costs": """SELECT series, sum(elapsed_ms) FILTER (WHERE mode = 'on') / sum(inserted_rows) FILTER (WHERE mode = 'on') AS on_ms,
-        sum(elapsed_ms) FILTER (WHERE mode = 'off') / sum(inserted_rows) FILTER (WHERE mode = 'off') AS off_ms
+    "mode_costs": """SELECT series, CAST(sum(elapsed_ms) FILTER (WHERE mode = 'on') AS DOUBLE) / sum(inserted_rows) FILTER (WHERE mode = 'on') AS on_ms,
+        CAST(sum(elapsed_ms) FILTER (WHERE mode = 'off') AS DOUBLE) / sum(inserted_rows) FILTER (WHERE mode = 'off') AS off_ms
         FROM runs GROUP BY series""",
     "lowest": "SELECT user_id, username, user_id % 3 AS shard FROM users ORDER BY user_id LIMIT 50",
     "cross_pair": """SELECT a.user_id AS follower_id, a.username AS follower_name, a.shard AS follower_shard,
@@ -330,7 +330,7 @@ _SAMPLE_STATS = """SELECT f.grp AS "group", count, requested_iterations, error_c
     std_dev FROM sample_facts f LEFT JOIN ranks USING (grp)"""
 _BY_USER = "SELECT CAST(user_id AS VARCHAR) AS grp, event_id AS seq, value AS latency_ms, value < 300 AS ok FROM events"
 _MODES = """SELECT series, round_even(on_ms, 4) AS sync_per_insert_ms, round_even(off_ms, 4) AS async_per_insert_ms,
-    round_even(CASE WHEN coalesce({on}, 0) = 0 THEN 0 ELSE ({on} - {off}) / {on} * 100 END, 2) AS async_improvement_pct
+    round_even(CASE WHEN coalesce({on}, 0) = 0 THEN 0 ELSE ({on} - {off}) / {on} * 100 END, 2) + 0.0 AS async_improvement_pct
     FROM mode_costs"""
 _SUMMARY = """SELECT * FROM (
     SELECT 'exp1' AS experiment, true AS available, 'ok' AS status, 'write_mean_ms' AS metric,
@@ -346,8 +346,8 @@ _SUMMARY = """SELECT * FROM (
     UNION ALL SELECT 'exp4', true, 'committed', 'target_shard', following_shard FROM cross_pair
     UNION ALL SELECT 'exp5', true, 'dry-run', 'replica_count', least(2, count(DISTINCT user_id % 3)) FROM accounts
     UNION ALL SELECT 'exp6', false, 'pending', NULL, NULL FROM n_users)"""
-TABLES["all_costs"] = """SELECT sum(elapsed_ms) FILTER (WHERE mode = 'on') / sum(inserted_rows) FILTER (WHERE mode = 'on') AS on_ms,
-    sum(elapsed_ms) FILTER (WHERE mode = 'off') / sum(inserted_rows) FILTER (WHERE mode = 'off') AS off_ms FROM runs"""
+TABLES["all_costs"] = """SELECT CAST(sum(elapsed_ms) FILTER (WHERE mode = 'on') AS DOUBLE) / sum(inserted_rows) FILTER (WHERE mode = 'on') AS on_ms,
+    CAST(sum(elapsed_ms) FILTER (WHERE mode = 'off') AS DOUBLE) / sum(inserted_rows) FILTER (WHERE mode = 'off') AS off_ms FROM runs"""
 
 
 _READ_SUMMARY = f"""SELECT experiment, available, status, CASE experiment

@@ -149,7 +149,7 @@ class SocialTables:
         mode = F.when(F.col("event_type").isin("click", "view"), "on").otherwise("off")
         return self.raw("events").select(
             F.col("user_id").alias("series"), mode.alias("commit_mode"),
-            F.col("value").alias("elapsed_ms"), F.lit(97).cast("long").alias("inserted_rows"))
+            F.col("value").cast("decimal(12,3)").alias("elapsed_ms"), F.lit(97).cast("long").alias("inserted_rows"))
 
     @cached_property
     def transaction_events(self) -> DataFrame:
