@@ -232,10 +232,15 @@ def _links(nodes: DataFrame, docs: DataFrame, threshold: tuple[int, int], bands:
     rest = durable(linked.join(mixed, "bucket", "left_semi"))
     if rest.isEmpty():
         return roots
-    a = rest.select("bucket", *[F.col(c).alias(f"a_{c}") for c in ("node", "n", "packed", "share", "root")])
-    b = rest.select("bucket", *[F.col(c).alias(f"b_{c}") for c in ("node", "n", "packed", "share", "root")])
+    rest = rest.join(nodes.select("node", "bands"), "node")
+    used = ("node", "n", "packed", "share", "root", "bands")
+    a = rest.select("bucket", *[F.col(c).alias(f"a_{c}") for c in used])
+    b = rest.select("bucket", *[F.col(c).alias(f"b_{c}") for c in used])
+    # A pair that shares several buckets is made in the first of them only.
+    before = lambda bands: F.slice(bands, F.lit(1), F.array_position(bands, a["bucket"]).cast("int") - 1)
+    once = F.forall(F.zip_with(before(F.col("a_bands")), before(F.col("b_bands")), lambda x, y: x != y), lambda x: x)
     cross = a.join(b, (a["bucket"] == b["bucket"]) & (F.col("a_node") > F.col("b_node"))
-                   & (F.col("a_root") != F.col("b_root")) & fits & alike)
+                   & (F.col("a_root") != F.col("b_root")) & fits & alike & once)
     more = _confirmed(cross, full, num, den)
     return components(found.unionByName(more))
 
