@@ -4,8 +4,9 @@ The CGK walk (Chakraborty, Goldenberg, Koucky 2016) maps a sequence to a longer
 under a pointer, and a random bit that depends on j and the symbol decides whether the pointer moves on. Sequences at
 a small edit distance get embeddings at a small Hamming distance. Here symbols are words.
 
-Windows of the size of the benchmark items start at every word of every text. Windows with too few words of the
-items cannot be within the edit bound and are passed over (an exact count filter). The others are embedded; several
+Windows of the size of the benchmark items start at every word of every text. A text within k word edits of an item
+of n words shares n - 1 - 2k of its word pairs, so windows with fewer pairs of the items are passed over, and so are
+groups of items of which no item has enough pairs in the text (exact count filters). The others are embedded; several
 samples of embedded symbols, of several embeddings, are the keys of a locality-sensitive hash. Windows that agree
 with an item in one sample are verified: the least word edit distance between the item and any part of the text
 around the window must be at most `rate` of the item's words.
@@ -123,6 +124,14 @@ class Index:
             for word in words:
                 self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
         self.symbols = [self.symbols_of(words) for _, words in self.items]
+        pairs = [np.unique(self.pairs_of(s)) for s in self.symbols]
+        owners = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
+        every = np.concatenate([*pairs, np.zeros(0, np.uint64)])
+        order = np.argsort(every, kind="stable")
+        # Word pairs in order, and for each the items that hold it.
+        self.pairs, first = np.unique(every[order], return_index=True)
+        self.owners, self.bounds = owners[order], np.append(first, len(every))
+        self.needs = np.array([len(s) - 1 - 2 * self.most(n) for n, s in enumerate(self.symbols)], np.int64)
         sizes = np.array([len(s) for s in self.symbols], np.int64)
         self.groups: list[Group] = []
         for band in np.unique(sizes // STEP):
@@ -140,20 +149,41 @@ class Index:
         get = self.vocabulary.get
         return np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
 
+    @staticmethod
+    def pairs_of(symbols: np.ndarray) -> np.ndarray:
+        return (symbols[:-1] << np.uint64(32)) | symbols[1:]
+
     def most(self, number: int) -> int:
         return int(self.rate * len(self.symbols[number]))
 
     def candidates(self, symbols: np.ndarray) -> dict[int, np.ndarray]:
         """Item number -> sorted window starts that agree with it in a sample."""
-        known = np.concatenate([[0], np.cumsum(symbols > 0)])
         found: dict[int, list[np.ndarray]] = {}
+        pairs = self.pairs_of(symbols)
+        at = np.minimum(np.searchsorted(self.pairs, pairs), max(0, len(self.pairs) - 1))
+        held = self.pairs[at] == pairs if len(self.pairs) else np.zeros(len(pairs), bool)
+        # Occurrences of pairs in the text, added up over the items that hold them.
+        times = np.bincount(at[held], minlength=len(self.pairs))
+        hit = np.flatnonzero(times)
+        counts = np.zeros(len(self.items), np.int64)
+        for pair in hit:
+            counts[self.owners[self.bounds[pair]:self.bounds[pair + 1]]] += times[pair]
+        able = counts >= self.needs
+        if not able.any():
+            return {}
+        words = np.concatenate([[0], np.cumsum(symbols > 0)])
+        known = np.concatenate([[0], np.cumsum(held), [held.sum()]])
+        first = np.arange(len(symbols))
         for group in self.groups:
+            if not able[group.numbers].any():
+                continue
             size = group.size
             # Windows at the end of the text are shorter.
-            ends = np.minimum(np.arange(len(symbols)) + size, len(symbols))
-            starts = np.flatnonzero(known[ends] - known[:-1] >= size - group.most)
-            for at in range(0, len(starts), 4096):
-                self._agree(group, symbols, starts[at:at + 4096], found)
+            enough = words[np.minimum(first + size, len(symbols))] - words[first] >= size - group.most
+            enough &= known[np.minimum(first + size + group.most, len(symbols))] - known[first] >= size - 1 - 2 * group.most
+            starts = first[enough]
+            for low in range(0, len(starts), 4096):
+                self._agree(group, symbols, starts[low:low + 4096], found)
         return {n: np.unique(np.concatenate(parts)) for n, parts in found.items()}
 
     def _agree(self, group: Group, symbols: np.ndarray, starts: np.ndarray, found: dict) -> None:

@@ -375,9 +375,15 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, window_chars: int = 400
 
     Only documents of at most `window_chars` characters are taken, which bounds what the driver reads.
     """
-    turn = F.xxhash64("doc_id", "text")
-    short = docs.filter(F.length("text") <= window_chars).select("doc_id", "text")
-    pick = lambda df: [r["text"] for r in df.orderBy(turn).limit(sample_docs // 2).select("text").collect()]
+    short = docs.filter(F.length("text") <= window_chars).select("text", F.xxhash64("doc_id", "text").alias("turn"))
+
+    def pick(df: DataFrame) -> list[str]:
+        # The hashes are drawn first, so that the driver never gets more texts than it uses.
+        least = [r["turn"] for r in df.select("turn").distinct().orderBy("turn").limit(sample_docs // 2).collect()]
+        if not least:
+            return []
+        return [r["text"] for r in df.filter(F.col("turn") <= least[-1]).dropDuplicates(["turn"]).orderBy("turn").collect()]
+
     texts = pick(short.filter(F.col("text").rlike("[0-9@]"))) + pick(short.filter(~F.col("text").rlike("[0-9@]")))
     tagger = Tagger()
     tagger.train(*training_windows(texts))

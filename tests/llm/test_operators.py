@@ -372,7 +372,7 @@ def plain_line_dedup(rows, min_lines, min_chars):
     seen, cuts = set(), defaultdict(set)
     for d, entries in enumerate(lines):
         for s in range(len(entries)):
-            for size in (1, min_lines):
+            for size in sorted({1, min_lines}):
                 run = tuple(x for _, x in entries[s:s + size])
                 if len(run) < size or size < min_lines and len(run[0]) < min_chars:
                     continue
