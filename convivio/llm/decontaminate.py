@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .common import without_ids
 
-RATE, EMBEDDINGS, SAMPLES, SAMPLED, STEP = 0.2, 4, 16, 4, 6
+RATE, EMBEDDINGS, SAMPLES, SAMPLED, STEP = 0.2, 2, 24, 4, 6
 # Characters of items in one block.
 BLOCK_CHARS = 4_000_000
 
@@ -56,27 +56,23 @@ def embed(symbols: np.ndarray, starts: np.ndarray, size: int, seed: int) -> np.n
     A pointer past its window writes 0, as padding.
     """
     steps = 2 * size
+    odd = _hash(np.arange(1, steps + 1, dtype=np.uint64) + np.uint64(seed << 32)) | np.uint64(1)
     out = np.zeros((len(starts), steps), np.uint64)
     at, end = starts.copy(), np.minimum(starts + size, len(symbols))
     padded = np.append(symbols, np.uint64(0))
     for j in range(steps):
         now = padded[np.where(at < end, at, len(symbols))]
         out[:, j] = now
-        bit = _hash(now * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed * 1_000_003 + j)) & np.uint64(1)
-        at = at + bit.astype(np.int64)
+        # Multiply-shift: the top bit of the symbol times a random odd number of this step.
+        at = at + ((now * odd[j]) >> np.uint64(63)).astype(np.int64)
     return out
 
 
-def sample_keys(embedded: np.ndarray, seed: int, samples: int, sampled: int) -> list[np.ndarray]:
-    """One key per sample of places."""
+def sample_keys(embedded: np.ndarray, seed: int, samples: int, sampled: int) -> np.ndarray:
+    """Keys of the sampled places, one column per sample."""
     places = np.random.default_rng(seed).integers(0, embedded.shape[1], (samples, sampled))
-    keys = []
-    for n, row in enumerate(places):
-        key = np.full(len(embedded), n + 1, np.uint64)
-        for place in row:
-            key = _hash(key ^ embedded[:, place])
-        keys.append(key)
-    return keys
+    odd = _hash(np.arange(1, sampled + 1, dtype=np.uint64)) | np.uint64(1)
+    return _hash((_hash(embedded[:, places]) * odd).sum(axis=2, dtype=np.uint64))
 
 
 def best_part(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
@@ -140,7 +136,7 @@ class Index:
             keys = []
             for e in range(EMBEDDINGS):
                 rows = np.concatenate([embed(self.symbols[n], np.zeros(1, np.int64), size, e) for n in numbers])
-                for key in sample_keys(rows, e, SAMPLES, SAMPLED):
+                for key in sample_keys(rows, e, SAMPLES, SAMPLED).T:
                     order = np.argsort(key, kind="stable")
                     keys.append((key[order], numbers[order]))
             self.groups.append(Group(size, max(self.most(n) for n in numbers), numbers, keys))
@@ -189,7 +185,7 @@ class Index:
     def _agree(self, group: Group, symbols: np.ndarray, starts: np.ndarray, found: dict) -> None:
         for e in range(EMBEDDINGS):
             rows = embed(symbols, starts, group.size, e)
-            for (keys, numbers), mine in zip(group.keys[e * SAMPLES:(e + 1) * SAMPLES], sample_keys(rows, e, SAMPLES, SAMPLED)):
+            for (keys, numbers), mine in zip(group.keys[e * SAMPLES:(e + 1) * SAMPLES], sample_keys(rows, e, SAMPLES, SAMPLED).T):
                 low, high = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
                 for hit in np.flatnonzero(high > low):
                     for number in numbers[low[hit]:high[hit]]:
