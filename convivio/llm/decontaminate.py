@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .common import without_ids
 
-RATE, EMBEDDINGS, SAMPLES, SAMPLED, STEP = 0.2, 2, 24, 4, 6
+RATE, EMBEDDINGS, SAMPLES, SAMPLED, STEP = 0.2, 3, 24, 2, 6
 # Characters of items in one block.
 BLOCK_CHARS = 4_000_000
 
@@ -120,7 +120,7 @@ class Index:
             for word in words:
                 self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
         self.symbols = [self.symbols_of(words) for _, words in self.items]
-        pairs = [np.unique(self.pairs_of(s)) for s in self.symbols]
+        self.own_pairs = pairs = [np.unique(self.pairs_of(s)) for s in self.symbols]
         owners = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
         every = np.concatenate([*pairs, np.zeros(0, np.uint64)])
         order = np.argsort(every, kind="stable")
@@ -154,7 +154,6 @@ class Index:
 
     def candidates(self, symbols: np.ndarray) -> dict[int, np.ndarray]:
         """Item number -> sorted window starts that agree with it in a sample."""
-        found: dict[int, list[np.ndarray]] = {}
         pairs = self.pairs_of(symbols)
         at = np.minimum(np.searchsorted(self.pairs, pairs), max(0, len(self.pairs) - 1))
         held = self.pairs[at] == pairs if len(self.pairs) else np.zeros(len(pairs), bool)
@@ -169,7 +168,7 @@ class Index:
             return {}
         words = np.concatenate([[0], np.cumsum(symbols > 0)])
         known = np.concatenate([[0], np.cumsum(held), [held.sum()]])
-        first = np.arange(len(symbols))
+        first, found = np.arange(len(symbols)), []
         for group in self.groups:
             if not able[group.numbers].any():
                 continue
@@ -179,17 +178,27 @@ class Index:
             enough &= known[np.minimum(first + size + group.most, len(symbols))] - known[first] >= size - 1 - 2 * group.most
             starts = first[enough]
             for low in range(0, len(starts), 4096):
-                self._agree(group, symbols, starts[low:low + 4096], found)
-        return {n: np.unique(np.concatenate(parts)) for n, parts in found.items()}
+                found += self._agree(group, symbols, starts[low:low + 4096], able)
+        if not found:
+            return {}
+        both = np.unique(np.concatenate(found))
+        numbers, at = both >> 40, both & 0xFFFFFFFFFF
+        return {int(n): at[numbers == n] for n in np.unique(numbers)}
 
-    def _agree(self, group: Group, symbols: np.ndarray, starts: np.ndarray, found: dict) -> None:
+    def _agree(self, group: Group, symbols: np.ndarray, starts: np.ndarray, able: np.ndarray) -> list[np.ndarray]:
+        """Items with enough pairs in the text and window starts that agree in some sample: number << 40 | start."""
+        out = []
         for e in range(EMBEDDINGS):
             rows = embed(symbols, starts, group.size, e)
             for (keys, numbers), mine in zip(group.keys[e * SAMPLES:(e + 1) * SAMPLES], sample_keys(rows, e, SAMPLES, SAMPLED).T):
-                low, high = np.searchsorted(keys, mine, "left"), np.searchsorted(keys, mine, "right")
-                for hit in np.flatnonzero(high > low):
-                    for number in numbers[low[hit]:high[hit]]:
-                        found.setdefault(int(number), []).append(starts[hit:hit + 1])
+                low = np.searchsorted(keys, mine, "left")
+                count = np.searchsorted(keys, mine, "right") - low
+                if not count.any():
+                    continue
+                inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                found = numbers[np.repeat(low, count) + inside]
+                out.append(((found << 40) | np.repeat(starts, count))[able[found]])
+        return out
 
     def matches(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item_id, first word, end word, distance) of the verified matches, each item's apart from each other."""
@@ -205,10 +214,13 @@ class Index:
                 # Windows whose surroundings overlap are verified as one stretch of bounded length.
                 last = int(np.searchsorted(starts, starts[at] + reach, "right"))
                 low, high = max(0, int(starts[at]) - most), int(starts[last - 1]) + reach
+                at = last
+                # The stretch itself must hold enough of the item's pairs.
+                if np.isin(self.pairs_of(symbols[low:high]), self.own_pairs[number]).sum() < self.needs[number]:
+                    continue
                 part = best_part(item, symbols[low:high], most)
                 if part and not (out and out[-1][0] == self.items[number][0] and out[-1][2] > low + part[1]):
                     out.append((self.items[number][0], low + part[1], low + part[2], part[0]))
-                at = last
         return out
 
 
