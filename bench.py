@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from convivio.plans.catalog import REGISTRY
@@ -38,7 +39,8 @@ def main() -> None:
     names = sorted(REGISTRY) if chosen == "all" else [n for n in chosen.split(",") if n] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8", "spark.ui.enabled": "false",
-        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g")})
+        "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name in names:

@@ -103,15 +103,15 @@ def compare_engines(first: DataFrame, second: DataFrame, payload: str = "payload
 
     The first document may hold nested groups or flat fields, the second flat fields; the
     defaults stand in for what is missing. Both inputs hold at most one document, reached as
-    scalar subqueries.
+    scalar subqueries; more than one fails the query.
     """
     # Nested group, flat field and the two defaults of each metric.
     fields = [("write", "write_primary", "write_mean_ms", 10.0, 20.0),
               ("read", "read_primary", "read_mean_ms", 5.0, 15.0),
               ("join", "secondary_join_metric", "join_mean_ms", 300.0, 120.0)]
     spark = first.sparkSession
-    one = first.agg(F.max(payload)).scalar()
-    two = second.agg(F.max(payload)).scalar()
+    only = F.when(F.count(payload) > 1, F.raise_error(F.lit("more than one document"))).otherwise(F.max(payload))
+    one, two = first.agg(only).scalar(), second.agg(only).scalar()
     docs = spark.range(1).select(one.alias("a"), two.alias("b"))
     a, b = F.col("a"), F.col("b")
     rows = F.array(*[

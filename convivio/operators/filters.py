@@ -12,11 +12,15 @@ from ..functions.scalars import shard_of
 from ..schema import SHARDS
 
 
-def point_lookup(df: DataFrame, key: str, value: Any) -> DataFrame:
-    """Rows whose key equals a value; on a hash layout the shard predicate prunes folders too."""
+def point_lookup(df: DataFrame, key: str, value: Any, layout: tuple[str, int] | None = None) -> DataFrame:
+    """Rows whose key equals a value.
+
+    `layout` names the key and the number of shards with which the table was written in hash layout. Only for that
+    key is the shard predicate added, which prunes folders.
+    """
     hit = F.col(key) == value
-    if "shard" in df.columns:
-        hit = hit & (F.col("shard") == value % SHARDS)
+    if layout and layout[0] == key:
+        hit = hit & (F.col("shard") == shard_of(F.lit(value), layout[1]))
     return df.filter(hit)
 
 

@@ -96,8 +96,8 @@ def floor_decrement(table: DataFrame, key: str, counter: str, removals: DataFram
 
 
 def delete_by_key(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not listed; the list is reduced to distinct keys first."""
-    return table.join(keys.select(key).distinct(), key, "left_anti").select(*table.columns)
+    """Rows whose key is not listed. The list is joined as it is, so that a hot join partition can be split."""
+    return table.join(keys.select(key), key, "left_anti").select(*table.columns)
 
 
 class FollowBatch(NamedTuple):

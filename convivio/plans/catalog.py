@@ -239,8 +239,8 @@ def _(t):
 @query("f1_pruned_lookup")
 def _(t):
     """The same on a hash layout: only one shard folder is read."""
-    path = tables.write_hash_layout(t.users, _fresh(t, "lookup"), "user_id")
-    return filters.point_lookup(tables.scan(t.spark, path), "user_id", 1).select(*t.users.columns)
+    path = tables.write_hash_layout(t.users, _fresh(t, "lookup"), "user_id", 8)
+    return filters.point_lookup(tables.scan(t.spark, path), "user_id", 1, ("user_id", 8)).select(*t.users.columns)
 
 
 @query("f2_text_lookup")

@@ -73,9 +73,12 @@ def size_tasks(spark: SparkSession, folder: str) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: `spark.checkpoint.dir`, or a local one if unset."""
+    """The folder all executors share: `spark.checkpoint.dir`. Only a local session may go without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="convivio-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

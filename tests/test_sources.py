@@ -31,7 +31,7 @@ def test_month_layout_takes_any_month_and_prunes(spark, posts, tmp_path, rows):
 def test_hash_layout_prunes_point_lookups(spark, posts, tmp_path, rows):
     path = tables.write_hash_layout(posts, f"{tmp_path}/h", "user_id")
     for found in (tables.read_hash_layout_key(spark, path, "user_id", 3),
-                  filters.point_lookup(tables.scan(spark, path), "user_id", 3)):
+                  filters.point_lookup(tables.scan(spark, path), "user_id", 3, ("user_id", 3))):
         assert rows(found.select(*posts.columns)) == rows(posts.filter("user_id = 3"))
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: [isnotnull(shard" in plan and "EqualTo(user_id,3)" in plan
@@ -146,3 +146,26 @@ def test_daily_posts_and_recent(spark):
     assert got == [(dt.date(2026, 2, 1), 1, None), (dt.date(2026, 1, 1), 2, 3.5)]
     edge = filters.since(df, F.lit("2026-01-31 06:00:00").cast("timestamp_ntz"), 30).collect()
     assert sorted(r.post_id for r in edge) == [2, 3]
+
+
+def test_point_lookup_uses_only_the_layout_it_is_given(spark, tmp_path, rows):
+    posts = spark.createDataFrame([(n, n % 5, f"t{n}") for n in range(20)], "post_id long, user_id long, name string")
+    path = tables.write_hash_layout(posts, str(tmp_path / "eight"), "user_id", 8)
+    stored, layout = tables.scan(spark, path), ("user_id", 8)
+    assert filters.point_lookup(stored, "user_id", 4, layout).count() == 4
+    assert filters.point_lookup(stored, "user_id", 4).count() == 4
+    assert rows(filters.point_lookup(stored, "post_id", 11, layout).select("post_id")) == [(11,)]
+    assert rows(filters.point_lookup(stored, "name", "t7", layout).select("post_id")) == [(7,)]
+    plan = filters.point_lookup(stored, "user_id", 4, layout)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan
+
+
+def test_shared_folder_is_required_off_local():
+    from types import SimpleNamespace
+
+    from convivio.session import shared_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
