@@ -344,7 +344,7 @@ def social_stats(t):
 @query("j2_social_stats_distinct")
 def _(t):
     """The same over raw candidates with duplicates: distinct likers and followers are counted."""
-    likes = t.like_candidates.withColumn("like_id", F.col("post_id") * 1000000 + F.col("user_id"))
+    likes = t.like_candidates.withColumn("like_id", F.col("post_id") * t._user_total() + F.col("user_id"))
     return joins.social_stats(t.users, t.posts, likes, t.follow_candidates, keys_unique=False)
 
 
@@ -759,7 +759,7 @@ def _(t):
 def _(t):
     """Every stored edge requested again: all requests are rejected and nothing changes."""
     again = t.stored_edges.select(
-        (F.col("follower_id") * 1000000 + F.col("following_id")).alias("request_id"),
+        (F.col("follower_id") * t._user_total() + F.col("following_id")).alias("request_id"),
         "follower_id", "following_id", F.col("created_at").alias("at"))
     return maintenance.rejected_batch_check(again, t.users, t.stored_edges)
 

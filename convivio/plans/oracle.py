@@ -26,7 +26,7 @@ TABLES = {
         CAST(floor(o_totalprice / 100) AS BIGINT) AS like_count, o_orderdate AS created_at FROM orders""",
     "like_candidates": """SELECT l_orderkey AS post_id, l_partkey % (SELECT n FROM n_users) AS user_id,
         l_shipdate AS created_at FROM lineitem""",
-    "post_likes": """SELECT post_id * 1000000 + user_id AS like_id, post_id, user_id,
+    "post_likes": """SELECT post_id * (SELECT count(*) FROM customer) + user_id AS like_id, post_id, user_id,
         max(created_at) AS created_at FROM like_candidates GROUP BY post_id, user_id""",
     "ev": "SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
     "comments": """SELECT event_id AS comment_id, k AS post_id, user_id, event_type AS content,
@@ -419,7 +419,7 @@ PLAIN = {
     "j2_social_stats_distinct": """SELECT u.user_id, u.username,
         (SELECT count(DISTINCT post_id) FROM posts p WHERE p.user_id = u.user_id) AS num_posts,
         coalesce(l.n, 0) AS num_likes, coalesce(f.n, 0) AS num_followers
-        FROM users u LEFT JOIN (SELECT p.user_id, count(DISTINCT c.post_id * 1000000 + c.user_id) AS n
+        FROM users u LEFT JOIN (SELECT p.user_id, count(DISTINCT c.post_id * (SELECT count(*) FROM customer) + c.user_id) AS n
             FROM posts p JOIN like_candidates c ON p.post_id = c.post_id GROUP BY p.user_id) l ON u.user_id = l.user_id
         LEFT JOIN (SELECT following_id, count(DISTINCT follower_id) AS n FROM follow_candidates
             GROUP BY following_id) f ON u.user_id = f.following_id""",

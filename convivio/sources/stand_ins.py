@@ -66,7 +66,7 @@ class SocialTables:
         newest = self.like_candidates.groupBy("post_id", "user_id").agg(
             F.max("created_at").alias("created_at"))
         return newest.select(
-            (F.col("post_id") * F.lit(1000000).cast("long") + F.col("user_id")).alias("like_id"),
+            (F.col("post_id") * self._user_total() + F.col("user_id")).alias("like_id"),
             "post_id", "user_id", "created_at")
 
     @cached_property

@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from convivio.plans import oracle
+from convivio.plans.catalog import REGISTRY
 from oracle_check import compare, connect
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = dict(REGISTRY), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +33,7 @@ def test_every_query_has_sql_or_a_reason():
     # DuckDB cannot see the folder the views read, so file sizes have no SQL.
     assert set(QUERIES) - set(SQL) == {"a6_file_sizes"}
     assert set(SQL) <= set(QUERIES)
+    assert QUERIES.items() <= contract.queries().items() and SQL.items() <= contract.oracle_sql().items()
 
 
 def test_file_sizes(spark, data):
