@@ -1,16 +1,17 @@
 """License scan with a positional index of rare tokens.
 
-The templates are split into words; their postings are (word, template, position). Document frequencies of the
-template words are counted over the whole table. Each file looks up its rarest template words (highest inverse
-document frequency), joins their places with the postings, and votes for (template, offset): words that stand in
-the template's order agree on the offset. An offset with enough of the template's rarity behind it is verified:
-all mandatory phrases of the template must stand in the text around it. Only DataFrame functions.
+The templates are split into words; their postings are (word, template, position). One pass over the texts stores
+the positional index: the places of all template words in each file. All that follows reads the index, not the
+texts. Document frequencies of the template words are counted over the whole table. Each file looks up its rarest
+template words (highest inverse document frequency), joins their places with the postings, and votes for (template,
+offset): words that stand in the template's order agree on the offset. An offset with enough of the template's
+rarity behind it is verified: all mandatory phrases of the template must stand around it. Only DataFrame functions.
 
 Base phrases are looked for in every text, wherever they stand; they always count.
 
 Defined results: a null text is empty and has no label and score 0. Repeated rows are scanned alike (rows with
-one id and different texts are scanned apart). An empty table gives an empty result. Extra columns pass through;
-the operator's own columns replace columns of the same name.
+one id and different texts are scanned apart). An empty table gives an empty result. Extra columns pass through,
+but for the text itself; the operator's own columns replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -63,19 +64,27 @@ def words_of(text: Column) -> Column:
 
 
 def vocabulary(templates=TEMPLATES) -> list[str]:
-    return sorted({w for _, text, _ in templates for w in text.split()})
+    """All words of the templates, their mandatory phrases and the base phrases."""
+    texts = [p for p, _ in PHRASES] + [t for _, text, phrases in templates for t in (text, *phrases)]
+    return sorted({w for text in texts for w in text.split()})
 
 
-def word_idf(docs: DataFrame, words: list[str]) -> dict[str, float]:
-    """Inverse document frequency of the template words over all documents.
+def places_of(text: Column, words: list[str]) -> tuple[Column, Column]:
+    """(number of words, places (i, w) of the given words in the text's order)."""
+    every = words_of(F.coalesce(ascii_lower(text), F.lit("")))
+    held = F.transform(every, lambda w, i: F.when(w.isin(words), F.struct(i.alias("i"), w.alias("w"))))
+    return F.size(every).cast("long"), F.filter(held, lambda x: x.isNotNull())
+
+
+def word_idf(index: DataFrame, words: list[str]) -> dict[str, float]:
+    """Inverse document frequency of the template words over all documents, from their `_hits`.
 
     The driver gets one number per template word, whatever the table holds.
     """
-    text = F.coalesce(ascii_lower(F.col("text")), F.lit(""))
-    present = F.array_intersect(words_of(text), F.array(*map(F.lit, words)))
+    present = F.array_distinct(F.transform("_hits", lambda x: x["w"]))
     # A null entry stands for the document itself, so that one pass counts documents too.
     marks = F.concat(present, F.array(F.lit(None).cast("string")))
-    found = {r["w"]: r["count"] for r in docs.select(F.explode(marks).alias("w")).groupBy("w").count().collect()}
+    found = {r["w"]: r["count"] for r in index.select(F.explode(marks).alias("w")).groupBy("w").count().collect()}
     total = found.get(None, 0)
     return {w: math.log((total + 1) / (found.get(w, 0) + 1)) + 0.01 for w in words}
 
@@ -102,14 +111,17 @@ def _map(values: dict) -> Column:
     return F.map_from_arrays(F.array(*map(F.lit, values)), F.array(*lits))
 
 
-def base_places(text: Column, words: Column) -> dict[str, Column]:
-    """Start words of each base phrase; texts without one of its words are not searched."""
+def base_places(hits: Column) -> dict[str, Column]:
+    """Start words of each base phrase: neighbours in the text are neighbours among the hits."""
     def places(parts: list[str]) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(words) - 1),
-                      lambda i: _all([F.get(words, i + k) == p for k, p in enumerate(parts)]))
-        # Other characters may part the words of a phrase in the text, so single words are tested first.
-        maybe = _all([text.contains(p) for p in parts])
-        return F.when(maybe & (F.size(words) > 0), at).otherwise(F.array().cast("array<int>"))
+        def begins(x: Column, at: Column) -> Column:
+            tests = [x["w"] == parts[0]]
+            for k, part in enumerate(parts[1:], 1):
+                other = F.get(hits, at + k)
+                tests += [other["w"] == part, other["i"] == x["i"] + k]
+            return F.when(_all(tests), x["i"])
+
+        return F.filter(F.transform(hits, begins), lambda i: i.isNotNull())
 
     return {phrase: places(phrase.split()) for phrase, _ in PHRASES}
 
@@ -122,7 +134,7 @@ def _all(tests: list[Column]) -> Column:
 
 
 def _candidates(files: DataFrame, idf: dict[str, float], templates, rarest: int, least_share: float) -> DataFrame:
-    """(doc_id, _key, _found, _share): verified templates of each file; `files` has doc_id, _key, _words, _rare."""
+    """(doc_id, _key, _found, _share): verified templates of each file; `files` has doc_id, _key, _hits, _rare."""
     chosen = [chosen_words(idf, text, rarest) for _, text, _ in templates]
     total = _map({t: sum(idf[w] for w in text.split() if w in chosen[t]) for t, (_, text, _) in enumerate(templates)})
     # A template whose looked-up words are not all but present cannot win at any offset.
@@ -135,8 +147,7 @@ def _candidates(files: DataFrame, idf: dict[str, float], templates, rarest: int,
         test = share >= least_share * weight - 1e-9
         could = test if could is None else could | test
     near = durable(files.filter(could).dropDuplicates(["doc_id", "_key"]))
-    hits = F.filter(F.transform("_words", lambda w, i: F.struct(i.alias("i"), w.alias("w"))),
-                    lambda x: F.array_contains(F.col("_rare"), x["w"]))
+    hits = F.filter("_hits", lambda x: F.array_contains(F.col("_rare"), x["w"]))
     placed = near.select("doc_id", "_key", F.explode(hits).alias("h")).select(
         "doc_id", "_key", F.col("h.i").alias("_i"), F.element_at(_map(idf), F.col("h.w")).alias("_idf"),
         F.explode(F.try_element_at(_postings(idf, templates, rarest), F.col("h.w"))).alias("p"))
@@ -151,10 +162,14 @@ def _candidates(files: DataFrame, idf: dict[str, float], templates, rarest: int,
     won = won.withColumnsRenamed({"doc_id": "_d", "_key": "_k"})
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k"))
     length = F.element_at(_map({t: len(text.split()) for t, (_, text, _) in enumerate(templates)}), F.col("_t"))
-    around = F.slice("_words", F.greatest(F.col("_off") - 3, F.lit(1)), length + 12)
+    low = F.greatest(F.col("_off") - 3, F.lit(1)) - 1
+    around = F.filter("_hits", lambda x: (x["i"] >= low) & (x["i"] < low + length + 12))
+    # A bar, which no word holds, stands where words between two hits are left out.
+    spaced = F.transform("_around", lambda x, k: F.when(
+        F.get(F.col("_around"), k - 1)["i"] == x["i"] - 1, x["w"]).otherwise(F.concat(F.lit("| "), x["w"])))
     phrases = F.element_at(_map({t: F.array(*map(F.lit, p)) for t, (_, _, p) in enumerate(templates)}), F.col("_t"))
-    line = F.concat(F.lit(" "), F.array_join(around, " "), F.lit(" "))
-    checked = near.join(won, same).withColumn("_line", line).filter(
+    line = F.concat(F.lit(" "), F.array_join(spaced, " "), F.lit(" "))
+    checked = near.join(won, same).withColumn("_around", around).withColumn("_line", line).filter(
         F.forall(phrases, lambda p: F.contains(F.col("_line"), F.concat(F.lit(" "), p, F.lit(" ")))))
     label = F.element_at(_map({t: name for t, (name, _, _) in enumerate(templates)}), F.col("_t"))
     return checked.groupBy(F.col("_d"), F.col("_k")).agg(
@@ -162,27 +177,24 @@ def _candidates(files: DataFrame, idf: dict[str, float], templates, rarest: int,
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, rarest: int = RAREST, least_share: float = LEAST_SHARE) -> DataFrame:
-    """Every row with n_words, n_base, first_word, last_word, base_labels, labels and score.
+    """Every row, without its text, with n_words, n_base, first_word, last_word, base_labels, labels and score.
 
     The score is the largest agreeing share of a verified template, or a half if only a base phrase stands.
     """
-    own = {"n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"}
+    own = {"text", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"}
     vocab = vocabulary(templates)
-    idf = word_idf(docs, vocab)
-    text = F.coalesce(ascii_lower(F.col("text")), F.lit(""))
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in own]
-    df = docs.select(*kept, text.alias("_text")).withColumn("_words", words_of(F.col("_text")))
-    df = df.withColumn("_key", F.xxhash64("_text"))
-    present = F.array_intersect("_words", F.array(*map(F.lit, vocab)))
-    ranked = F.array_sort(F.transform(
-        present, lambda w: F.struct((-F.element_at(_map(idf), w)).alias("r"), w.alias("w"))))
-    files = df.select("doc_id", "_key", "_words", F.transform(F.slice(ranked, 1, 2 * rarest), lambda x: x["w"]).alias("_rare"))
+    n_words, hits = places_of(F.col("text"), vocab)
+    index = durable(docs.select(*kept, F.xxhash64("text").alias("_key"), n_words.alias("n_words"), hits.alias("_hits")))
+    idf = word_idf(index, vocab)
+    ranked = F.array_sort(F.transform(F.array_distinct(F.transform("_hits", lambda x: x["w"])), lambda w: F.struct(
+        (-F.element_at(_map(idf), w)).alias("r"), w.alias("w"))))
+    files = index.select("doc_id", "_key", "_hits", F.transform(F.slice(ranked, 1, 2 * rarest), lambda x: x["w"]).alias("_rare"))
     found = _candidates(files, idf, templates, rarest, least_share)
-    places = base_places(F.col("_text"), F.col("_words"))
+    places = base_places(F.col("_hits"))
     starts = F.concat(*places.values())
     base = F.filter(F.array(*[F.when(F.size(places[p]) > 0, F.lit(name)) for p, name in PHRASES]), lambda x: x.isNotNull())
-    df = df.select(*kept, "_key", F.size("_words").cast("long").alias("n_words"), starts.alias("_starts"),
-                   F.array_sort(F.array_distinct(base)).alias("_base"))
+    df = index.select(*kept, "_key", "n_words", starts.alias("_starts"), F.array_sort(F.array_distinct(base)).alias("_base"))
     joined = df.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
     labels = F.array_sort(F.array_distinct(F.concat("_base", F.coalesce("_found", F.array().cast("array<string>")))))
     least = F.when(F.size("_base") > 0, 0.5).otherwise(0.0)

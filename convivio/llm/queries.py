@@ -48,7 +48,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    return license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
