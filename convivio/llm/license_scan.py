@@ -69,11 +69,10 @@ def vocabulary(templates=TEMPLATES) -> list[str]:
     return sorted({w for text in texts for w in text.split()})
 
 
-def places_of(text: Column, words: list[str]) -> tuple[Column, Column]:
-    """(number of words, places (i, w) of the given words in the text's order)."""
-    every = words_of(F.coalesce(ascii_lower(text), F.lit("")))
+def places_of(every: str, words: list[str]) -> Column:
+    """Places (i, w) of the given words in a column of all words, in the text's order."""
     held = F.transform(every, lambda w, i: F.when(w.isin(words), F.struct(i.alias("i"), w.alias("w"))))
-    return F.size(every).cast("long"), F.filter(held, lambda x: x.isNotNull())
+    return F.filter(held, lambda x: x.isNotNull())
 
 
 def word_idf(index: DataFrame, words: list[str]) -> dict[str, float]:
@@ -184,8 +183,11 @@ def scan(docs: DataFrame, templates=TEMPLATES, rarest: int = RAREST, least_share
     own = {"text", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"}
     vocab = vocabulary(templates)
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in own]
-    n_words, hits = places_of(F.col("text"), vocab)
-    index = durable(docs.select(*kept, F.xxhash64("text").alias("_key"), n_words.alias("n_words"), hits.alias("_hits")))
+    # A projection of its own, so that the words are taken once for all uses.
+    split = docs.select(*kept, F.xxhash64("text").alias("_key"),
+                        words_of(F.coalesce(ascii_lower(F.col("text")), F.lit(""))).alias("_words"))
+    index = durable(split.select(*kept, "_key", F.size("_words").cast("long").alias("n_words"),
+                                 places_of("_words", vocab).alias("_hits")))
     idf = word_idf(index, vocab)
     ranked = F.array_sort(F.transform(F.array_distinct(F.transform("_hits", lambda x: x["w"])), lambda w: F.struct(
         (-F.element_at(_map(idf), w)).alias("r"), w.alias("w"))))
