@@ -48,10 +48,9 @@ def pick(drawn: Column, options: Sequence[str]) -> Column:
 
 
 def alphanumeric(drawn: Column, length: int) -> Column:
-    """Up to six base-36 characters from one draw, ten bits for each."""
-    if length > 6:
-        raise ValueError("one draw holds six characters")
-    places = [F.shiftright(drawn, 10 * at) % F.lit(36).cast("long") for at in range(length)]
+    """Base-36 characters, ten bits for each; every six characters a further draw follows from the first."""
+    further = [drawn] + [F.shiftrightunsigned(F.xxhash64(drawn, F.lit(n)), 1) for n in range(1, -(-length // 6))]
+    places = [F.shiftright(further[at // 6], 10 * (at % 6)) % F.lit(36).cast("long") for at in range(length)]
     return F.concat(*[F.substring(F.lit(BASE36), (p + 1).cast("int"), F.lit(1)) for p in places])
 
 

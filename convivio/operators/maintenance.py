@@ -113,7 +113,8 @@ def classify_follows(requests: DataFrame, users: DataFrame, edges: DataFrame) ->
     COMMITTED needs two known users, a pair that is not stored, and to be the first request for
     that pair; anything else is ABORTED, and so is a request marked in an optional boolean column
     `simulate_error`. Self-follows are accepted. Pairs are judged once and the verdict goes back
-    to the requests, so repeated requests cost one row in the joins.
+    to the requests, so repeated requests cost one row in the joins. A request id may stand with
+    several pairs, but only once with the same pair.
     """
     pair = ["follower_id", "following_id"]
     tried = requests
@@ -125,9 +126,9 @@ def classify_follows(requests: DataFrame, users: DataFrame, edges: DataFrame) ->
     valid = (pairs.join(edges.select(*pair), pair, "left_anti")
              .join(known.withColumnRenamed("user_id", "follower_id"), "follower_id", "left_semi")
              .join(known.withColumnRenamed("user_id", "following_id"), "following_id", "left_semi")
-             .select(F.col("winner").alias("request_id"), F.lit("COMMITTED").alias("verdict")))
-    judged = requests.join(valid, "request_id", "left")
-    return judged.withColumn("status", F.coalesce("verdict", F.lit("ABORTED"))).drop("verdict")
+             .select(F.col("winner").alias("request_id"), *pair, F.lit("COMMITTED").alias("verdict")))
+    judged = requests.join(valid, ["request_id", *pair], "left")
+    return judged.select(*requests.columns, F.coalesce("verdict", F.lit("ABORTED")).alias("status"))
 
 
 def follow_batch(requests: DataFrame, users: DataFrame, edges: DataFrame,

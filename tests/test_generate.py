@@ -118,6 +118,8 @@ def test_streams_and_seeds_differ(spark):
     assert all(0.44 < v < 0.56 for v in same)
 
 
-def test_alphanumeric_limit():
-    with pytest.raises(ValueError):
-        draws.alphanumeric(F.lit(1), 7)
+def test_alphanumeric_of_any_length(spark):
+    drawn = draws.draw(F.col("id"), "token", 1)
+    rows = spark.range(500).select(draws.alphanumeric(drawn, 6).alias("six"), draws.alphanumeric(drawn, 15).alias("long")).collect()
+    assert all(r.long.startswith(r.six) and len(r.long) == 15 and set(r.long) <= set(draws.BASE36) for r in rows)
+    assert len({r.long[6:12] for r in rows}) > 490 and all(r.long[:6] != r.long[6:12] for r in rows)

@@ -91,6 +91,14 @@ def test_hot_account_in_requests(spark):
     assert out.log.filter("status = 'COMMITTED'").count() == status.count("COMMITTED")
 
 
+def test_follow_batch_with_a_reused_request_id(spark):
+    batch = spark.createDataFrame([(1, 1, 2, at(1)), (1, 2, 3, at(2)), (2, 1, 2, at(3))],
+                                  "request_id long, follower_id long, following_id long, at timestamp_ntz")
+    out = m.follow_batch(batch, user_table(spark, [1, 2, 3]), edge_table(spark, [(3, 3)]))
+    assert sorted(r.status for r in out.log.collect()) == ["ABORTED", "COMMITTED", "COMMITTED"]
+    assert sorted((r.follower_id, r.following_id) for r in out.added.collect()) == [(1, 2), (2, 3)]
+
+
 def test_follow_batch_with_no_requests(spark):
     out = m.follow_batch(requests(spark, []), user_table(spark, [1]), edge_table(spark, [(1, 1)]))
     assert (out.edges.count(), out.users.count(), out.log.count()) == (1, 1, 0)
