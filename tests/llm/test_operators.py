@@ -430,3 +430,20 @@ def test_matches_sql(spark, data, name):
 def test_native_plans_run_no_python(spark, data, name):
     plan = QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
+
+
+def test_bit_vectors_give_the_distances_of_the_programme():
+    rng = np.random.default_rng(6)
+    for size in (1, 2, 7, 40, 70, 130):
+        for _ in range(40):
+            item = rng.integers(1, 9, size).astype(np.uint64)
+            text = rng.integers(0, 9, rng.integers(0, 3 * size + 2)).astype(np.uint64)
+            if rng.random() < 0.5:
+                cut = np.delete(item, rng.integers(0, size, size // 8))
+                text = np.concatenate([text, cut, text[:5]])
+            want = decontaminate.best_part(item, text, size)
+            got = decontaminate.nearest_end(decontaminate.bits_of(item), size, text.tolist())
+            assert got == (want[0], want[2])
+            low = max(0, got[1] - size - got[0])
+            part = decontaminate.best_part(item, text[low:got[1]], size)
+            assert (part[0], low + part[1], low + part[2]) == want
