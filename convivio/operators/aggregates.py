@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_even, size_text
@@ -73,6 +73,12 @@ def file_sizes(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
             .orderBy(F.desc("num_ranges"), "table_name"))
 
 
+def group_megabytes(df: DataFrame, group: str, size: Column) -> DataFrame:
+    """Rows and megabytes per group, from a size in bytes per row; a null size adds nothing."""
+    return df.groupBy(group).agg(F.count(F.lit(1)).alias("num_rows"),
+                                 (F.sum(size) / 1024.0 / 1024.0).alias("size_mb"))
+
+
 def spread(df: DataFrame, group: str, value: str, digits: int = 2) -> DataFrame:
     """Mean, minimum and maximum, rounded half to even."""
     return df.groupBy(group).agg(*[

@@ -48,8 +48,8 @@ def _number(payload: Column, path: str, default: float | None = None) -> Column:
 def summarise(documents: DataFrame, name: str = "name", payload: str = "payload") -> DataFrame:
     """One row per experiment and metric from (name, JSON text) documents.
 
-    A null payload is an experiment that has not run: available false, status pending, and one
-    row without a metric. Each kind of experiment keeps its own metrics and reading.
+    A null or empty payload is an experiment that has not run: available false, status pending, and
+    one row without a metric. Each kind of experiment keeps its own metrics and reading.
     """
     doc = F.col(payload)
 
@@ -62,8 +62,9 @@ def summarise(documents: DataFrame, name: str = "name", payload: str = "payload"
     latency = metrics(*[(f"{label}_mean_ms", _number(doc, f"$.{part}.mean", 0.0)) for label, part in [
         ("write", "write_primary"), ("read_primary", "read_primary"),
         ("read_replica1", "read_replica1"), ("read_replica2", "read_replica2")]])
-    modes = metrics(*[(m, _number(doc, f"$.summary.{m}")) for m in [
-        "sync_per_insert_ms", "async_per_insert_ms", "async_improvement_pct"]])
+    # The summary of exp3 is passed on whole, whatever its metrics are called.
+    modes = F.transform(F.map_entries(F.from_json(F.get_json_object(doc, "$.summary"), "map<string,double>")),
+                        lambda e: F.struct(e["key"].alias("metric"), e["value"].alias("value")))
     scenario = "$.success_scenario"
     follow = metrics(("elapsed_ms", _number(doc, f"{scenario}.elapsed_ms", 0.0)),
                      ("source_shard", _number(doc, f"{scenario}.source_shard")),
@@ -75,17 +76,18 @@ def summarise(documents: DataFrame, name: str = "name", payload: str = "payload"
     dry_run = F.coalesce(F.get_json_object(doc, "$.mode") == "dry-run", F.lit(False))
     ok, none = F.lit("ok"), F.lit(None).cast("array<struct<metric:string,value:double>>")
     kind = F.col(name)
-    found = (F.when(doc.isNull(), entry(F.lit("pending"), none))
+    absent = doc.isNull() | doc.rlike(r"^\s*(\{\s*\})?\s*$")
+    found = (F.when(absent, entry(F.lit("pending"), none))
              .when(kind == "exp1", entry(ok, latency))
              .when(kind == "exp3", entry(ok, modes))
              .when(kind == "exp4", entry(follow_status, follow))
              .when(kind == "exp5", entry(F.when(dry_run, "dry-run").otherwise("ok"),
                                          metrics(("replica_count", replica_count))))
              .otherwise(entry(ok, none)))
-    reading = F.when(doc.isNull(), F.concat(kind, F.lit(PENDING_READING)))
+    reading = F.when(absent, F.concat(kind, F.lit(PENDING_READING)))
     for known, text in READINGS.items():
         reading = reading.when(kind == known, text)
-    rows = documents.select(kind.alias("experiment"), doc.isNotNull().alias("available"), found.alias("found"),
+    rows = documents.select(kind.alias("experiment"), (~absent).alias("available"), found.alias("found"),
                             reading.otherwise("").alias("interpretation"))
     return rows.select("experiment", "available", "found.status", "interpretation",
                        F.inline_outer("found.metrics"))

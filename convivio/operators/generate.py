@@ -189,6 +189,40 @@ def likes(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Column,
     return numbered.select("like_id", "post_id", "user_id", "created_at")
 
 
+def _distinct_pair(number: Column, firsts: int | Column, seconds: int | Column, stream: str,
+                   seed: int) -> tuple[Column, Column]:
+    """The first (1..firsts) and the turn (0..seconds - 1) of the pair with this number; numbers start at 1.
+
+    Each round of `firsts` numbers takes every first once, from a drawn start; a first's turns follow each other from
+    a start drawn for it. So different numbers give different pairs, without a shuffle. A number beyond the pairs
+    there are raises an error.
+    """
+    a, b = [(n if isinstance(n, Column) else F.lit(n)).cast("long") for n in (firsts, seconds)]
+    at = F.when(number.between(F.lit(1), a * b), number.cast("long") - 1).otherwise(
+        F.raise_error(F.lit("more pairs asked for than there are")).cast("long"))
+    turn = F.call_function("div", at, a)
+    first = (at % a + draw(turn, f"{stream}/turn", seed) % a) % a + 1
+    return first, (turn + draw(first, f"{stream}/start", seed) % b) % b
+
+
+def exact_followers(ids: DataFrame, max_user_id: int | Column, as_of: Column, seed: int = 42, key: str = "id",
+                    days: int = 60) -> DataFrame:
+    """One edge per id, all different and none to oneself; ids are 1..n, n at most max_user_id * (max_user_id - 1)."""
+    total = (max_user_id if isinstance(max_user_id, Column) else F.lit(max_user_id)).cast("long")
+    follower, turn = _distinct_pair(F.col(key), total, total - 1, "follows", seed)
+    edges = ids.select(key, follower.alias("follower_id"), turn.alias("_turn"))
+    return edges.select("follower_id", ((F.col("follower_id") + F.col("_turn")) % total + 1).alias("following_id"),
+                        moment_before(as_of, draw(F.col(key), "follows/created", seed), days).alias("created_at"))
+
+
+def exact_likes(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Column, as_of: Column, seed: int = 42,
+                key: str = "id", days: int = 30) -> DataFrame:
+    """One like per id, all different, with the id as like id; ids are 1..n, n at most max_post_id * max_user_id."""
+    post, turn = _distinct_pair(F.col(key), max_post_id, max_user_id, "likes", seed)
+    return ids.select(F.col(key).cast("long").alias("like_id"), post.alias("post_id"), (turn + 1).alias("user_id"),
+                      moment_before(as_of, draw(F.col(key), "likes/created", seed), days).alias("created_at"))
+
+
 def sample_parent(children: DataFrame, child_key: str, parents: DataFrame, parent_key: str,
                   name: str, seed: int = 42) -> DataFrame:
     """Give each child a random existing parent.

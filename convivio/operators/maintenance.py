@@ -170,14 +170,18 @@ class LikeBatch(NamedTuple):
     posts: DataFrame
 
 
-def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame, keep: bool = False) -> LikeBatch:
+def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame, users: DataFrame,
+               keep: bool = False) -> LikeBatch:
     """Insert-ignore likes, and raise like_count of a post by its newly inserted likes only.
 
+    Requests of unknown users break the foreign key of the likes and have no effect; posts have no such key.
     `added` alone can be appended to the stored likes. `keep` stores the new likes once when more
     than one output is written.
     """
     pair = ["post_id", "user_id"]
-    earliest = top_per_key(requests, pair, [F.asc("at"), F.asc("request_id")], 1)
+    # The key is checked on the requests as they are, so that a hot user can be split.
+    valid = requests.join(users.select("user_id"), "user_id", "left_semi")
+    earliest = top_per_key(valid, pair, [F.asc("at"), F.asc("request_id")], 1)
     fresh = earliest.join(likes.select(*pair), pair, "left_anti")
     if keep:
         fresh = durable(fresh)

@@ -82,6 +82,13 @@ def _(t):
     return tables.read_csv(t.spark, tables.write_csv(t.users, _fresh(t, "csv")), shape)
 
 
+@query("s4_csv_texts")
+def _(t):
+    """Whole document texts, with their line breaks and quotes, through CSV and back."""
+    rows = t.raw("documents").select("doc_id", "text", "lang")
+    return tables.read_csv(t.spark, tables.write_csv(rows, _fresh(t, "csv")), rows.schema)
+
+
 @query("s5_json_sink")
 def _(t):
     rows = t.comments.select("comment_id", "post_id", "user_id", "content")
@@ -208,6 +215,18 @@ def _(t):
     return generate.likes(_ids(t, "orders", "o_orderkey", "id"), posts, _user_total(t), moment(EVENTS_AS_OF))
 
 
+@query("g4_exact")
+def _(t):
+    """As many different edges as there are ids."""
+    return generate.exact_followers(_ids(t, "events", "event_id", "id"), _user_total(t), moment(EVENTS_AS_OF))
+
+
+@query("g5_exact")
+def _(t):
+    posts = t.accounts.select(F.count(F.lit(1))).scalar()
+    return generate.exact_likes(_ids(t, "events", "event_id", "id"), posts, _user_total(t), moment(EVENTS_AS_OF))
+
+
 @query("g6_random_time")
 def _(t):
     drawn = draws.draw(F.col("user_id"), "time")
@@ -459,6 +478,12 @@ def _(t):
                              ("comments", "events")]})
 
 
+@query("a6_group_megabytes")
+def _(t):
+    """Rows and text megabytes of the documents of each language."""
+    return aggregates.group_megabytes(t.raw("documents"), "lang", F.octet_length("text"))
+
+
 @query("a7_sample_stats")
 def _(t):
     stats = ranks.sample_stats(t.samples)
@@ -495,17 +520,21 @@ def _experiment_documents(t) -> DataFrame:
     exp1 = means.select(F.to_json(F.struct(*nested)).alias("payload"))
     costs = experiments.compare_modes(t.mode_runs.withColumn("all", F.lit(1)), "all").drop("all")
     exp3 = costs.select(F.to_json(F.struct(F.struct("*").alias("summary"))).alias("payload"))
+    log = t.transaction_events
+    waited = S.micros_between(F.min("at"), F.max("at")) / 1000
     scenario = joins.first_cross_shard_pair(t.users).select(F.struct(
-        F.lit("COMMITTED").alias("result"), F.lit(1.5).alias("elapsed_ms"),
+        log.select(F.max_by("status", "seq")).scalar().alias("result"),
+        log.select(waited).scalar().alias("elapsed_ms"),
         F.col("follower_shard").alias("source_shard"), F.col("following_shard").alias("target_shard"),
     ).alias("success_scenario"))
     exp4 = scenario.select(F.to_json(F.struct("success_scenario")).alias("payload"))
-    state = t.accounts.agg(F.slice(F.sort_array(F.collect_set(F.col("user_id") % 3)), 1, 2).alias("replication_status"))
+    state = t.accounts.agg(F.sort_array(F.collect_set(F.col("user_id") % 3)).alias("replication_status"))
     exp5 = state.select(F.to_json(F.struct(F.lit("dry-run").alias("mode"), F.struct(
         "replication_status").alias("pre_failover_state"))).alias("payload"))
     missing = t.accounts.agg(F.count(F.lit(1))).select(F.lit(None).cast("string").alias("payload"))
-    docs = [_document(n, d) for n, d in [("exp1", exp1), ("exp3", exp3), ("exp4", exp4), ("exp5", exp5),
-                                         ("exp6", missing)]]
+    empty = missing.select(F.lit("{}").alias("payload"))
+    docs = [_document(n, d) for n, d in [("exp1", exp1), ("exp2", empty), ("exp3", exp3), ("exp4", exp4),
+                                         ("exp5", exp5), ("exp6", missing)]]
     merged = docs[0]
     for doc in docs[1:]:
         merged = merged.unionByName(doc)
@@ -679,19 +708,21 @@ def _(t):
 @query("m7_follow_added")
 def _(t):
     """Only the new edges, with one kind of event failing on purpose."""
-    failing = t.raw("events").select(F.col("event_id").alias("request_id"),
-                                     (F.col("event_type") == "error").alias("simulate_error"))
-    return maintenance.follow_batch(t.follow_requests.join(failing, "request_id"), t.accounts, t.stored_edges).added
+    return maintenance.follow_batch(t.failing_requests, t.accounts, t.stored_edges).added
+
+
+def _likes(t):
+    return maintenance.like_batch(t.like_requests, t.posts, t.post_likes, t.accounts)
 
 
 @query("m8_like_rows")
 def _(t):
-    return maintenance.like_batch(t.like_requests, t.posts, t.post_likes).likes
+    return _likes(t).likes
 
 
 @query("m8_like_counters")
 def _(t):
-    return maintenance.like_batch(t.like_requests, t.posts, t.post_likes).posts
+    return _likes(t).posts
 
 
 @query("m9_transaction_fold")
@@ -766,9 +797,9 @@ def _(t):
 
 # --- streaming ---------------------------------------------------------------------------------
 
-def _streamed(t, source, rounds=1):
+def _streamed(t, source, rounds=1, base=None):
     """Write the outbox, project it with an available-now stream, return the model path."""
-    base = _fresh(t, "outbox")
+    base = base or _fresh(t, "outbox")
     rows = tables.conform(source, schema.EVENT_OUTBOX)
     for _ in range(rounds):
         tables.append(rows, f"{base}/events")
@@ -803,6 +834,22 @@ def _(t):
     return outbox.read_model(t.spark, _streamed(t, t.event_outbox, rounds=2))
 
 
+@query("r1_compacted")
+def _(t):
+    """A snapshot after the first run of the stream, and the batches of a second run over it."""
+    base = _fresh(t, "compact")
+    path = _streamed(t, t.event_outbox, base=base)
+    snapshot = outbox.compact(t.spark, path)
+    _streamed(t, t.event_outbox, base=base)
+    return outbox.read_model(t.spark, path, *snapshot)
+
+
+@query("t1_model_feed")
+def _(t):
+    """A user's feed from the projected read model."""
+    return ordering.user_feed(_projected_once(t).model, 7)
+
+
 @query("r3_payload_decode")
 def _(t):
     return outbox.decode(t.outbox_with_bad_payloads).events

@@ -77,6 +77,7 @@ TABLES = {
     "like_requests": "SELECT event_id AS request_id, k AS post_id, user_id, ts AS moment FROM ev",
     "new_likes": """SELECT post_id, user_id, min(moment) AS created_at FROM like_requests r
         WHERE NOT EXISTS (SELECT 1 FROM post_likes l WHERE l.post_id = r.post_id AND l.user_id = r.user_id)
+        AND user_id IN (SELECT s_suppkey FROM supplier)
         GROUP BY post_id, user_id""",
     "ranked": """SELECT grp, latency_ms, row_number() OVER (PARTITION BY grp ORDER BY latency_ms) - 1 AS r,
         count(*) OVER (PARTITION BY grp) AS n FROM samples WHERE ok""",
@@ -285,6 +286,15 @@ def _generators() -> dict[str, str]:
             SELECT {_between(e('likes/post'), 1, '(SELECT count(*) FROM supplier)')} AS post_id, {_between(e('likes/user'), 1, users)} AS user_id,
                 {_before(EVENTS_AS_OF, e('likes/created'), 30)} AS created_at
             FROM (SELECT o_orderkey + 1 AS id FROM orders)) GROUP BY post_id, user_id""",
+        "g4_exact": f"""SELECT follower_id, (follower_id + (turn + {drawn_sql('follower_id', 'follows/start')} % (n - 1)) % (n - 1)) % n + 1
+                AS following_id, {_before(EVENTS_AS_OF, e('follows/created'), 60)} AS created_at FROM (
+            SELECT *, ((id - 1) % n + {drawn_sql('turn', 'follows/turn')} % n) % n + 1 AS follower_id FROM (
+                SELECT event_id + 1 AS id, event_id // n AS turn, n FROM n_users, events))""",
+        "g5_exact": f"""SELECT id AS like_id, post_id, (turn + {drawn_sql('post_id', 'likes/start')} % n) % n + 1 AS user_id,
+                {_before(EVENTS_AS_OF, e('likes/created'), 30)} AS created_at FROM (
+            SELECT *, ((id - 1) % m + {drawn_sql('turn', 'likes/turn')} % m) % m + 1 AS post_id FROM (
+                SELECT event_id + 1 AS id, event_id // m AS turn, n, m
+                FROM n_users, (SELECT count(*) AS m FROM supplier), events))""",
         "g6_random_time": f"SELECT user_id, {_before(EVENTS_AS_OF, drawn_sql('user_id', 'time'), 90)} AS at FROM users",
         "g7_tag_sample": f"""SELECT post_id, {_words('post_id', 'tag', generate.HASHTAGS,
             _between(drawn_sql('post_id', 'size'), 2, 4))} AS tags FROM posts""",
@@ -318,7 +328,7 @@ _POST_COUNTS = """SELECT u.user_id, u.username, count(p.post_id) AS post_count
     FROM users u LEFT JOIN posts p ON u.user_id = p.user_id {where} GROUP BY u.user_id, u.username"""
 _DAILY = """SELECT CAST(created_at AS DATE) AS creation_date, count(*) AS num_posts,
     avg(like_count) AS avg_likes FROM posts {where} GROUP BY 1 ORDER BY 1 DESC"""
-_READ_MODEL = "SELECT * FROM folded"
+_READ_MODEL = "SELECT * FROM pending_folded"
 _UPSERTED = """SELECT coalesce(p.post_id, f.post_id) AS post_id, coalesce(p.user_id, f.user_id) AS user_id,
         coalesce(f.content, p.location) AS content, coalesce(p.created_at, f.created_at) AS created_at,
         coalesce(f.indexed_at, p.created_at) AS indexed_at,
@@ -341,10 +351,14 @@ _SUMMARY = """SELECT * FROM (
     UNION ALL SELECT 'exp3', true, 'ok', 'sync_per_insert_ms', round_even(on_ms, 4) FROM all_costs
     UNION ALL SELECT 'exp3', true, 'ok', 'async_per_insert_ms', round_even(off_ms, 4) FROM all_costs
     UNION ALL SELECT 'exp3', true, 'ok', 'async_improvement_pct', round_even((on_ms - off_ms) / on_ms * 100, 2) FROM all_costs
-    UNION ALL SELECT 'exp4', true, 'committed', 'elapsed_ms', 1.5 FROM n_users
-    UNION ALL SELECT 'exp4', true, 'committed', 'source_shard', follower_shard FROM cross_pair
-    UNION ALL SELECT 'exp4', true, 'committed', 'target_shard', following_shard FROM cross_pair
-    UNION ALL SELECT 'exp5', true, 'dry-run', 'replica_count', least(2, count(DISTINCT user_id % 3)) FROM accounts
+    UNION ALL SELECT 'exp2', false, 'pending', NULL, NULL FROM n_users
+    UNION ALL SELECT 'exp4', true, lower(max_by(status, seq)), 'elapsed_ms',
+        (epoch_us(max(moment)) - epoch_us(min(moment))) / 1000 FROM transaction_events
+    UNION ALL SELECT 'exp4', true, (SELECT lower(max_by(status, seq)) FROM transaction_events), 'source_shard',
+        follower_shard FROM cross_pair
+    UNION ALL SELECT 'exp4', true, (SELECT lower(max_by(status, seq)) FROM transaction_events), 'target_shard',
+        following_shard FROM cross_pair
+    UNION ALL SELECT 'exp5', true, 'dry-run', 'replica_count', count(DISTINCT user_id % 3) FROM accounts
     UNION ALL SELECT 'exp6', false, 'pending', NULL, NULL FROM n_users)"""
 TABLES["all_costs"] = """SELECT CAST(sum(elapsed_ms) FILTER (WHERE mode = 'on') AS DOUBLE) / sum(inserted_rows) FILTER (WHERE mode = 'on') AS on_ms,
     CAST(sum(elapsed_ms) FILTER (WHERE mode = 'off') AS DOUBLE) / sum(inserted_rows) FILTER (WHERE mode = 'off') AS off_ms FROM runs"""
@@ -384,7 +398,8 @@ PLAIN = {
     "s3_insert_select": """SELECT post_id, user_id, 'Post content #' || post_id AS content, location, like_count,
         created_at FROM posts""",
     "s4_csv_sink": "SELECT * FROM users",
-    "s5_json_sink": "SELECT comment_id, post_id, user_id, content FROM comments",
+    "s4_csv_texts": "SELECT doc_id, text, lang FROM documents",
+    "s5_json_sink":"SELECT comment_id, post_id, user_id, content FROM comments",
     "s6_result_documents": """SELECT grp AS "group", count AS n, error_count AS errors, median, p95,
         true AS from_json_file FROM sample_facts JOIN ranks USING (grp)""",
     "s7_series": "SELECT user_id + 1 AS n, username FROM users",
@@ -459,6 +474,8 @@ PLAIN = {
             _placed("posts", "strftime(created_at, '%Y%m')")])})""",
     "a5_layout_distribution": """SELECT 'shard=' || (user_id % 3) AS partition_name, count(*) AS row_count,
         true AS has_bytes FROM post_likes GROUP BY 1""",
+    "a6_group_megabytes": """SELECT lang, count(*) AS num_rows, sum(strlen(text)) / 1048576.0::DOUBLE AS size_mb
+        FROM documents GROUP BY lang""",
     "a7_sample_stats": _SAMPLE_STATS,
     "a8_spread": """SELECT grp AS "group", round_even(avg(latency_ms), 2) AS average, round_even(min(latency_ms), 2) AS minimum,
         round_even(max(latency_ms), 2) AS maximum FROM samples GROUP BY grp""",
@@ -554,6 +571,9 @@ PLAIN = {
     "r1_outbox_projection": _READ_MODEL,
     "r1_batch_projection": _UPSERTED.format(folded="pending_folded"),
     "r1_flagged_outbox": "SELECT event_id, event_type, k AS aggregate_id, true AS processed FROM ev",
+    "r1_compacted": _READ_MODEL,
+    "t1_model_feed": f"""SELECT * FROM ({_UPSERTED.format(folded="pending_folded")}) WHERE user_id = 7
+        ORDER BY created_at DESC, post_id LIMIT 20""",
     "r2_idempotent_replay": _READ_MODEL,
     "r3_payload_decode": """SELECT event_id, k AS post_id, user_id, event_type AS content, ts AS created_at,
         ts AS indexed_at FROM ev WHERE event_type NOT IN ('error', 'signup')""",

@@ -86,6 +86,14 @@ class SocialTables:
             F.col("event_id").alias("request_id"), F.col("user_id").alias("follower_id"),
             F.col("k").alias("following_id"), F.col("ts").alias("at"))
 
+    @cached_property
+    def failing_requests(self) -> DataFrame:
+        """The follow requests, with one kind of event marked to fail."""
+        return self._event_k.select(
+            F.col("event_id").alias("request_id"), F.col("user_id").alias("follower_id"),
+            F.col("k").alias("following_id"), F.col("ts").alias("at"),
+            (F.col("event_type") == "error").alias("simulate_error"))
+
     @cached_property
     def like_requests(self) -> DataFrame:
         return self._event_k.select(

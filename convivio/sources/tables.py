@@ -87,16 +87,21 @@ def with_origin(df: DataFrame) -> DataFrame:
                      F.col("_metadata.file_name").alias("origin_file"))
 
 
-def write_csv(df: DataFrame, path: str) -> str | None:
-    """CSV with a header; an empty input writes nothing."""
-    if df.isEmpty():
-        return None
-    df.write.mode("errorifexists").option("header", True).csv(path)
+# All fields are quoted and quotes are doubled, so that line breaks, quotes, backslashes and blanks come back as they
+# were. Null has a mark of its own, apart from empty text; a text that equals the mark would come back as null.
+_CSV = {"header": "true", "escape": '"', "nullValue": "\\N", "lineSep": "\n",
+        "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def write_csv(df: DataFrame, path: str) -> str:
+    """CSV with a header; an empty input gives a folder without rows."""
+    df.write.mode("errorifexists").options(**_CSV, quoteAll="true").csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """Rows of `write_csv`. Texts may hold line breaks, so each file is read by one task."""
+    return spark.read.schema(schema).options(**_CSV, multiLine="true").csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> str:

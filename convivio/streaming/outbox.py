@@ -93,14 +93,16 @@ def read_outbox(spark: SparkSession, path: str, max_files: int = 1000) -> DataFr
 
 def start_projection(outbox: DataFrame, model_path: str, checkpoint: str,
                      trigger: dict | None = None) -> StreamingQuery:
-    """Run the projection; by default over everything available, then stop."""
+    """Run the projection of pending events; by default over everything available, then stop."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse(batch).persist()
+        parsed = parse(pending(batch)).persist()
         try:
             events, bad = split(parsed)
             fold_events(events).write.mode("overwrite").parquet(f"{model_path}/folds/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{model_path}/rejects/batch_id={batch_id}")
+            counts = parsed.agg(F.count_if("_whole").alias("events"), F.count_if(~F.col("_whole")).alias("rejects"))
+            counts.write.mode("overwrite").parquet(f"{model_path}/counts/batch_id={batch_id}")
         finally:
             parsed.unpersist()
 
@@ -108,19 +110,46 @@ def start_projection(outbox: DataFrame, model_path: str, checkpoint: str,
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def projected_rows(query: StreamingQuery) -> int:
-    """Outbox rows the query took in, over the progress reports Spark keeps (100 by default)."""
-    return sum(progress.numInputRows for progress in query.recentProgress)
+def batch_counts(spark: SparkSession, model_path: str) -> DataFrame:
+    """Events and rejects of every batch so far, one row each."""
+    return spark.read.schema("events long, rejects long, batch_id long").parquet(f"{model_path}/counts")
+
+
+def projected_rows(spark: SparkSession, model_path: str) -> int:
+    """Events projected so far, over all batches."""
+    return batch_counts(spark, model_path).agg(F.sum("events")).first()[0] or 0
+
+
+class Snapshot(NamedTuple):
+    snapshot: str
+    after_batch: int
+
+
+def compact(spark: SparkSession, model_path: str, previous: Snapshot | None = None) -> Snapshot:
+    """Write the read model as of the last counted batch, from the previous snapshot on.
+
+    Pass the result on to `read_model`, which then reads later batches only. Folded batches stay, so a compaction that
+    is lost or repeated harms nothing.
+    """
+    last = batch_counts(spark, model_path).agg(F.max("batch_id")).first()[0]
+    if last is None or (previous and previous.after_batch >= last):
+        return previous or Snapshot(None, -1)
+    path = f"{model_path}/snapshots/upto={last}"
+    read_model(spark, model_path, *(previous or ()), until_batch=last).write.mode("overwrite").parquet(path)
+    return Snapshot(path, last)
 
 
 def read_model(spark: SparkSession, model_path: str, snapshot: str | None = None,
-               after_batch: int = -1) -> DataFrame:
+               after_batch: int = -1, until_batch: int | None = None) -> DataFrame:
     """The current read model: the folded batches, over an older snapshot if there is one.
 
     `after_batch` prunes the batches a snapshot already holds. Reading them again is harmless.
+    `until_batch` leaves later batches out.
     """
-    rows = spark.read.schema(POSTS_READ_MODEL).parquet(f"{model_path}/folds")
-    folds = merge_folds(rows.filter(F.col("batch_id") > after_batch).drop("batch_id"))
+    rows = spark.read.schema(POSTS_READ_MODEL).parquet(f"{model_path}/folds").filter(F.col("batch_id") > after_batch)
+    if until_batch is not None:
+        rows = rows.filter(F.col("batch_id") <= until_batch)
+    folds = merge_folds(rows.drop("batch_id"))
     if snapshot is None:
         return folds
     return upsert_posts(spark.read.schema(POSTS_READ_MODEL).parquet(snapshot), folds)

@@ -64,9 +64,11 @@ def test_experiment_summary(spark):
 
 
 def test_summary_fallbacks(spark):
-    docs = {"exp1": {}, "exp4": {"result": "FAILED"}, "exp5": {"mode": "live"}, "other": {"x": 1}}
+    docs = {"exp1": {"mode": "x"}, "exp2": {}, "exp3": {"summary": {"new_metric": 3}}, "exp4": {"result": "FAILED"}, "exp5": {"mode": "live"}, "other": {"x": 1}}
     got = {(r.experiment, r.metric): (r.status, r.value) for r in experiments.summarise(documents(spark, docs)).collect()}
     assert got[("exp1", "write_mean_ms")] == ("ok", 0.0)
+    assert got[("exp2", None)] == ("pending", None)
+    assert {k[1]: v for k, v in got.items() if k[0] == "exp3"} == {"new_metric": ("ok", 3.0)}
     assert got[("exp4", "elapsed_ms")] == ("failed", 0.0)
     assert got[("exp4", "source_shard")] == ("failed", None)
     assert got[("exp5", "replica_count")] == ("ok", 0.0)

@@ -123,3 +123,16 @@ def test_alphanumeric_of_any_length(spark):
     rows = spark.range(500).select(draws.alphanumeric(drawn, 6).alias("six"), draws.alphanumeric(drawn, 15).alias("long")).collect()
     assert all(r.long.startswith(r.six) and len(r.long) == 15 and set(r.long) <= set(draws.BASE36) for r in rows)
     assert len({r.long[6:12] for r in rows}) > 490 and all(r.long[:6] != r.long[6:12] for r in rows)
+
+
+def test_exact_pairs_up_to_the_whole_space(spark):
+    ids = spark.range(1, 9 * 8 + 1)
+    edges = g.exact_followers(ids, 9, as_of())
+    pairs = {(r.follower_id, r.following_id) for r in edges.collect()}
+    assert pairs == {(a, b) for a in range(1, 10) for b in range(1, 10) if a != b}
+    likes = g.exact_likes(spark.range(1, 36), 4, 9, as_of()).collect()
+    assert len({(r.post_id, r.user_id) for r in likes}) == len({r.like_id for r in likes}) == 35
+    assert {r.post_id for r in likes} == set(range(1, 5)) and {r.user_id for r in likes} == set(range(1, 10))
+    assert "Exchange" not in edges._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="more pairs asked for"):
+        g.exact_followers(spark.range(1, 74), 9, as_of()).collect()

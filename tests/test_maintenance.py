@@ -170,13 +170,15 @@ def test_counters(spark, rows):
 @pytest.mark.parametrize("keep", [False, True])
 def test_like_batch_counts_new_likes_only(spark, rows, keep):
     posts = spark.createDataFrame([(1, 10), (2, 0)], "post_id long, like_count long")
+    users = spark.createDataFrame([(7,), (8,)], "user_id long")
     likes = spark.createDataFrame([(1, 7, T0)], "post_id long, user_id long, created_at timestamp_ntz")
-    asked = spark.createDataFrame([(0, 1, 7, at(1)), (1, 1, 8, at(2)), (2, 1, 8, at(3)), (3, 2, 8, at(4))],
+    asked = spark.createDataFrame([(0, 1, 7, at(1)), (1, 1, 8, at(2)), (2, 1, 8, at(3)), (3, 2, 8, at(4)),
+                                   (4, 2, 99, at(5))],
                                   "request_id long, post_id long, user_id long, at timestamp_ntz")
-    out = m.like_batch(asked, posts, likes, keep=keep)
+    out = m.like_batch(asked, posts, likes, users, keep=keep)
     assert rows(out.posts) == [(1, 11), (2, 1)]
     assert rows(out.likes) == sorted([(1, 7, T0), (1, 8, at(2)), (2, 8, at(4))], key=repr)
-    again = m.like_batch(asked, out.posts, out.likes)
+    again = m.like_batch(asked, out.posts, out.likes, users)
     assert rows(again.posts) == rows(out.posts)
 
 

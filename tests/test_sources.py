@@ -50,8 +50,14 @@ def test_csv_and_json_round_trips(spark, tmp_path, rows):
     for path, read in ((tables.write_csv(df, f"{tmp_path}/c"), tables.read_csv),
                        (tables.write_json(df, f"{tmp_path}/j"), tables.read_json)):
         assert rows(read(spark, path, df.schema)) == rows(df)
-    assert tables.write_csv(df.limit(0), f"{tmp_path}/none") is None
-    assert not os.path.exists(f"{tmp_path}/none")
+    none = tables.write_csv(df.limit(0), f"{tmp_path}/none")
+    assert tables.read_csv(spark, none, df.schema).collect() == []
+
+
+def test_csv_keeps_every_text(spark, tmp_path, rows):
+    texts = [None, "", " ", " pad ", "a\nb", "a\r\nb", "a\rb", '"', 'q "x", y', "back\\slash", '\\"', "tab\t", "# no comment", ",", "é" * 70000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    assert rows(tables.read_csv(spark, tables.write_csv(df, f"{tmp_path}/t"), df.schema)) == rows(df)
 
 
 def test_documents_with_byte_order_mark(spark, tmp_path):

@@ -115,6 +115,36 @@ def test_visible_rows_equal_distinct_keys(spark, base):
         write(spark, rows_of(half), f"{base}/events")
     query = outbox.start_projection(outbox.read_outbox(spark, f"{base}/events", 1), f"{base}/model", f"{base}/checkpoint")
     query.awaitTermination()
-    assert outbox.projected_rows(query) == 100
+    assert outbox.projected_rows(spark, f"{base}/model") == 100
     assert outbox.read_model(spark, f"{base}/model").count() == 50
     assert spark.createDataFrame(events, EVENTS).select(F.countDistinct("post_id")).first()[0] == 50
+
+
+def test_processed_events_are_skipped_and_all_batches_counted(spark, base):
+    events = [event(n, n % 3, 1, f"t{n}") for n in range(6)]
+    done = [(*row[:4], True, row[5]) for row in rows_of([event(99, 7, 1, "old")])]
+    for row in [*rows_of(events), *done, (50, "POST_CREATED", 1, "{", False, at(50))]:
+        write(spark, [row], f"{base}/events")
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    try:
+        assert project(spark, base) == upsert_one_by_one(events)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    counts = outbox.batch_counts(spark, f"{base}/model").agg(F.count("*"), F.sum("events"), F.sum("rejects")).first()
+    assert tuple(counts) == (8, 6, 1) and outbox.projected_rows(spark, f"{base}/model") == 6
+
+
+def test_compaction_over_rounds(spark, base):
+    events, snapshot = [event(n, n % 4, n, f"t{n}") for n in range(24)], None
+    for low in range(0, 24, 8):
+        write(spark, rows_of(events[low:low + 8]), f"{base}/events")
+        project(spark, base)
+        if low < 16:
+            snapshot = outbox.compact(spark, f"{base}/model", snapshot)
+    assert snapshot.after_batch == 1
+    got = outbox.read_model(spark, f"{base}/model", *snapshot)
+    assert sorted(tuple(r) for r in got.collect()) == upsert_one_by_one(events)
+    last = outbox.compact(spark, f"{base}/model", snapshot)
+    assert outbox.compact(spark, f"{base}/model", last) == last
+    assert sorted(tuple(r) for r in spark.read.parquet(last.snapshot).collect()) == upsert_one_by_one(events)
