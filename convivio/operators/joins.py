@@ -29,15 +29,21 @@ def user_profile_with_posts(users: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def social_stats(users: DataFrame, posts: DataFrame, likes: DataFrame, followers: DataFrame,
-                 keys_unique: bool = True) -> DataFrame:
+                 keys_unique: bool = True, few: bool = False) -> DataFrame:
     """Per user: distinct posts, distinct likes on those posts, distinct followers.
 
     The three-way join of the original query multiplies posts by likes by followers. Here likes
     shrink to one row per post first, and post and follower contributions are summed together, so
     every shuffled side is already aggregated by its map tasks and posts are read once. This
     needs the declared keys to hold (post_id, like_id, follower pair); with
-    `keys_unique=False` each count is distinct over whatever duplicates there are.
+    `keys_unique=False` each count is distinct over whatever duplicates there are. Set `few` when the
+    users are a small part of all: posts, likes and followers of others are then left out first.
     """
+    if few:
+        chosen = users.select("user_id")
+        posts = posts.join(chosen, "user_id", "left_semi")
+        likes = likes.join(posts.select("post_id"), "post_id", "left_semi")
+        followers = followers.join(chosen.withColumnRenamed("user_id", "following_id"), "following_id", "left_semi")
     if not keys_unique:
         return _social_stats_distinct(users, posts, likes, followers)
     likes_by_post = likes.groupBy("post_id").agg(F.count("like_id").alias("likes"))

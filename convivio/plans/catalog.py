@@ -271,7 +271,7 @@ def _(t):
 @query("f3_key_range")
 def _(t):
     chosen = filters.key_range(t.users, "user_id", 1, 100)
-    return joins.social_stats(chosen, t.posts, t.post_likes, t.followers)
+    return joins.social_stats(chosen, t.posts, t.post_likes, t.followers, few=True)
 
 
 @query("f4_in_list")
