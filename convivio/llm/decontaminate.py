@@ -1,15 +1,13 @@
-"""Benchmark decontamination by the CGK embedding.
+"""Benchmark decontamination by an exact count filter on word pairs and the word edit distance.
 
-The CGK walk (Chakraborty, Goldenberg, Koucky 2016) maps a sequence to a longer one: in step j it writes the symbol
-under a pointer, and a random bit that depends on j and the symbol decides whether the pointer moves on. Sequences at
-a small edit distance get embeddings at a small Hamming distance. Here symbols are words.
+A part of a text within k word edits of an item of n words has at most n + k words and holds n - 1 - 2k of the item's
+word pairs (each edit breaks at most two). Places of the items' pairs are looked up in the text; only stretches that
+hold enough pairs of an item close enough together are left, so no part within the bound is lost, whatever the item's
+length. Items too short for their rate to need a pair are looked up by their words: n - k of them must stand.
 
-Windows of the size of the benchmark items start at every word of every text. A text within k word edits of an item
-of n words shares n - 1 - 2k of its word pairs, so windows with fewer pairs of the items are passed over, and so are
-groups of items of which no item has enough pairs in the text (exact count filters). The others are embedded; several
-samples of embedded symbols, of several embeddings, are the keys of a locality-sensitive hash. Windows that agree
-with an item in one sample are verified: the least word edit distance between the item and any part of the text
-around the window must be at most `rate` of the item's words.
+Every stretch is verified: the word edit distance between the item and a part of the text must be at most `rate` of
+the item's words. Of overlapping parts the nearest counts; what is left on either side of it is searched again, so an
+item that stands twice is found twice. An item's matches do not depend on the other items.
 
 The items are the stated query set. They are read to the driver in blocks of bounded size and each block is one pass
 over the documents.
@@ -22,8 +20,7 @@ give an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -34,9 +31,11 @@ from pyspark.sql import functions as F
 from ..session import durable
 from .common import without_ids
 
-RATE, EMBEDDINGS, SAMPLES, SAMPLED, STEP = 0.2, 3, 24, 2, 6
+RATE = 0.2
 # Characters of items in one block.
 BLOCK_CHARS = 4_000_000
+# Marks a word among the word pairs.
+ALONE = np.uint64(1 << 63)
 
 _words = re.compile(r"\w+").findall
 
@@ -45,37 +44,6 @@ def words_of(text: str | None) -> list[str]:
     return _words(text.lower()) if text else []
 
 
-def _hash(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def embed(symbols: np.ndarray, starts: np.ndarray, size: int, seed: int) -> np.ndarray:
-    """CGK walks of the windows symbols[start:start + size]; one row of 2 * size symbols per window.
-
-    A pointer past its window writes 0, as padding.
-    """
-    steps = 2 * size
-    odd = _hash(np.arange(1, steps + 1, dtype=np.uint64) + np.uint64(seed << 32)) | np.uint64(1)
-    out = np.zeros((len(starts), steps), np.uint64)
-    at, end = starts.copy(), np.minimum(starts + size, len(symbols))
-    padded = np.append(symbols, np.uint64(0))
-    for j in range(steps):
-        now = padded[np.where(at < end, at, len(symbols))]
-        out[:, j] = now
-        # Multiply-shift: the top bit of the symbol times a random odd number of this step.
-        at = at + ((now * odd[j]) >> np.uint64(63)).astype(np.int64)
-    return out
-
-
-def sample_keys(embedded: np.ndarray, seed: int, samples: int, sampled: int) -> np.ndarray:
-    """Keys of the sampled places, one column per sample."""
-    places = np.random.default_rng(seed).integers(0, embedded.shape[1], (samples, sampled))
-    odd = _hash(np.arange(1, sampled + 1, dtype=np.uint64)) | np.uint64(1)
-    return _hash((_hash(embedded[:, places]) * odd).sum(axis=2, dtype=np.uint64))
-
-
 def best_part(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
     """(distance, start, end) of the part of `text` nearest to `item`, if within `most` edits.
 
@@ -108,14 +76,16 @@ def bits_of(item: np.ndarray) -> dict[int, int]:
     return bits
 
 
-def nearest_end(bits: dict[int, int], size: int, text: list[int]) -> tuple[int, int]:
+def nearest_end(bits: dict[int, int], size: int, text: Iterable[int], most: int = -1, ahead: int = 0) -> tuple[int, int]:
     """(distance, end) of the part of `text` nearest to an item of `size` symbols, the earliest end of equal ones.
 
+    The search stops `ahead` symbols after the first end of a part within `most` edits.
+
     The programme of `best_part` in bits (Myers 1999, Hyyro 2003): differences of neighbouring costs of a column are
     +1 in `up`, -1 in `down`, else 0.
     """
     full, last = (1 << size) - 1, 1 << (size - 1)
-    up, down, cost, best = full, 0, size, (size, 0)
+    up, down, cost, best, stop = full, 0, size, (size, 0), None
     get = bits.get
     for end, symbol in enumerate(text, 1):
         equal = get(symbol, 0)
@@ -127,6 +97,10 @@ def nearest_end(bits: dict[int, int], size: int, text: list[int]) -> tuple[int,
             cost -= 1
             if cost < best[0]:
                 best = (cost, end)
+                if stop is None and cost <= most:
+                    stop = end + ahead
+        if end == stop:
+            break
         right_up = (right_up << 1) & full
         up, down = ((right_down << 1) | ~(flat | right_up)) & full, right_up & flat
     return best
@@ -137,18 +111,8 @@ def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - first, count)
 
 
-@dataclass
-class Group:
-    """Items whose sizes are close; `size` is the least of them and the size of the windows."""
-
-    size: int
-    most: int
-    numbers: np.ndarray
-    keys: list[tuple[np.ndarray, np.ndarray]]
-
-
 class Index:
-    """Sampled embeddings of one block of items."""
+    """Word pairs of one block of items."""
 
     def __init__(self, items: list[tuple[int | None, list[str]]], rate: float):
         self.rate = rate
@@ -159,26 +123,19 @@ class Index:
                 self.vocabulary.setdefault(word, len(self.vocabulary) + 1)
         self.symbols = [self.symbols_of(words) for _, words in self.items]
         self.bits = [bits_of(s) for s in self.symbols]
-        self.own_pairs = pairs = [np.unique(self.pairs_of(s)) for s in self.symbols]
-        owners = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
-        every = np.concatenate([*pairs, np.zeros(0, np.uint64)])
+        self.needs = np.array([len(s) - 1 - 2 * self.most(n) for n, s in enumerate(self.symbols)], np.int64)
+        # Items without a pair to need go by their words.
+        self.alone = self.needs < 1
+        for n in np.flatnonzero(self.alone):
+            self.needs[n] = max(1, len(self.symbols[n]) - self.most(n))
+        own = [np.unique(s | ALONE if self.alone[n] else self.pairs_of(s)) for n, s in enumerate(self.symbols)]
+        owners = np.repeat(np.arange(len(own)), [len(p) for p in own])
+        every = np.concatenate([*own, np.zeros(0, np.uint64)])
         order = np.argsort(every, kind="stable")
         # Word pairs in order, and for each the items that hold it.
         self.pairs, first = np.unique(every[order], return_index=True)
         self.owners, self.bounds = owners[order], np.append(first, len(every))
-        self.needs = np.array([len(s) - 1 - 2 * self.most(n) for n, s in enumerate(self.symbols)], np.int64)
-        sizes = np.array([len(s) for s in self.symbols], np.int64)
-        self.groups: list[Group] = []
-        for band in np.unique(sizes // STEP):
-            numbers = np.flatnonzero(sizes // STEP == band)
-            size = int(sizes[numbers].min())
-            keys = []
-            for e in range(EMBEDDINGS):
-                rows = np.concatenate([embed(self.symbols[n], np.zeros(1, np.int64), size, e) for n in numbers])
-                for key in sample_keys(rows, e, SAMPLES, SAMPLED).T:
-                    order = np.argsort(key, kind="stable")
-                    keys.append((key[order], numbers[order]))
-            self.groups.append(Group(size, max(self.most(n) for n in numbers), numbers, keys))
+        self.own = [np.searchsorted(self.pairs, p) for p in own]
 
     def symbols_of(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.uint64, len(words))
@@ -190,81 +147,72 @@ class Index:
     def most(self, number: int) -> int:
         return int(self.rate * len(self.symbols[number]))
 
-    def candidates(self, symbols: np.ndarray) -> dict[int, np.ndarray]:
-        """Item number -> sorted window starts that agree with it in a sample."""
-        pairs = self.pairs_of(symbols)
-        at = np.minimum(np.searchsorted(self.pairs, pairs), max(0, len(self.pairs) - 1))
-        held = self.pairs[at] == pairs if len(self.pairs) else np.zeros(len(pairs), bool)
+    def places(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(pair, place) of all pairs of the items in the text, in order."""
+        pairs, place = self.pairs_of(symbols), np.arange(len(symbols))
+        if self.alone.any():
+            pairs, place = np.concatenate([pairs, symbols | ALONE]), np.concatenate([place[:-1], place])
+        else:
+            place = place[:-1]
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        held = self.pairs[at] == pairs
+        at, place = at[held], place[held]
+        order = np.argsort(at, kind="stable")
+        return at[order], place[order]
+
+    def stretches(self, symbols: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item number, low, high): apart from each other, they hold every part within the bound of an item."""
+        at, place = self.places(symbols)
         # Occurrences of pairs in the text, added up over the items that hold them.
-        hit, times = np.unique(at[held], return_counts=True)
+        hit, times = np.unique(at, return_counts=True)
         each = self.bounds[hit + 1] - self.bounds[hit]
         owners = self.owners[spread(self.bounds[hit], each)]
         able = np.bincount(owners, np.repeat(times, each), len(self.items)) >= self.needs
-        if not able.any():
-            return {}
-        words = np.concatenate([[0], np.cumsum(symbols > 0)])
-        first, found = np.arange(len(symbols)), []
-        for group in self.groups:
-            left = group.numbers[able[group.numbers]]
-            if not len(left):
+        for number in np.flatnonzero(able):
+            low = np.searchsorted(at, self.own[number], "left")
+            mine = np.sort(place[spread(low, np.searchsorted(at, self.own[number], "right") - low)])
+            need, longest = self.needs[number], len(self.symbols[number]) + self.most(number)
+            # The first and last of `need` neighbouring places must fit into one part.
+            first, last = mine[:len(mine) - need + 1], mine[need - 1:] + (1 if self.alone[number] else 2)
+            fits = last - first <= longest
+            lows, highs = np.maximum(last[fits] - longest, 0), np.minimum(first[fits] + longest, len(symbols))
+            if not len(lows):
+                continue
+            apart = np.flatnonzero(lows[1:] >= highs[:-1])
+            for begin, end in zip(lows[np.append(0, apart + 1)], highs[np.append(apart, len(highs) - 1)]):
+                yield int(number), int(begin), int(end)
+
+    def parts(self, number: int, symbols: np.ndarray, text: list[int], low: int, high: int) -> list[tuple[int, int, int]]:
+        """(first word, end word, distance) of the parts of a stretch within the bound, none over another."""
+        item, most = self.symbols[number], self.most(number)
+        out, left = [], [(low, high)]
+        while left:
+            low, high = left.pop()
+            if high - low < len(item) - most:
+                continue
+            # The nearest of the parts about the first one within the bound.
+            ahead = len(item) + 2 * most
+            nearest, end = nearest_end(self.bits[number], len(item), map(text.__getitem__, range(low, high)), most, ahead)
+            if nearest > most:
                 continue
-            size = group.size
-            # Only pairs of the group's items that are left count.
-            ours = held & np.isin(pairs, np.concatenate([self.own_pairs[n] for n in left]))
-            known = np.concatenate([[0], np.cumsum(ours), [ours.sum()]])
-            # Windows at the end of the text are shorter.
-            enough = words[np.minimum(first + size, len(symbols))] - words[first] >= size - group.most
-            enough &= known[np.minimum(first + size + group.most, len(symbols))] - known[first] >= size - 1 - 2 * group.most
-            starts = first[enough]
-            for low in range(0, len(starts), 4096):
-                found += self._agree(group, symbols, starts[low:low + 4096], able)
-        if not found:
-            return {}
-        both = np.unique(np.concatenate(found))
-        numbers, at = both >> 40, both & 0xFFFFFFFFFF
-        return {int(n): at[numbers == n] for n in np.unique(numbers)}
-
-    def _agree(self, group: Group, symbols: np.ndarray, starts: np.ndarray, able: np.ndarray) -> list[np.ndarray]:
-        """Items with enough pairs in the text and window starts that agree in some sample: number << 40 | start."""
-        out = []
-        for e in range(EMBEDDINGS):
-            rows = embed(symbols, starts, group.size, e)
-            for (keys, numbers), mine in zip(group.keys[e * SAMPLES:(e + 1) * SAMPLES], sample_keys(rows, e, SAMPLES, SAMPLED).T):
-                low = np.searchsorted(keys, mine, "left")
-                count = np.searchsorted(keys, mine, "right") - low
-                if not count.any():
-                    continue
-                found = numbers[spread(low, count)]
-                out.append(((found << 40) | np.repeat(starts, count))[able[found]])
-        return out
+            # A part within `most` edits is at most so much longer than the item.
+            end += low
+            begin = max(low, end - len(item) - most)
+            _, start, size = best_part(item, symbols[begin:end], most)
+            out.append((begin + start, begin + size, nearest))
+            # Nothing ends before the first end within the bound.
+            left += [(end, high), (max(low, end - ahead - len(item) - most), begin + start)]
+        return sorted(out)
 
     def matches(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """(item_id, first word, end word, distance) of the verified matches, each item's apart from each other."""
         words = words_of(text)
         symbols = self.symbols_of(words)
-        out = []
         if not len(symbols) or not self.items:
-            return out
-        for number, starts in sorted(self.candidates(symbols).items()):
-            item, most = self.symbols[number], self.most(number)
-            reach, at = len(item) + 2 * most, 0
-            while at < len(starts):
-                # Windows whose surroundings overlap are verified as one stretch of bounded length.
-                last = int(np.searchsorted(starts, starts[at] + reach, "right"))
-                low, high = max(0, int(starts[at]) - most), int(starts[last - 1]) + reach
-                at = last
-                # The stretch itself must hold enough of the item's pairs.
-                if np.isin(self.pairs_of(symbols[low:high]), self.own_pairs[number]).sum() < self.needs[number]:
-                    continue
-                nearest, end = nearest_end(self.bits[number], len(item), symbols[low:high].tolist())
-                if nearest > most:
-                    continue
-                # A part within `most` edits is at most so much longer than the item.
-                low, high = max(low, low + end - len(item) - most), low + end
-                part = best_part(item, symbols[low:high], most)
-                if part and not (out and out[-1][0] == self.items[number][0] and out[-1][2] > low + part[1]):
-                    out.append((self.items[number][0], low + part[1], low + part[2], part[0]))
-        return out
+            return []
+        numbers = symbols.tolist()
+        return [(self.items[number][0], *part) for number, low, high in self.stretches(symbols)
+                for part in self.parts(number, symbols, numbers, low, high)]
 
 
 def find_items(docs: DataFrame, items: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:

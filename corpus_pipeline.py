@@ -48,7 +48,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("line dedup", line_dedup), ("near dedup", near_dedup),
           ("decontamination", decontamination), ("mixing", mix)]
-# The learned list, prefix doubling, MinHash and CGK have no SQL counterpart; tests compare with brute force.
+# The learned list, prefix doubling, MinHash and edit distances have no SQL counterpart; tests compare with brute force.
 ORACLE_SQL = None
 
 

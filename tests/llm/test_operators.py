@@ -198,6 +198,48 @@ def test_op3_finds_planted_and_edited_items(spark, data, docs):
     assert len(split ^ found) <= 0.02 * len(planted) and len(planted & split) >= 0.97 * len(planted)
 
 
+def edited(draw, words, count):
+    """`count` random word edits of a list of words."""
+    words = list(words)
+    for _ in range(count):
+        at = int(draw.integers(len(words)))
+        words[at:at + 1] = [["zzz"], [], [words[at], "yyy"]][draw.integers(3)]
+    return words
+
+
+def zipf(draw, size):
+    return [f"w{n}" for n in np.minimum(draw.zipf(1.2, size), 5000)]
+
+
+def test_op3_long_items_up_to_the_bound(spark):
+    draw, rows, items, planted = np.random.default_rng(5), [], [], set()
+    for n in range(120):
+        size = (5, 14, 40, 150, 300, 600)[n % 6]
+        item = zipf(draw, size)
+        items.append((n, " ".join(item)))
+        most = int(0.2 * size)
+        text = edited(draw, item, (most, most // 2, most // 4)[n % 3])
+        rows.append((n, " ".join(zipf(draw, 80) + text + zipf(draw, 80))))
+        planted.add((n, n))
+    frame, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    found = {tuple(r) for r in decontaminate.find_items(frame, bench).collect()}
+    assert planted <= {x[:2] for x in found}
+
+
+def test_op3_small_items_by_brute_force():
+    draw = np.random.default_rng(8)
+    for n in range(150):
+        rate = (0.2, 0.34, 0.5)[n % 3]
+        item = [f"w{x}" for x in draw.integers(0, 9, draw.integers(1, 9))]
+        text = [f"w{x}" for x in draw.integers(0, 12, 30)]
+        most = int(rate * len(item))
+        want = any(word_distance(item, text[i:j]) <= most for i in range(30) for j in range(i + 1, 31))
+        found = decontaminate.Index([(1, item)], rate).matches(" ".join(text))
+        assert bool(found) == want
+        assert all(word_distance(item, text[i:j]) == d <= most for _, i, j, d in found)
+        assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
+
+
 def test_op3_hard_rows(spark, hard):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "same text twice over here"), (3, "long enough")], "item_id long, text string")
     got = {tuple(r)[:2] for r in decontaminate.find_items(hard, items).collect()}
