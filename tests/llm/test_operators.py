@@ -224,6 +224,25 @@ def test_op3_long_items_up_to_the_bound(spark):
     frame, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
     found = {tuple(r) for r in decontaminate.find_items(frame, bench).collect()}
     assert planted <= {x[:2] for x in found}
+    # An item's matches do not depend on the other items of its block.
+    assert {tuple(r) for r in decontaminate.find_items(frame, bench, block_chars=3000).collect()} == found
+
+
+def test_op3_blocks_give_the_same_matches(spark, data, docs):
+    items = duckdb.sql(f"SELECT item_id, text FROM '{data}/benchmark.parquet'").fetchall()
+    draw, rows, planted = np.random.default_rng(2), [], set()
+    for n in range(200):
+        item, text = items[draw.integers(len(items))]
+        words = decontaminate.words_of(text)
+        words = edited(draw, words, int(draw.integers(0, int(0.12 * len(words)) + 1)))
+        host = decontaminate.words_of(docs[n % len(docs)][1])
+        at = int(draw.integers(len(host) + 1))
+        rows.append((10_000 + n, " ".join(host[:at] + words + host[at:])))
+        planted.add((10_000 + n, item))
+    frame, bench = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_items(frame, bench).collect()}
+    split = {(r.doc_id, r.item_id) for r in decontaminate.find_items(frame, bench, block_chars=3000).collect()}
+    assert split == found and len(planted & found) >= 0.98 * len(planted)
 
 
 def test_op3_small_items_by_brute_force():
