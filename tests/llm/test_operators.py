@@ -259,6 +259,13 @@ def test_op3_small_items_by_brute_force():
         assert all(a[2] <= b[1] for a, b in zip(found, found[1:]))
 
 
+def test_op3_each_copy_of_an_item():
+    item = [f"w{n}" for n in range(14)]
+    index = decontaminate.Index([(1, item)], 0.2)
+    got = index.matches(" ".join(["a"] + item * 3 + ["b", "c"] + item[:6] + ["x"] + item[7:] + item + ["d"]))
+    assert got == [(1, 1, 15, 0), (1, 15, 29, 0), (1, 29, 43, 0), (1, 45, 59, 1), (1, 59, 73, 0)]
+
+
 def test_op3_hard_rows(spark, hard):
     items = spark.createDataFrame([(1, None), (2, ""), (None, "same text twice over here"), (3, "long enough")], "item_id long, text string")
     got = {tuple(r)[:2] for r in decontaminate.find_items(hard, items).collect()}
