@@ -2,10 +2,11 @@
 
 The templates are split into words; their postings are (word, template, position). One pass over the texts stores
 the positional index: the places of all template words in each file. All that follows reads the index, not the
-texts. Document frequencies of the template words are counted over the whole table. Each file looks up its rarest
-template words (highest inverse document frequency), joins their places with the postings, and votes for (template,
-offset): words that stand in the template's order agree on the offset. An offset with enough of the template's
-rarity behind it is verified: all mandatory phrases of the template must stand around it. Only DataFrame functions.
+texts. Document frequencies of the template words are counted over the whole table. Each template is looked up by its
+rarest words (highest inverse document frequency). A file joins the places of all looked-up words with the postings of
+the templates whose words it holds, and votes for (template, offset): words that stand in the template's order agree
+on the offset. An offset with enough of the template's rarity behind it is verified: all mandatory phrases of the
+template must stand around it. Only DataFrame functions.
 
 Base phrases are looked for in every text, wherever they stand; they always count.
 
@@ -55,7 +56,7 @@ TEMPLATES = [
     ("unlicense", "this is free and unencumbered software released into the public domain",
      ["unencumbered software released into the public domain"]),
 ]
-# Rarest words looked up in each file, and the part of a template's looked-up rarity that must agree on an offset.
+# Rarest words by which each template is looked up, and the part of a template's looked-up rarity that must agree on an offset.
 RAREST, LEAST_SHARE = 12, 0.6
 
 
@@ -76,13 +77,12 @@ def places_of(every: str, words: list[str]) -> Column:
 
 
 def word_idf(index: DataFrame, words: list[str]) -> dict[str, float]:
-    """Inverse document frequency of the template words over all documents, from their `_hits`.
+    """Inverse document frequency of the template words over all documents, from their `_present`.
 
     The driver gets one number per template word, whatever the table holds.
     """
-    present = F.array_distinct(F.transform("_hits", lambda x: x["w"]))
     # A null entry stands for the document itself, so that one pass counts documents too.
-    marks = F.concat(present, F.array(F.lit(None).cast("string")))
+    marks = F.concat("_present", F.array(F.lit(None).cast("string")))
     found = {r["w"]: r["count"] for r in index.select(F.explode(marks).alias("w")).groupBy("w").count().collect()}
     total = found.get(None, 0)
     return {w: math.log((total + 1) / (found.get(w, 0) + 1)) + 0.01 for w in words}
@@ -133,23 +133,24 @@ def _all(tests: list[Column]) -> Column:
 
 
 def _candidates(files: DataFrame, idf: dict[str, float], templates, rarest: int, least_share: float) -> DataFrame:
-    """(doc_id, _key, _found, _share): verified templates of each file; `files` has doc_id, _key, _hits, _rare."""
+    """(doc_id, _key, _found, _share): verified templates of each file; `files` has doc_id, _key, _hits, _present."""
     chosen = [chosen_words(idf, text, rarest) for _, text, _ in templates]
     total = _map({t: sum(idf[w] for w in text.split() if w in chosen[t]) for t, (_, text, _) in enumerate(templates)})
     # A template whose looked-up words are not all but present cannot win at any offset.
-    could = None
+    could = []
     for t, (_, text, _) in enumerate(templates):
         words = [w for w in text.split() if w in chosen[t]]
         weight = sum(idf[w] for w in words)
-        share = sum((F.when(F.array_contains("_rare", w), idf[w] * words.count(w)).otherwise(0.0) for w in chosen[t]),
+        share = sum((F.when(F.array_contains("_present", w), idf[w] * words.count(w)).otherwise(0.0) for w in chosen[t]),
                     F.lit(0.0))
-        test = share >= least_share * weight - 1e-9
-        could = test if could is None else could | test
-    near = durable(files.filter(could).dropDuplicates(["doc_id", "_key"]))
-    hits = F.filter("_hits", lambda x: F.array_contains(F.col("_rare"), x["w"]))
-    placed = near.select("doc_id", "_key", F.explode(hits).alias("h")).select(
+        could.append(F.when(share >= least_share * weight - 1e-9, F.lit(t)))
+    able = files.withColumn("_able", F.filter(F.array(*could), lambda t: t.isNotNull())).filter(F.size("_able") > 0)
+    near = durable(able.drop("_present").dropDuplicates(["doc_id", "_key"]))
+    postings = F.filter(F.try_element_at(_postings(idf, templates, rarest), F.col("h.w")),
+                        lambda p: F.array_contains("_able", p["t"]))
+    placed = near.select("doc_id", "_key", "_able", F.explode("_hits").alias("h")).select(
         "doc_id", "_key", F.col("h.i").alias("_i"), F.element_at(_map(idf), F.col("h.w")).alias("_idf"),
-        F.explode(F.try_element_at(_postings(idf, templates, rarest), F.col("h.w"))).alias("p"))
+        F.explode(postings).alias("p"))
     votes = placed.select("doc_id", "_key", F.col("p.t").alias("_t"), F.col("p.at").alias("_at"), "_idf",
                           (F.col("_i") - F.col("p.at")).alias("_off"))
     # Two overlapping rows of bins, four offsets wide, so that an inserted or missing word does not split the vote.
@@ -187,12 +188,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, rarest: int = RAREST, least_share
     split = docs.select(*kept, F.xxhash64("text").alias("_key"),
                         words_of(F.coalesce(ascii_lower(F.col("text")), F.lit(""))).alias("_words"))
     index = durable(split.select(*kept, "_key", F.size("_words").cast("long").alias("n_words"),
-                                 places_of("_words", vocab).alias("_hits")))
+                                 places_of("_words", vocab).alias("_hits"),
+                                 F.array_intersect("_words", F.array(*map(F.lit, vocab))).alias("_present")))
     idf = word_idf(index, vocab)
-    ranked = F.array_sort(F.transform(F.array_distinct(F.transform("_hits", lambda x: x["w"])), lambda w: F.struct(
-        (-F.element_at(_map(idf), w)).alias("r"), w.alias("w"))))
-    files = index.select("doc_id", "_key", "_hits", F.transform(F.slice(ranked, 1, 2 * rarest), lambda x: x["w"]).alias("_rare"))
-    found = _candidates(files, idf, templates, rarest, least_share)
+    found = _candidates(index.select("doc_id", "_key", "_hits", "_present"), idf, templates, rarest, least_share)
     places = base_places(F.col("_hits"))
     starts = F.concat(*places.values())
     base = F.filter(F.array(*[F.when(F.size(places[p]) > 0, F.lit(name)) for p, name in PHRASES]), lambda x: x.isNotNull())

@@ -435,6 +435,16 @@ def test_op8_templates_and_hard_rows(spark, hard):
     assert license_scan.scan(hard).columns.count("score") == 1 and license_scan.scan(hard.limit(0)).count() == 0
 
 
+def test_op8_all_templates_in_one_file(spark):
+    prose = [(n, f"word{n} of the work and so on for any use of this in that") for n in range(30)]
+    texts = [text for _, text, _ in license_scan.TEMPLATES]
+    whole = [(100, "\n".join(texts)), (101, "\n".join(texts[::-1])), (102, " filler words here ".join(texts * 3))]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(prose + whole, DOCS)).collect()}
+    every = sorted({label for label, _, _ in license_scan.TEMPLATES})
+    assert all(got[n].labels.split(",") == every and got[n].score == pytest.approx(1) for n in (100, 101, 102))
+    assert all(got[n].labels == "" for n in range(30))
+
+
 def plain_line_dedup(rows, min_lines, min_chars):
     docs = sorted({(i if i is not None else 2**63, t) for i, t in rows if t is not None}, key=lambda x: x[0])
     lines = [[(no, x) for no, x in enumerate(t.split("\n")) if WORDS(x)] for _, t in docs]
