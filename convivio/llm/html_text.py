@@ -24,21 +24,25 @@ from pyspark.sql import types as T
 # Element names as HTML defines them.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style title noscript template iframe noembed noframes object select datalist svg math canvas audio video".split())
+UNSEEN = frozenset("head script style title noscript template iframe noembed noframes object datalist canvas audio video".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary "
-                  "table tbody td tfoot th thead tr ul caption".split())
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr".split())
+                  "table tbody td tfoot th thead tr ul caption xmp".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure hr xmp".split())
+# Elements on lines of their own that do not end a paragraph, and what svg and math do not show.
+LINES = frozenset("option optgroup text".split())
+FOREIGN = {"svg": frozenset("title desc metadata defs symbol".split()), "math": frozenset("annotation annotation-xml".split())}
+SECTIONS = ("thead", "tbody", "tfoot")
 # Open elements that a start tag ends, and the elements at which the search for them stops.
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th", "caption"), "td": ("td", "th"),
         "th": ("td", "th"), "tbody": ("thead", "tbody", "tfoot", "tr", "td", "th"), "body": ("head",),
-        "thead": ("caption",), "tfoot": ("thead", "tbody", "tr", "td", "th"), "option": ("option",)}
+        "thead": ("caption", *SECTIONS, "tr", "td", "th"), "tfoot": (*SECTIONS, "tr", "td", "th"), "option": ("option",)}
 SCOPE = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"),
          "th": ("table", "tr"), "tbody": ("table",), "tfoot": ("table",), "thead": ("table",), "body": (), "option": ("select",)}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|style\s*=\s*("[^"]*|'[^']*|\S*)""", re.I)
-_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"'][^\s=/>]*)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]*)))?|["'/=]""")
+_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\s*(?:!|;|$)", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -49,19 +53,29 @@ class Element:
         self.tag, self.shown, self.inside, self.mark = tag, shown, [], "- "
 
 
+def _attributes(text: str) -> dict[str, str]:
+    """Names and values; of equal names the first counts."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        if m.group(1):
+            found.setdefault(m.group(1).lower(), unescape(m.group(2) or m.group(3) or m.group(4) or ""))
+    return found
+
+
 def _seen(tag: str, attributes: str) -> bool:
     if tag in UNSEEN:
         return False
-    for found in _HIDDEN.finditer(attributes):
-        if found.group(1) is None or _STYLE.search(found.group(1)):
-            return False
-    return True
+    found = _attributes(attributes) if attributes.strip() else {}
+    return not ("hidden" in found or found.get("aria-hidden", "").strip().lower() == "true"
+                or _STYLE.search(found.get("style", "")))
 
 
 def build(page: str) -> Element:
     """The tree of elements and texts."""
     root = Element("html")
     path = [root]
+    # Open svg and math elements, by their depth.
+    foreign: list[int] = []
 
     def end(tags: tuple[str, ...], stops: tuple[str, ...]) -> None:
         """Close the outermost open element of `tags` inside the nearest of `stops`."""
@@ -87,6 +101,9 @@ def build(page: str) -> Element:
         if tag is None:
             continue
         tag = tag.lower()
+        if tag == "form" and path[-1].tag in ("table", "tr", *SECTIONS):
+            # A form between the parts of a table holds nothing.
+            continue
         if closing:
             for depth in range(len(path) - 1, 0, -1):
                 if path[depth].tag == tag:
@@ -99,12 +116,24 @@ def build(page: str) -> Element:
             end(("p",), ("td", "th", "table", "button", "object"))
         if tag == "html" and path[-1] is root:
             continue
-        element = Element(tag, _seen(tag, token.group(3)))
+        if tag in ("td", "th") and path[-1].tag in ("table", *SECTIONS):
+            row = Element("tr")
+            path[-1].inside.append(row)
+            path.append(row)
+        while foreign and (foreign[-1] >= len(path) or path[foreign[-1]].tag not in FOREIGN):
+            foreign.pop()
+        within = path[foreign[-1]].tag if foreign else None
+        element = Element(tag, _seen(tag, token.group(3)) and not (within and tag in FOREIGN[within]))
         path[-1].inside.append(element)
+        if (within or tag in FOREIGN) and token.group(3).endswith("/"):
+            continue
+        if tag in FOREIGN:
+            foreign.append(len(path))
         if tag in RAW:
             close = re.compile(rf"</{tag}\s*>|\Z", re.I).search(page, at)
-            if tag == "textarea":
-                element.inside.append(unescape(page[at:close.start()]))
+            if tag in ("textarea", "xmp"):
+                inner = page[at:close.start()]
+                element.inside.append(unescape(inner) if tag == "textarea" else inner)
             at = close.end()
         elif tag not in VOID:
             path.append(element)
@@ -157,16 +186,28 @@ def _rows(table: Element) -> list[Element]:
     rows = []
     for x in table.inside:
         if isinstance(x, Element) and x.shown:
-            rows += [x] if x.tag == "tr" else _rows(x) if x.tag in ("thead", "tbody", "tfoot") else []
+            rows += [x] if x.tag == "tr" else _rows(x) if x.tag in SECTIONS else []
     return rows
 
 
+def _strays(part: Element) -> list[Element | str]:
+    """What stands between the rows of a table or section."""
+    found: list[Element | str] = []
+    for x in part.inside:
+        if isinstance(x, str):
+            found += [x] if x.strip() else []
+        elif x.tag in SECTIONS:
+            found += _strays(x) if x.shown else []
+        elif x.tag != "tr":
+            found.append(x)
+    return found
+
+
 def _table(table: Element, layout: Layout) -> None:
     """Cells of one column start at the same place; a cell is one line."""
-    for x in table.inside:
-        if isinstance(x, str) and x.strip() or isinstance(x, Element) and x.tag not in ("tr", "thead", "tbody", "tfoot"):
-            _render(x, layout, False, 0)
-            layout.line(1)
+    for x in _strays(table):
+        _render(x, layout, False, 0)
+        layout.line(1)
     grid = []
     for row in _rows(table):
         cells = [x for x in row.inside if not isinstance(x, str) or x.strip()]
@@ -203,7 +244,7 @@ def _render(node: Element | str, layout: Layout, kept: bool, depth: int) -> None
             layout.breaks = min(2, layout.breaks + 1)
             layout.blank = False
             continue
-        count = 2 if tag in SPACED and not (tag in ("ul", "ol") and depth) else 1 if tag in BLOCK else 0
+        count = 2 if tag in SPACED and not (tag in ("ul", "ol") and depth) else 1 if tag in BLOCK or tag in LINES else 0
         if tag == "table":
             layout.line(2)
             _table(node, layout)
@@ -225,7 +266,7 @@ def _render(node: Element | str, layout: Layout, kept: bool, depth: int) -> None
             items = (x for x in node.inside if isinstance(x, Element) and x.tag == "li" and x.shown)
             for number, item in enumerate(items, start=1):
                 item.mark = f"{number}. "
-        as_is = kept or tag in ("pre", "textarea")
+        as_is = kept or tag in ("pre", "textarea", "xmp")
         stack.extend((x, as_is, inner, None) for x in reversed(node.inside))
 
 

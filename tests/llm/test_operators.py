@@ -291,6 +291,27 @@ def test_op4_layout(page, text):
     assert html_text.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<p title="the hidden cost of X">a</p>', "a"), ('<div class="nav hidden md:flex">b</div>', "b"),
+    ('<div data-style="display:none">c</div>', "c"), ('<div style="--display:none">c</div>', "c"),
+    ("<div class=x hidden>no</div><div HIDDEN=''>no</div><div title='a'hidden>no</div>yes", "yes"),
+    ("<div style='color:red; Visibility : hidden'>no</div><div style=display:none>no</div>yes", "yes"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> holds</p>", "so x=2 holds"),
+    ("<svg><title>no</title><defs><text>no</text></defs><path d='M0'/><text>a</text><text>b</text></svg>c", "a\nb\nc"),
+    ("<svg><defs/><text>a</text></svg><desc>b</desc>", "a\nb"),
+    ("<p>pick <select><option>one<option>two</select> now</p>", "pick\none\ntwo\nnow"),
+    ("a<xmp><b>&amp;\n x</xmp>b", "a\n\n<b>&amp;\n x\n\nb"),
+    ("<table><tbody><td>x</td><td>y</td></tbody></table>", "x  y"),
+    ("<table><td>x<td>y<tr><td>z</table>", "x  y\nz"),
+    ("<table><tbody><form><tr><td>x</td></tr></form></tbody></table>", "x"),
+    ("<form><table><form><tr><td>x</td></tr></form><tr><td>y</td></tr></table>z</form>", "x\ny\n\nz"),
+    ("<table><tbody>stray<div>more</div><tr><td>x</td></tr></tbody></table>", "stray\nmore\nx"),
+    ("<table><tbody hidden>no</tbody><tbody><tr><td>x</table>", "x"),
+])
+def test_op4_all_visible_text(page, text):
+    assert html_text.visible_text(page) == text
+
+
 def test_op4_whole_pages(spark, data):
     pages = duckdb.sql(f"SELECT page_id, html FROM '{data}/pages.parquet'").fetchall()
     got = {r.page_id: r.text for r in QUERIES["op4_html_text"](spark, data).collect()}
