@@ -195,7 +195,8 @@ def _links(nodes: DataFrame, docs: DataFrame, threshold: tuple[int, int], bands:
     t, count = num / den, bands * rows
     sure = (1 - 2.0 ** -bits) * t + 2.0 ** -bits
     floor = t - SLACK * math.sqrt(sure * (1 - sure) / count) / (1 - 2.0 ** -bits)
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
+    # A document may represent several classes, so a class goes by its node and its set.
+    banded = nodes.select("node", "set_key", F.explode("bands").alias("bucket"))
     shared = durable(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket"))
     member = durable(banded.join(shared, "bucket", "left_semi"))
     wanted = durable(member.select(F.col("node").alias("doc_id")).distinct())
@@ -209,21 +210,24 @@ def _links(nodes: DataFrame, docs: DataFrame, threshold: tuple[int, int], bands:
             .filter("c = 1").groupBy("node", "set_key").agg(F.count(F.lit(1)).alias("lone")))
     sized = full.select("node", "set_key", F.size("shingles").cast("long").alias("n"), "packed")
     bound = sized.join(lone, ["node", "set_key"], "left").select(
-        "node", "n", "packed", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("share"))
+        "node", "set_key", "n", "packed", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("share"))
     # A partner has at least threshold * n shingles, all of them shareable at best.
     able = durable(bound.filter(F.col("share") * den >= F.col("n") * num))
-    placed = durable(member.join(able, "node"))
-    side = lambda df, x: df.select("bucket", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "n", "packed", "share")])
+    placed = durable(member.join(able, ["node", "set_key"]))
+    side = lambda df, x: df.select("bucket", *[F.col(c).alias(f"{x}_{c}") for c in ("node", "set_key", "n", "packed", "share")])
     a = side(placed, "a")
     # overlap >= t / (1 + t) * (n_a + n_b), in whole numbers
     fits = F.least("a_share", "b_share") * (num + den) >= (F.col("a_n") + F.col("b_n")) * num
     alike = estimate("a_packed", "b_packed", count, bits) >= floor
 
     hub = placed.groupBy("bucket").agg(
-        F.max(F.struct((F.col("share") / F.col("n")).alias("r"), (-F.col("node")).alias("k"))).alias("hub"),
-        F.min("node").alias("first"))
-    leaders = durable(hub.select("bucket", F.explode(F.array_distinct(F.array(-F.col("hub.k"), F.col("first")))).alias("b_node")))
-    leaders = leaders.join(able.select(*[F.col(c).alias(f"b_{c}") for c in ("node", "n", "packed", "share")]), "b_node")
+        F.max(F.struct((F.col("share") / F.col("n")).alias("r"), (-F.col("node")).alias("k"), F.col("set_key").alias("s"))).alias("hub"),
+        F.min(F.struct("node", "set_key")).alias("first"))
+    both = F.array(F.struct((-F.col("hub.k")).alias("node"), F.col("hub.s").alias("set_key")), F.col("first"))
+    leaders = durable(hub.select("bucket", F.explode(F.array_distinct(both)).alias("l")).select(
+        "bucket", F.col("l.node").alias("b_node"), F.col("l.set_key").alias("b_set_key")))
+    leaders = leaders.join(able.select(*[F.col(c).alias(f"b_{c}") for c in ("node", "set_key", "n", "packed", "share")]),
+                           ["b_node", "b_set_key"])
     first = a.join(leaders, "bucket").filter((F.col("a_node") != F.col("b_node")) & fits & alike)
     found = _confirmed(first, full, num, den)
     roots = durable(components(found))
@@ -232,8 +236,8 @@ def _links(nodes: DataFrame, docs: DataFrame, threshold: tuple[int, int], bands:
     rest = durable(linked.join(mixed, "bucket", "left_semi"))
     if rest.isEmpty():
         return roots
-    rest = rest.join(nodes.select("node", "bands"), "node")
-    used = ("node", "n", "packed", "share", "root", "bands")
+    rest = rest.join(nodes.select("node", "set_key", "bands"), ["node", "set_key"])
+    used = ("node", "set_key", "n", "packed", "share", "root", "bands")
     a = rest.select("bucket", *[F.col(c).alias(f"a_{c}") for c in used])
     b = rest.select("bucket", *[F.col(c).alias(f"b_{c}") for c in used])
     # A pair that shares several buckets is made in the first of them only.
@@ -246,11 +250,14 @@ def _links(nodes: DataFrame, docs: DataFrame, threshold: tuple[int, int], bands:
 
 
 def _confirmed(pairs: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs (a, b), a > b, whose full sets are similar enough."""
-    high, low = F.greatest("a_node", "b_node"), F.least("a_node", "b_node")
-    once = durable(pairs.select(high.alias("a"), low.alias("b")).distinct())
-    sets = lambda x: full.select(F.col("node").alias(x), F.col("shingles").alias(f"{x}_set"))
-    both = once.join(sets("a"), "a").join(sets("b"), "b")
+    """Pairs (a, b), a > b, of nodes with classes whose full sets are similar enough."""
+    sides = [F.struct(F.col(f"{x}_node").alias("node"), F.col(f"{x}_set_key").alias("set_key")) for x in "ab"]
+    once = pairs.select(F.greatest(*sides).alias("h"), F.least(*sides).alias("l")).select(
+        F.col("h.node").alias("a"), F.col("h.set_key").alias("a_key"), F.col("l.node").alias("b"), F.col("l.set_key").alias("b_key"))
+    once = durable(once.distinct())
+    sets = lambda x: full.select(
+        F.col("node").alias(x), F.col("set_key").alias(f"{x}_key"), F.col("shingles").alias(f"{x}_set"))
+    both = once.join(sets("a"), ["a", "a_key"]).join(sets("b"), ["b", "b_key"])
     common = F.size(F.array_intersect("a_set", "b_set"))
     union = F.size("a_set") + F.size("b_set") - common
     return durable(both.filter(common * den >= union * num).select("a", "b"))

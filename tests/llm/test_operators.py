@@ -153,6 +153,32 @@ def test_op2_one_id_two_texts(spark):
     assert {(r.doc_id, r.component_id) for r in got.collect()} == {(1, 1), (2, 1), (3, 1)}
 
 
+def test_op2_one_id_two_edited_texts(spark):
+    draw, rows = np.random.default_rng(4), []
+    for n in range(40):
+        # Both texts of an id represent a class; copies with a few words changed stand elsewhere, and chains mix buckets.
+        for k in range(2):
+            words = [f"t{n}x{k}y{w}" for w in range(120)]
+            rows.append((n, " ".join(words)))
+            for copy in range(6):
+                words[int(draw.integers(120))] = f"c{copy}"
+                rows.append((1000 + 100 * n + 10 * k + copy, " ".join(words)))
+    sets = [(i, set(zip(*[t.split()[s:] for s in range(5)]))) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, x in sets:
+        for j, y in sets:
+            if i < j and 100 * len(x & y) >= 80 * len(x | y) and top(i) != top(j):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, DOCS), 80).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(i, top(i)) for i, _ in rows}
+
+
 def word_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
