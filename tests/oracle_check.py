@@ -38,7 +38,7 @@ def _sorted_rows(names, rows):
 
 def _same_type(spark_type: str, duck_type: str) -> bool:
     wanted = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN", "date": "DATE",
-              "timestamp_ntz": "TIMESTAMP"}
+              "timestamp_ntz": "TIMESTAMP", "int": "INTEGER"}
     return wanted.get(spark_type) == duck_type
 
 
