@@ -33,3 +33,14 @@ def only_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
 def without_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows whose key is null or not in a stored one-column list."""
     return df.join(sized(ids), key, "left_anti")
+
+
+def fresh(df: DataFrame, *wanted: str) -> str | list[str]:
+    """Helper column names that the table does not have, as near to the wanted ones as can be."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        names.append(name)
+    return names if len(names) > 1 else names[0]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import mixing, url_reputation
+from . import hard_negatives, mixing, url_reputation
+from .common import LOWER, UPPER
 
 
 def _mixing() -> str:
@@ -65,5 +66,38 @@ def _urls() -> str:
         FROM placed JOIN bounds USING (host)"""
 
 
+def _hard_negatives() -> str:
+    h = hard_negatives
+    return f"""
+        WITH parts AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor({h.SCALE} * CAST(c AS DOUBLE)) FOR c IN embedding] AS x
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+                   CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+            FROM parts a JOIN parts b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {h.POSITIVES})
+        SELECT anchor_id, positive_id, CAST(row_number() OVER (
+                   PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND {h.LOW_PERCENT} * positive_score <= 100 * score AND 100 * score <= {h.HIGH_PERCENT} * positive_score
+        QUALIFY rank <= {h.NEGATIVES}"""
+
+
+def _exact_duplicates() -> str:
+    return f"""
+        WITH hashed AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256 FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, text_sha256
+        FROM hashed WINDOW same AS (PARTITION BY text_sha256)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": _mixing(), "op10_url_reputation": _urls()}
+    return {"op7_mixing": _mixing(), "op10_url_reputation": _urls(), "op11_hard_negatives": _hard_negatives(),
+            "op13_exact_duplicates": _exact_duplicates()}

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (compression_quality, decontaminate, html_text, license_scan, line_runs, mixing, near_duplicates,
-               personal_data, quality_rules, url_reputation)
+from . import (compression_quality, decontaminate, exact_duplicates, hard_negatives, html_text, license_scan, line_runs,
+               mixing, near_duplicates, personal_data, quality_rules, url_reputation, whitening)
 from .common import table
 
 
@@ -60,7 +60,22 @@ def op10_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.round("bound", 6).alias("bound"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_duplicates.find_copies(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_rules, op2_near_duplicates, op3_decontamination, op4_html_text, op5_compression_quality,
-        op6_personal_data, op7_mixing, op8_license_scan, op9_line_dedup, op10_url_reputation)}
+        op6_personal_data, op7_mixing, op8_license_scan, op9_line_dedup, op10_url_reputation,
+        op11_hard_negatives, op12_whitening, op13_exact_duplicates)}
