@@ -58,11 +58,12 @@ def upsert_posts(target: DataFrame, folded: DataFrame) -> DataFrame:
     """Insert new posts, else update content and indexed_at only.
 
     user_id and created_at keep their first values. An event at or below the last one applied to
-    the post changes nothing, so replays are harmless.
+    the post changes nothing, so replays are harmless. A stored row without a last event is older than all.
     """
     t, e = target.alias("t"), folded.alias("e")
     joined = t.join(e, F.col("t.post_id") == F.col("e.post_id"), "full_outer")
-    newer = F.col("t.post_id").isNull() | (F.col("e.last_event_id") > F.col("t.last_event_id"))
+    applied = F.coalesce("t.last_event_id", F.lit(-2**63).cast("long"))
+    newer = F.col("t.post_id").isNull() | (F.col("e.last_event_id") > applied)
 
     def kept(name):
         return F.coalesce(F.col(f"t.{name}"), F.col(f"e.{name}")).alias(name)

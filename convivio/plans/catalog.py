@@ -15,7 +15,7 @@ from ..operators import (
     aggregates, experiments, filters, generate, joins, maintenance, ordering, quality, ranks, windows,
 )
 from ..session import prepare, scratch_path
-from ..sources import tables
+from ..sources import merges, tables
 from ..sources.stand_ins import SocialTables
 from ..streaming import outbox
 
@@ -661,6 +661,29 @@ def _(t):
     return maintenance.apply_counters(t.user_counters, deltas, "user_id", ["post_count"])
 
 
+@query("m2_merged_upsert")
+def _(t):
+    """The same events merged folder by folder into a stored read model, the second half of them twice."""
+    path, model = _fresh(t, "merge"), tables.conform(t.read_model, schema.POSTS_READ_MODEL)
+    merges.write_shards(model, path, "post_id", 64)
+    early = F.col("created_at") < moment("2024-01-15 00:00:00")
+    for number, part in enumerate([early, ~early, ~early]):
+        merges.merge_posts(path, outbox.project_batch(t.event_outbox.filter(part)), 64, number)
+    return merges.read_shards(t.spark, path, schema.POSTS_READ_MODEL)
+
+
+@query("m3_merged_counters")
+def _(t):
+    """The same deltas added folder by folder in two batches; a repeated batch id has no effect."""
+    path, shape = _fresh(t, "merge"), t.user_counters.schema
+    merges.write_shards(t.user_counters, path, "user_id", 16)
+    deltas = t.comments.select("user_id", "content", F.lit(1).cast("long").alias("post_count"))
+    viewed = F.col("content") == "view"
+    for number, part in ((1, viewed), (2, ~viewed), (2, ~viewed), (1, viewed)):
+        merges.merge_counters(path, deltas.filter(part), "user_id", shape, ["post_count"], 16, number)
+    return merges.read_shards(t.spark, path, shape)
+
+
 @query("m4_counter_drift")
 def _(t):
     return quality.counter_drift(t.posts, "post_id", "like_count", t.post_likes, "post_id")
@@ -813,6 +836,17 @@ def _(t):
     return outbox.read_model(t.spark, _streamed(t, t.event_outbox))
 
 
+@query("r1_merged_projection")
+def _(t):
+    """All events arrive twice and are merged into a read model in hash layout, which is then only scanned."""
+    base, rows = _fresh(t, "merged"), tables.conform(t.event_outbox, schema.EVENT_OUTBOX)
+    for _ in range(2):
+        tables.append(rows, f"{base}/events")
+        stream = outbox.read_outbox(t.spark, f"{base}/events")
+        outbox.start_merged_projection(stream, f"{base}/model", f"{base}/checkpoint", 16).awaitTermination()
+    return outbox.merged_model(t.spark, f"{base}/model")
+
+
 def _projected_once(t):
     return outbox.project_once(t.event_outbox, t.read_model)
 

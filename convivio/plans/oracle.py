@@ -511,6 +511,9 @@ PLAIN = {
     "m2_upsert": _UPSERTED.format(folded="folded"),
     "m3_counter_apply": """SELECT u.user_id, u.username, u.post_count + count(c.comment_id) AS post_count
         FROM user_counters u LEFT JOIN comments c ON u.user_id = c.user_id GROUP BY u.user_id, u.username, u.post_count""",
+    "m2_merged_upsert": _UPSERTED.format(folded="folded"),
+    "m3_merged_counters": """SELECT u.user_id, u.username, u.post_count + count(c.comment_id) AS post_count
+        FROM user_counters u LEFT JOIN comments c ON u.user_id = c.user_id GROUP BY u.user_id, u.username, u.post_count""",
     "m4_counter_drift": """SELECT p.post_id, like_count AS stored, count(l.like_id) AS actual,
         like_count - count(l.like_id) AS drift FROM posts p LEFT JOIN post_likes l ON p.post_id = l.post_id
         GROUP BY p.post_id, like_count HAVING like_count <> count(l.like_id)""",
@@ -572,6 +575,7 @@ PLAIN = {
     "r1_batch_projection": _UPSERTED.format(folded="pending_folded"),
     "r1_flagged_outbox": "SELECT event_id, event_type, k AS aggregate_id, true AS processed FROM ev",
     "r1_compacted": _READ_MODEL,
+    "r1_merged_projection": _READ_MODEL,
     "t1_model_feed": f"""SELECT * FROM ({_UPSERTED.format(folded="pending_folded")}) WHERE user_id = 7
         ORDER BY created_at DESC, post_id LIMIT 20""",
     "r2_idempotent_replay": _READ_MODEL,

@@ -19,7 +19,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.filters import pending
 from ..operators.maintenance import fold_events, merge_folds, upsert_posts
 from ..operators.ordering import oldest_pending
-from ..schema import EVENT_OUTBOX, POSTS_READ_MODEL
+from ..schema import EVENT_OUTBOX, POSTS_READ_MODEL, SHARDS
+from ..sources import merges
 
 PAYLOAD = "post_id long, user_id long, content string, created_at string"
 
@@ -110,6 +111,32 @@ def start_projection(outbox: DataFrame, model_path: str, checkpoint: str,
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def start_merged_projection(outbox: DataFrame, model_path: str, checkpoint: str, shards: int = SHARDS,
+                            trigger: dict | None = None) -> StreamingQuery:
+    """The projection into a read model in hash layout: each batch rewrites the folders of its posts only.
+
+    Reading the model then needs no fold. Use it while a batch touches few of the folders, and `start_projection`
+    when it touches most. A batch that is retried is merged once.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse(pending(batch)).persist()
+        try:
+            events, bad = split(parsed)
+            merges.merge_posts(f"{model_path}/posts", fold_events(events), shards, batch_id)
+            bad.write.mode("overwrite").parquet(f"{model_path}/rejects/batch_id={batch_id}")
+        finally:
+            parsed.unpersist()
+
+    return (outbox.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def merged_model(spark: SparkSession, model_path: str) -> DataFrame:
+    """The read model of `start_merged_projection`: a plain scan."""
+    return merges.read_shards(spark, f"{model_path}/posts", POSTS_READ_MODEL)
+
+
 def batch_counts(spark: SparkSession, model_path: str) -> DataFrame:
     """Events and rejects of every batch so far, one row each."""
     return spark.read.schema("events long, rejects long, batch_id long").parquet(f"{model_path}/counts")
