@@ -15,7 +15,7 @@ from ..operators import (
     aggregates, experiments, filters, generate, joins, maintenance, ordering, quality, ranks, windows,
 )
 from ..session import prepare, scratch_path
-from ..sources import merges, tables
+from ..sources import colocated, merges, tables
 from ..sources.stand_ins import SocialTables
 from ..streaming import outbox
 
@@ -367,6 +367,24 @@ def _(t):
     return joins.social_stats(t.users, t.posts, likes, t.follow_candidates, keys_unique=False)
 
 
+def _buckets(t, df, key, buckets=16):
+    """A stored layout; keys with more than a hundredth of the rows are hot at any scale."""
+    return colocated.write_colocated(df, _fresh(t, "buckets"), key, buckets, max(1, df.count() // 100))
+
+
+@query("j1_colocated")
+def _(t):
+    """Users and posts in buckets of user_id."""
+    return colocated.posts_per_user(_buckets(t, t.users, "user_id"), _buckets(t, t.posts, "user_id"))
+
+
+@query("j2_colocated")
+def _(t):
+    """Posts and likes in buckets of post_id, followers and users in buckets of the user."""
+    return colocated.social_stats(_buckets(t, t.users, "user_id"), _buckets(t, t.posts, "post_id"),
+                                  _buckets(t, t.post_likes, "post_id"), _buckets(t, t.followers, "following_id"))
+
+
 @query("j3_cross_shard_pair")
 def _(t):
     return joins.first_cross_shard_pair(t.users)
@@ -689,6 +707,12 @@ def _(t):
     return quality.counter_drift(t.posts, "post_id", "like_count", t.post_likes, "post_id")
 
 
+@query("m4_colocated_drift")
+def _(t):
+    """Posts and likes in buckets of post_id."""
+    return colocated.counter_drift(_buckets(t, t.posts, "post_id"), "like_count", _buckets(t, t.post_likes, "post_id"))
+
+
 @query("m4_post_counter_drift")
 def _(t):
     return quality.counter_drift(t.user_counters, "user_id", "post_count", t.posts, "user_id")

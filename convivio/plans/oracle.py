@@ -431,6 +431,8 @@ PLAIN = {
         WHEN 'O' THEN 'committed' ELSE 'ok' END AS status FROM orders""",
     "j1_user_posts": _POST_COUNTS.format(where=""),
     "j2_social_stats": _stats(),
+    "j1_colocated": _POST_COUNTS.format(where=""),
+    "j2_colocated": _stats(),
     "j2_social_stats_distinct": """SELECT u.user_id, u.username,
         (SELECT count(DISTINCT post_id) FROM posts p WHERE p.user_id = u.user_id) AS num_posts,
         coalesce(l.n, 0) AS num_likes, coalesce(f.n, 0) AS num_followers
@@ -517,6 +519,9 @@ PLAIN = {
     "m4_counter_drift": """SELECT p.post_id, like_count AS stored, count(l.like_id) AS actual,
         like_count - count(l.like_id) AS drift FROM posts p LEFT JOIN post_likes l ON p.post_id = l.post_id
         GROUP BY p.post_id, like_count HAVING like_count <> count(l.like_id)""",
+    "m4_colocated_drift": """SELECT p.post_id, like_count AS stored, count(l.like_id) AS actual,
+        like_count - count(l.like_id) AS drift FROM posts p LEFT JOIN post_likes l ON p.post_id = l.post_id
+        GROUP BY p.post_id, like_count HAVING like_count <> count(l.like_id)""",
     "m4_post_counter_drift": """SELECT u.user_id, post_count AS stored, count(p.post_id) AS actual,
         post_count - count(p.post_id) AS drift FROM user_counters u LEFT JOIN posts p ON u.user_id = p.user_id
         GROUP BY u.user_id, post_count HAVING post_count <> count(p.post_id)""",
