@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import json_object, micros_between, shard_of, uuid_text, zero_if_null
 from ..schema import SHARDS
 from ..session import durable
+from .ranks import number_rows
 from .windows import top_per_key
 
 
@@ -177,18 +178,24 @@ def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame, users: D
 
     Requests of unknown users break the foreign key of the likes and have no effect; posts have no such key.
     `added` alone can be appended to the stored likes. `keep` stores the new likes once when more
-    than one output is written.
+    than one output is written. If the stored likes have a like_id, they keep it, and new ones get the ids after the
+    highest, in the order of their requests; a batch that is repeated finds nothing new to number.
     """
     pair = ["post_id", "user_id"]
     # The key is checked on the requests as they are, so that a hot user can be split.
     valid = requests.join(users.select("user_id"), "user_id", "left_semi")
     earliest = top_per_key(valid, pair, [F.asc("at"), F.asc("request_id")], 1)
     fresh = earliest.join(likes.select(*pair), pair, "left_anti")
-    if keep:
+    if keep and "like_id" not in likes.columns:
         fresh = durable(fresh)
-    rows = fresh.select(*pair, F.col("at").alias("created_at"))
+    names = [*pair, "created_at"]
+    if "like_id" in likes.columns:
+        names = ["like_id", *names]
+        highest = lambda _: (likes.agg(F.max("like_id")).first()[0] or 0) + 1
+        fresh = number_rows(fresh, ["request_id", *pair], "like_id", highest)
+    rows = fresh.withColumn("created_at", F.col("at")).select(*names)
     deltas = fresh.select("post_id", F.lit(1).cast("long").alias("like_count"))
-    return LikeBatch(likes.select(*pair, "created_at").unionByName(rows), rows,
+    return LikeBatch(likes.select(*names).unionByName(rows), rows,
                      apply_counters(posts, deltas, "post_id", ["like_count"]))
 
 
@@ -240,17 +247,25 @@ class CreatedPosts(NamedTuple):
     outbox: DataFrame
 
 
-def create_posts(commands: DataFrame) -> CreatedPosts:
-    """Each command row yields a post row and a POST_CREATED event; both are narrow projections."""
-    posts = commands.select("post_id", "user_id", "content", "created_at")
+def outbox_events(rows: DataFrame, event_type: str, event_id: str) -> DataFrame:
+    """One outbox event for each row of post_id, user_id, content and created_at, a narrow projection."""
     payload = json_object(
         post_id=F.col("post_id"), user_id=F.col("user_id"), content=F.col("content"),
         created_at=F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    outbox = commands.select(
-        F.col("post_id").alias("event_id"), F.lit("POST_CREATED").alias("event_type"),
+    return rows.select(
+        F.col(event_id).alias("event_id"), F.lit(event_type).alias("event_type"),
         F.col("post_id").alias("aggregate_id"), payload.alias("payload"),
         F.lit(False).alias("processed"), "created_at")
-    return CreatedPosts(posts, outbox)
+
+
+def create_posts(commands: DataFrame, event_id: str = "post_id") -> CreatedPosts:
+    """Each command row yields a post row and a POST_CREATED event.
+
+    `event_id` names the column with the events' ids. Ids of a sequence of their own (`sources.sequences`) let one post have several
+    events; ids taken from the post allow one.
+    """
+    return CreatedPosts(commands.select("post_id", "user_id", "content", "created_at"),
+                        outbox_events(commands, "POST_CREATED", event_id))
 
 
 def rejected_batch_check(requests: DataFrame, users: DataFrame, edges: DataFrame) -> DataFrame:

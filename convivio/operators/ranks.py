@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
@@ -23,15 +24,19 @@ def _ranged(df: DataFrame, order: list[str]) -> DataFrame:
     return fixed.withColumn(_PART, F.shiftrightunsigned(_SLOT, 33))
 
 
-def number_rows(df: DataFrame, order: list[str], name: str = "row_index", start: int = 1) -> DataFrame:
+def number_rows(df: DataFrame, order: list[str], name: str = "row_index",
+                start: int | Callable[[int], int] = 1) -> DataFrame:
     """Dense ids start, start+1, ... in the given order, which must be a key of the table.
 
+    `start` may be a function of the number of rows, which is asked once they are counted.
+
     Only one count per range partition reaches the driver, and as many are broadcast: their
     number is the partition count, whatever the table holds.
     """
     fixed = _ranged(df, order)
     counts = sorted(tuple(row) for row in fixed.groupBy(_PART).count().collect())
-    before = [0, *accumulate(count for _, count in counts)][:-1]
+    before = [0, *accumulate(count for _, count in counts)]
+    start = start(before[-1]) if callable(start) else start
     rows = [(part, first) for (part, _), first in zip(counts, before)]
     offsets = df.sparkSession.createDataFrame(rows, f"{_PART} long, _before long")
     position = F.col("_before") + F.col(_SLOT).bitwiseAND(F.lit((1 << 33) - 1)) + start

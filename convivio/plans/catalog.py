@@ -15,7 +15,7 @@ from ..operators import (
     aggregates, experiments, filters, generate, joins, maintenance, ordering, quality, ranks, windows,
 )
 from ..session import prepare, scratch_path
-from ..sources import colocated, merges, tables
+from ..sources import colocated, merges, sequences, tables
 from ..sources.stand_ins import SocialTables
 from ..streaming import outbox
 
@@ -612,6 +612,15 @@ def _(t):
     return ranks.number_rows(t.users, ["username", "user_id"], "row_number")
 
 
+@query("w2_numbered_batches")
+def _(t):
+    """Users numbered in two batches of one ledger, the first batch twice."""
+    path, big = _fresh(t, "sequence"), F.col("full_name") == "BUILDING"
+    parts = [sequences.number_batch(t.users.filter(part), ["username", "user_id"], "row_number", path, batch, 100)
+             for batch, part in (("a", big), ("b", ~big), ("a", big))]
+    return parts[2].unionByName(parts[1])
+
+
 @query("w2_number_likes")
 def _(t):
     pairs = windows.latest_moment(t.like_candidates, ["post_id", "user_id"])
@@ -758,8 +767,9 @@ def _(t):
     return maintenance.follow_batch(t.failing_requests, t.accounts, t.stored_edges).added
 
 
-def _likes(t):
-    return maintenance.like_batch(t.like_requests, t.posts, t.post_likes, t.accounts)
+def _likes(t, ids=False):
+    likes = t.post_likes if ids else t.post_likes.drop("like_id")
+    return maintenance.like_batch(t.like_requests, t.posts, likes, t.accounts)
 
 
 @query("m8_like_rows")
@@ -767,6 +777,12 @@ def _(t):
     return _likes(t).likes
 
 
+@query("m8_like_ids")
+def _(t):
+    """Stored likes keep their ids, new ones go on after the highest in the order of their requests."""
+    return _likes(t, ids=True).likes
+
+
 @query("m8_like_counters")
 def _(t):
     return _likes(t).posts
@@ -811,6 +827,29 @@ def _(t):
         F.col("_p_at").alias("created_at"), F.col("created_at").alias("indexed_at"))
 
 
+def _event_batches(t):
+    """Two batches of events of the same posts, made and then shortened, with ids of one ledger; the second batch runs twice."""
+    path, commands = _fresh(t, "sequence"), t.post_commands
+    edits = commands.withColumn("content", F.substring("content", 1, 100))
+    made = []
+    for batch, (rows, kind) in enumerate([(commands, "POST_CREATED"), (edits, "POST_EDITED"), (edits, "POST_EDITED")]):
+        numbered = sequences.number_batch(rows, ["created_at", "post_id"], "event_id", path, min(batch, 1))
+        made.append(maintenance.outbox_events(numbered, kind, "event_id"))
+    return made[0].unionByName(made[2])
+
+
+@query("m11_event_sequence")
+def _(t):
+    """Event ids are a sequence of their own, dense over the batches, and every post has two events."""
+    return _event_batches(t).select("event_id", "event_type", "aggregate_id", "created_at")
+
+
+@query("m11_edited_posts")
+def _(t):
+    """The read model of both events of every post."""
+    return outbox.project_batch(_event_batches(t))
+
+
 @query("m12_constraint_audit")
 def _(t):
     rules = quality.Constraints

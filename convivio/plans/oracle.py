@@ -494,6 +494,8 @@ PLAIN = {
         PARTITION BY user_id, post_id ORDER BY created_at DESC, comment_id DESC) AS rn FROM comments
         WHERE user_id <> post_id) WHERE rn = 1""",
     "w2_number_rows": "SELECT *, row_number() OVER (ORDER BY username, user_id) AS row_number FROM users",
+    "w2_numbered_batches": """SELECT *, 99 + row_number() OVER (
+        ORDER BY full_name <> 'BUILDING', username, user_id) AS row_number FROM users""",
     "w2_number_likes": """SELECT post_id, user_id, created_at, row_number() OVER (ORDER BY post_id, user_id) AS like_id
         FROM post_likes""",
     "t1_user_feed": "SELECT * FROM posts WHERE user_id = 7 ORDER BY created_at DESC, post_id LIMIT 20",
@@ -544,6 +546,12 @@ PLAIN = {
         AND NOT EXISTS (SELECT 1 FROM stored_edges e WHERE e.follower_id = r.follower_id
             AND e.following_id = r.following_id) GROUP BY r.follower_id, r.following_id""",
     "m8_like_rows": "SELECT post_id, user_id, created_at FROM post_likes UNION ALL SELECT * FROM new_likes",
+    "m8_like_ids": """SELECT like_id, post_id, user_id, created_at FROM post_likes UNION ALL
+        SELECT (SELECT max(like_id) FROM post_likes) + row_number() OVER (ORDER BY request_id, post_id, user_id),
+            post_id, user_id, created_at FROM (
+            SELECT post_id, user_id, min(moment) AS created_at, min(request_id) AS request_id FROM like_requests r
+            WHERE NOT EXISTS (SELECT 1 FROM post_likes l WHERE l.post_id = r.post_id AND l.user_id = r.user_id)
+            AND user_id IN (SELECT s_suppkey FROM supplier) GROUP BY post_id, user_id)""",
     "m8_like_counters": """SELECT p.post_id, p.user_id, location, like_count + count(n.user_id) AS like_count, p.created_at
         FROM posts p LEFT JOIN new_likes n ON p.post_id = n.post_id
         GROUP BY p.post_id, p.user_id, location, like_count, p.created_at""",
@@ -557,6 +565,12 @@ PLAIN = {
     "m11_create_posts": "SELECT * FROM commands",
     "m11_outbox_events": """SELECT post_id AS event_id, 'POST_CREATED' AS event_type, post_id AS aggregate_id,
         false AS processed, post_id, user_id, content, created_at, created_at AS indexed_at FROM commands""",
+    "m11_event_sequence": """SELECT row_number() OVER (ORDER BY edited, created_at, post_id) AS event_id,
+        CASE WHEN edited THEN 'POST_EDITED' ELSE 'POST_CREATED' END AS event_type, post_id AS aggregate_id, created_at
+        FROM commands, (VALUES (false), (true)) AS kinds(edited)""",
+    "m11_edited_posts": """SELECT post_id, user_id, substr(content, 1, 100) AS content, created_at, created_at AS indexed_at,
+        row_number() OVER (ORDER BY created_at, post_id) AS first_event_id,
+        (SELECT count(*) FROM commands) + row_number() OVER (ORDER BY created_at, post_id) AS last_event_id FROM commands""",
     "m12_constraint_audit": " UNION ALL ".join([
         _violations("users", "not_null(user_id)", "user_id IS NULL", "users"),
         _violations("users", "not_null(username)", "username IS NULL", "users"),
