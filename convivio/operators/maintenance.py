@@ -199,30 +199,52 @@ def like_batch(requests: DataFrame, posts: DataFrame, likes: DataFrame, users: D
                      apply_counters(posts, deltas, "post_id", ["like_count"]))
 
 
-def fold_transactions(events: DataFrame) -> DataFrame:
-    """Current status, start, end and duration of each transaction from its status events."""
-    latest = events.groupBy("tx_id").agg(
-        F.max_by("status", "seq").alias("status"), F.min("at").alias("created_at"),
-        F.max("at").alias("_last"))
-    ended = F.when(F.col("status").isin("COMMITTED", "ABORTED"), F.col("_last"))
+# The states of transactions and sagas, and the steps of the publish-post saga.
+TX_STATUSES = ("PREPARED", "COMMITTED", "ABORTED")
+SAGA_STATUSES = ("STARTED", "COMPLETED", "COMPENSATED")
+SAGA_STEPS = ("CREATE_POST", "UPDATE_COUNTERS", "SEND_NOTIFICATION", "DONE", "ROLLBACK_DONE")
+
+
+def _last_of(name: str, among: Sequence[str] | None) -> tuple[Column, Column]:
+    """The aggregate for a column's last text by seq, and the text again from its result `_last_<name>`.
+
+    Texts of a known list go as their place in it: an aggregate of numbers is hashed and needs no sort.
+    """
+    column, held = F.col(name), F.col(f"_last_{name}")
+    if among is None:
+        return F.max_by(column, "seq").alias(f"_last_{name}"), held
+    texts = F.array(*[F.lit(text) for text in among])
+    place = F.array_position(texts, column).cast("int")
+    return F.max_by(place, "seq").alias(f"_last_{name}"), F.when(held > 0, F.get(texts, held - 1))
+
+
+def fold_transactions(events: DataFrame, statuses: Sequence[str] | None = TX_STATUSES) -> DataFrame:
+    """Current status, start, end and duration of each transaction from its status events.
+
+    A status that is not in `statuses` comes back as null; None takes any text, and sorts before it aggregates.
+    """
+    last, status = _last_of("status", statuses)
+    latest = events.groupBy("tx_id").agg(last, F.min("at").alias("created_at"), F.max("at").alias("_last"))
+    ended = F.when(status.isin("COMMITTED", "ABORTED"), F.col("_last"))
     return latest.select(
-        "tx_id", "status", "created_at", ended.alias("completed_at"),
+        "tx_id", status.alias("status"), "created_at", ended.alias("completed_at"),
         (micros_between(F.col("created_at"), ended) / 1000).alias("duration_ms"))
 
 
-def fold_sagas(events: DataFrame) -> DataFrame:
+def fold_sagas(events: DataFrame, statuses: Sequence[str] | None = SAGA_STATUSES,
+               steps: Sequence[str] | None = SAGA_STEPS) -> DataFrame:
     """Current step and status of each saga from its step events.
 
-    `counted` tells whether the saga got as far as raising the author's post counter.
+    `counted` tells whether the saga got as far as raising the author's post counter. The lists are as in
+    `fold_transactions`. A saga's events share their payload; the highest author counts should they not.
     """
-    last = F.max_by(F.struct("saga_status", "step_name"), "seq")
+    (last_status, status), (last_step, step) = _last_of("saga_status", statuses), _last_of("step_name", steps)
     raised = F.max(F.col("step_name") == "UPDATE_COUNTERS")
-    # A saga's events share their payload, so it is parsed once per saga.
-    author = F.get_json_object("payload", "$.user_id").cast("long")
+    author = F.max(F.get_json_object("payload", "$.user_id").try_cast("long"))
     return (events.groupBy("saga_id")
-            .agg(last.alias("now"), F.max("post_id").alias("post_id"), F.max("payload").alias("payload"),
+            .agg(last_status, last_step, F.max("post_id").alias("post_id"), author.alias("user_id"),
                  raised.alias("counted"), F.min("at").alias("created_at"), F.max("at").alias("updated_at"))
-            .select("saga_id", "now.saga_status", "now.step_name", "post_id", author.alias("user_id"), "counted",
+            .select("saga_id", status.alias("saga_status"), step.alias("step_name"), "post_id", "user_id", "counted",
                     "created_at", "updated_at"))
 
 

@@ -17,7 +17,7 @@ from ..operators import (
 from ..session import prepare, scratch_path
 from ..sources import colocated, merges, sequences, tables
 from ..sources.stand_ins import SocialTables
-from ..streaming import outbox
+from ..streaming import outbox, status
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -798,6 +798,30 @@ def _(t):
     return maintenance.fold_sagas(t.saga_events)
 
 
+def _followed(t, events, start, shape):
+    """Three runs of a stream over the events, late ones first, and then all of them once more."""
+    base = _fresh(t, "status")
+    parts = [events.filter(F.col("seq") % 3 == n) for n in (2, 0, 1)] + [events]
+    for part in parts:
+        tables.append(part, f"{base}/events")
+        start(status.read_events(t.spark, f"{base}/events", events.schema), f"{base}/table",
+              f"{base}/checkpoint", 16).awaitTermination()
+    return merges.read_shards(t.spark, f"{base}/table", shape)
+
+
+@query("m9_streamed_fold")
+def _(t):
+    """The transactions' status as a stream keeps it."""
+    shape = maintenance.fold_transactions(t.transaction_events).schema
+    return _followed(t, t.transaction_events, status.start_transactions, shape)
+
+
+@query("m10_streamed_sagas")
+def _(t):
+    """The sagas' status as a stream keeps it."""
+    return _followed(t, t.saga_events, status.start_sagas, maintenance.fold_sagas(t.saga_events).schema)
+
+
 def _sagas(t):
     return maintenance.apply_sagas(maintenance.fold_sagas(t.saga_events), t.posts, t.user_counters)
 

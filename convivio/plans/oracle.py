@@ -557,6 +557,9 @@ PLAIN = {
         GROUP BY p.post_id, p.user_id, location, like_count, p.created_at""",
     "m9_transaction_fold": """SELECT *, (epoch_us(completed_at) - epoch_us(created_at)) / 1000 AS duration_ms
         FROM transactions""",
+    "m9_streamed_fold": """SELECT *, (epoch_us(completed_at) - epoch_us(created_at)) / 1000 AS duration_ms
+        FROM transactions""",
+    "m10_streamed_sagas": "SELECT * FROM sagas",
     "m10_saga_fold": "SELECT * FROM sagas",
     "m10_saga_posts": "SELECT * FROM posts WHERE post_id NOT IN (SELECT post_id FROM sagas WHERE saga_status = 'COMPENSATED')",
     "m10_saga_counters": """SELECT u.user_id, u.username, greatest(post_count - count(s.saga_id), 0) AS post_count
