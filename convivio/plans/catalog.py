@@ -15,7 +15,7 @@ from ..operators import (
     aggregates, experiments, filters, generate, joins, maintenance, ordering, quality, ranks, windows,
 )
 from ..session import prepare, scratch_path
-from ..sources import colocated, merges, sequences, tables
+from ..sources import colocated, maintained, merges, sequences, tables
 from ..sources.stand_ins import SocialTables
 from ..streaming import outbox, status
 
@@ -385,6 +385,23 @@ def _(t):
                                   _buckets(t, t.post_likes, "post_id"), _buckets(t, t.followers, "following_id"))
 
 
+@query("j2_maintained")
+def _(t):
+    """Statistics after three batches: early rows; later ones, while urgent posts go; and those posts once more, twice."""
+    base, wide = _fresh(t, "maintained"), 8
+    rows = {"posts": t.posts, "likes": t.post_likes, "edges": t.followers}
+    cuts = {"posts": "1998-06-01", "likes": "1997-01-01", "edges": "2024-01-20"}
+    early = {n: df.filter(F.col("created_at") < moment(f"{cuts[n]} 00:00:00")) for n, df in rows.items()}
+    late = {n: df.filter(F.col("created_at") >= moment(f"{cuts[n]} 00:00:00")) for n, df in rows.items()}
+    urgent = t.posts.filter("location = '1-URGENT'")
+    late_calm = late | {"posts": late["posts"].filter("location <> '1-URGENT'")}
+    batches = [maintained.Batch(early, {}), maintained.Batch(late_calm, {"posts": urgent}),
+               maintained.Batch({"posts": urgent}, {}), maintained.Batch({"posts": urgent}, {})]
+    for number, batch in enumerate(batches):
+        maintained.apply_batch(t.spark, base, batch, min(number, 2), wide)
+    return maintained.maintained_stats(t.spark, base, t.users)
+
+
 @query("j3_cross_shard_pair")
 def _(t):
     return joins.first_cross_shard_pair(t.users)

@@ -433,6 +433,7 @@ PLAIN = {
     "j2_social_stats": _stats(),
     "j1_colocated": _POST_COUNTS.format(where=""),
     "j2_colocated": _stats(),
+    "j2_maintained": _stats(),
     "j2_social_stats_distinct": """SELECT u.user_id, u.username,
         (SELECT count(DISTINCT post_id) FROM posts p WHERE p.user_id = u.user_id) AS num_posts,
         coalesce(l.n, 0) AS num_likes, coalesce(f.n, 0) AS num_followers

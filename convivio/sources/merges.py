@@ -58,6 +58,12 @@ def write_shards(df: DataFrame, path: str, key: str, shards: int = SHARDS) -> No
     placed.hint("rebalance", "shard").write.mode("errorifexists").partitionBy("shard").parquet(path)
 
 
+def touched_shards(keys: DataFrame, key: str, shards: int) -> list[int]:
+    """The shards that a batch's keys are in: at most `shards` numbers reach the driver."""
+    found = keys.filter(F.col(key).isNotNull()).select(shard_of_key(keys.schema, key, shards)).distinct().collect()
+    return sorted(r[0] for r in found)
+
+
 def read_shards(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[int] | None = None) -> DataFrame:
     """The table without its shard column, or the rows of some shards; a table not yet written is empty."""
     if not path_exists(spark, path):
@@ -68,10 +74,16 @@ def read_shards(spark: SparkSession, path: str, schema: T.StructType, touched: S
     return rows.drop("shard")
 
 
-def publish(spark: SparkSession, stage: str, path: str) -> int:
-    """Swap the staged folders in and return the rows written; harmless when repeated."""
-    seen = Observation()
-    staged = spark.read.parquet(stage).hint("rebalance", "shard")
+def publish(spark: SparkSession, stage: str, path: str, touched: Sequence[int] = ()) -> int:
+    """Swap the staged folders in and return the rows written; harmless when repeated.
+
+    Touched shards that have no rows left get an empty file.
+    """
+    seen, rows = Observation(), spark.read.parquet(stage)
+    left = {r[0] for r in rows.select("shard").distinct().collect()}
+    for shard in set(touched) - left:
+        rows.drop("shard").limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/shard={shard}")
+    staged = rows.hint("rebalance", "shard")
     # Counted where it is written: after the exchange, so that a lost map output is not counted twice.
     (staged.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path))
@@ -82,15 +94,14 @@ def merge(path: str, batch: DataFrame, key: str, schema: T.StructType, fold: Fol
           batch_id: int | str | None = None) -> Merged:
     """Replace the touched shards by fold(their rows, the batch).
 
-    `fold` must keep every row's key, and may not leave a touched shard without rows. Batch rows with a null key are left out.
+    `fold` must keep every row's key. Batch rows with a null key are left out.
     """
     spark = batch.sparkSession
     done = f"{path}/_merges/batch-{batch_id}.done"
     if batch_id is not None and path_exists(spark, done):
         return Merged([], 0)
     batch = durable(batch.filter(F.col(key).isNotNull()))
-    # At most `shards` numbers reach the driver.
-    touched = sorted(r[0] for r in batch.select(shard_of_key(batch.schema, key, shards)).distinct().collect())
+    touched = touched_shards(batch, key, shards)
     rows = 0
     if touched:
         stage = scratch_path(spark, "merge") if batch_id is None else f"{path}/_merges/batch-{batch_id}"
@@ -98,7 +109,7 @@ def merge(path: str, batch: DataFrame, key: str, schema: T.StructType, fold: Fol
             merged = fold(read_shards(spark, path, schema, touched), batch)
             placed = merged.withColumn("shard", shard_of_key(merged.schema, key, shards))
             placed.write.mode("overwrite").parquet(stage)
-        rows = publish(spark, stage, path)
+        rows = publish(spark, stage, path, touched)
     if batch_id is not None:
         mark(spark, done)
     return Merged(touched, rows)
