@@ -37,23 +37,31 @@ def social_stats(users: DataFrame, posts: DataFrame, likes: DataFrame, followers
     every shuffled side is already aggregated by its map tasks and posts are read once. This
     needs the declared keys to hold (post_id, like_id, follower pair); with
     `keys_unique=False` each count is distinct over whatever duplicates there are. Set `few` when the
-    users are a small part of all: posts, likes and followers of others are then left out first.
+    users are a small part of all: posts and followers of others are then left out first, and likes are not
+    summed for all posts but meet the few posts as they are.
     """
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     if few:
         chosen = users.select("user_id")
         posts = posts.join(chosen, "user_id", "left_semi")
-        likes = likes.join(posts.select("post_id"), "post_id", "left_semi")
         followers = followers.join(chosen.withColumnRenamed("user_id", "following_id"), "following_id", "left_semi")
     if not keys_unique:
         return _social_stats_distinct(users, posts, likes, followers)
-    likes_by_post = likes.groupBy("post_id").agg(F.count("like_id").alias("likes"))
-    zero = F.lit(0).cast("long")
-    authored = posts.join(likes_by_post, "post_id", "left").select(
-        "user_id", F.when(F.col("post_id").isNotNull(), 1).otherwise(0).cast("long").alias("posts"),
-        zero_if_null(F.col("likes")).alias("likes"), zero.alias("followers"))
-    followed = followers.select(
-        F.col("following_id").alias("user_id"), zero.alias("posts"), zero.alias("likes"),
-        F.when(F.col("follower_id").isNotNull(), 1).otherwise(0).cast("long").alias("followers"))
+
+    def held(key):
+        return F.when(F.col(key).isNotNull(), one).otherwise(zero)
+
+    if few:
+        received = likes.select("post_id", "like_id").join(posts.select("post_id", "user_id"), "post_id").select(
+            "user_id", zero.alias("posts"), held("like_id").alias("likes"), zero.alias("followers"))
+        authored = posts.select("user_id", held("post_id").alias("posts"), zero.alias("likes"),
+                                zero.alias("followers")).unionByName(received)
+    else:
+        likes_by_post = likes.groupBy("post_id").agg(F.count("like_id").alias("likes"))
+        authored = posts.join(likes_by_post, "post_id", "left").select(
+            "user_id", held("post_id").alias("posts"), zero_if_null(F.col("likes")).alias("likes"), zero.alias("followers"))
+    followed = followers.select(F.col("following_id").alias("user_id"), zero.alias("posts"), zero.alias("likes"),
+                                held("follower_id").alias("followers"))
     totals = authored.unionByName(followed).groupBy("user_id").agg(
         F.sum("posts").alias("num_posts"), F.sum("likes").alias("num_likes"),
         F.sum("followers").alias("num_followers"))

@@ -65,14 +65,29 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
 
 
 def foreign_key_report(links: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """One row per link (name, child, column, parent, parent key): orphan values and rows."""
+    """One row per link (name, child, column, parent, parent key): orphan values and rows.
+
+    Every child and every parent is scanned once, however many links it has: a child row yields a key for each of its
+    links, and all links to one parent are counted side by side, so that a key is one row with a count for each link
+    when it meets the parent. Tables are told apart as objects; pass the same DataFrame for the same table.
+    """
     reports = []
-    for name, child, column, parent, parent_key in links:
-        found = orphan_keys(child, column, parent, parent_key)
-        reports.append(found.agg(
-            F.count(F.lit(1)).alias("orphan_keys"),
-            zero_if_null(F.sum("rows")).alias("orphan_rows"),
-        ).select(F.lit(name).alias("link"), "orphan_keys", "orphan_rows"))
+    for parent, parent_key in {(id(p), k): (p, k) for _, _, _, p, k in links}.values():
+        mine = [link for link in links if link[3] is parent and link[4] == parent_key]
+        kind = parent.schema[parent_key].dataType
+        keys = None
+        for child in {id(link[1]): link[1] for link in mine}.values():
+            found = F.array(*[F.struct(F.lit(n).alias("link"), F.col(link[2]).cast(kind).alias("key"))
+                              for n, link in enumerate(mine) if link[1] is child])
+            rows = child.select(F.inline(F.filter(found, lambda e: e["key"].isNotNull())))
+            keys = rows if keys is None else keys.unionByName(rows)
+        counts = keys.groupBy("key").agg(*[F.count_if(F.col("link") == n).alias(f"n{n}") for n in range(len(mine))])
+        orphans_of = counts.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
+        sums = orphans_of.agg(*[c for n in range(len(mine)) for c in (
+            F.count_if(F.col(f"n{n}") > 0).alias(f"keys{n}"), zero_if_null(F.sum(f"n{n}")).alias(f"rows{n}"))])
+        reports.append(sums.select(F.inline(F.array(*[
+            F.struct(F.lit(link[0]).alias("link"), F.col(f"keys{n}").alias("orphan_keys"), F.col(f"rows{n}").alias("orphan_rows"))
+            for n, link in enumerate(mine)]))))
     return reduce(DataFrame.unionByName, reports)
 
 

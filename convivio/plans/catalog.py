@@ -66,6 +66,15 @@ def _(t):
     return aggregates.group_sizes(tables.scan(t.spark, path), "user_id")
 
 
+@query("s2_row_counts")
+def _(t):
+    """Two appended batches with the rows that each append reports."""
+    path = _fresh(t, "append")
+    sizes = [(n, tables.append_rows(df.select("post_id", "user_id"), path)) for n, df in (("posts", t.posts), ("likes", t.post_likes))]
+    return t.spark.createDataFrame(sizes, "batch string, rows long").withColumn(
+        "rows_read", tables.scan(t.spark, path).select(F.count(F.lit(1))).scalar())
+
+
 @query("s3_insert_select")
 def _(t):
     """Derive a posts table, write it, and read it with the table's schema."""
@@ -117,6 +126,24 @@ def _(t):
                        F.col("file_name").endswith(".json").alias("from_json_file"))
 
 
+@query("s6_expected_documents")
+def _(t):
+    """Expected result documents, of which one is missing and one cut off, as the summary sees them."""
+    path, docs = _fresh(t, "docs"), _latency_documents(t)
+    whole = F.to_json("doc")
+    text = F.when(F.col("group") == "error", F.substring(whole, 1, 20)).otherwise(whole)
+    for group, kind in (("click", "exp1"), ("error", "exp4")):
+        docs.filter(F.col("group") == group).select(text.alias("value")).coalesce(1).write.text(f"{path}/{kind}")
+    kinds = [("exp1", True), ("exp3", False), ("exp4", True)]
+    found = None
+    for kind, there in kinds:
+        names = [f.rsplit("/", 1)[1] for f in t.spark.read.text(f"{path}/{kind}").inputFiles()] if there else ["absent.json"]
+        part = tables.read_expected(t.spark, f"{path}/{kind}", {kind: names[0]})
+        found = part if found is None else found.unionByName(part)
+    return experiments.summarise(found).join(found.select(F.col("name").alias("experiment"), "broken"), "experiment").select(
+        "experiment", "available", "broken", "status").distinct()
+
+
 @query("s7_series")
 def _(t):
     """A series as long as the users table, numbered from 1, against the users it should cover."""
@@ -473,6 +500,15 @@ def _(t):
                                       num_comments="comment_id")
 
 
+@query("a2_bitmap_counts")
+def _(t):
+    """The same distinct counts from bitmaps of two batches, united later."""
+    early = F.col("created_at") < moment("2024-01-10 00:00:00")
+    parts = [aggregates.distinct_bitmaps(t.comments.filter(part), "user_id", "post_id", "comment_id") for part in (early, ~early)]
+    united = aggregates.unite_bitmaps(parts[0].unionByName(parts[1]), "user_id")
+    return aggregates.bitmap_counts(united, "user_id", num_posts="post_id", num_comments="comment_id")
+
+
 @query("a3_daily_posts")
 def _(t):
     return aggregates.daily_posts(t.posts)

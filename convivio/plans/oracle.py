@@ -395,6 +395,8 @@ PLAIN = {
     "s1_scan": "SELECT user_id, username FROM users",
     "s2_append": """SELECT user_id, count(*) AS row_count FROM (SELECT user_id FROM posts
         UNION ALL SELECT user_id FROM comments) GROUP BY user_id""",
+    "s2_row_counts": """SELECT batch, "rows", sum("rows") OVER ()::BIGINT AS rows_read FROM (
+        SELECT 'posts' AS batch, count(*) AS "rows" FROM posts UNION ALL SELECT 'likes', count(*) FROM post_likes)""",
     "s3_insert_select": """SELECT post_id, user_id, 'Post content #' || post_id AS content, location, like_count,
         created_at FROM posts""",
     "s4_csv_sink": "SELECT * FROM users",
@@ -402,6 +404,9 @@ PLAIN = {
     "s5_json_sink":"SELECT comment_id, post_id, user_id, content FROM comments",
     "s6_result_documents": """SELECT grp AS "group", count AS n, error_count AS errors, median, p95,
         true AS from_json_file FROM sample_facts JOIN ranks USING (grp)""",
+    "s6_expected_documents": """SELECT * FROM (VALUES ('exp1', true, false, 'ok'), ('exp3', false, false, 'pending'),
+        ('exp4', false, true, 'pending')) AS v(experiment, available, broken, status)
+        WHERE EXISTS (SELECT 1 FROM samples WHERE grp IN ('click', 'error'))""",
     "s7_series": "SELECT user_id + 1 AS n, username FROM users",
     "s8_hash_layout": "SELECT user_id, username, user_id % 3 AS shard FROM users",
     "s9_month_layout": """SELECT strftime(created_at, '%Y%m') AS created_month, count(*) AS row_count,
@@ -467,6 +472,8 @@ PLAIN = {
     "a1_posts_of_user": _POST_COUNTS.format(where="WHERE u.user_id = 1"),
     "a2_distinct_counts": """SELECT user_id, count(DISTINCT post_id) AS num_posts, count(DISTINCT content) AS num_contents,
         count(DISTINCT comment_id) AS num_comments FROM comments GROUP BY user_id""",
+    "a2_bitmap_counts": """SELECT user_id, count(DISTINCT post_id) AS num_posts, count(DISTINCT comment_id) AS num_comments
+        FROM comments GROUP BY user_id""",
     "a3_daily_posts": _DAILY.format(where=""),
     "a3_daily_posts_recent": _DAILY.format(where=_RECENT),
     "a4_row_span": "SELECT count(*) AS total_rows, min(created_at) AS first_write, max(created_at) AS last_write FROM comments",

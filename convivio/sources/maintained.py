@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import zero_if_null
+from ..session import path_exists
 from . import merges
 
 _LONG = T.LongType()
@@ -86,7 +87,7 @@ def apply_batch(spark: SparkSession, base: str, batch: Batch, batch_id: int | st
     """Bring the tables and statistics under `base` up to date by one batch."""
     stage = f"{base}/changes/batch-{batch_id}"
     changes = {}
-    if not merges.path_exists(spark, f"{stage}/done/_SUCCESS"):
+    if not path_exists(spark, f"{stage}/done/_SUCCESS"):
         touched = {}
         for name, (schema, key) in TABLES.items():
             none = spark.createDataFrame([], schema)

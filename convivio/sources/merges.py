@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from ..functions.scalars import shard_of
 from ..operators.maintenance import apply_counters, upsert_posts
 from ..schema import POSTS_READ_MODEL, SHARDS
-from ..session import durable, scratch_path
+from ..session import durable, path_exists, scratch_path
 
 Fold = Callable[[DataFrame, DataFrame], DataFrame]
 
@@ -41,11 +41,6 @@ def shard_of_key(schema: T.StructType, key: str, shards: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(shards).cast("long"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def mark(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

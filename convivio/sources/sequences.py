@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ranks import number_rows
-from .merges import path_exists
+from ..session import path_exists
 
 _LEDGER = "first long, count long, batch_id string"
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import shard_of
 from ..schema import SHARDS
+from ..session import path_exists
 
 
 def scan(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -36,6 +37,18 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     return path
 
 
+def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+    """Add a batch of rows and return how many were written, without a second pass.
+
+    They are counted in the tasks that write, each of which commits once, so retried tasks and lost shuffle files do
+    not count twice.
+    """
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("append").partitionBy(*partition_by).parquet(path)
+    return seen.get["rows"]
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Insert-select: cast to the table's types, add absent columns as null, fix the order."""
     present = set(df.columns)
@@ -119,3 +132,24 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType | None =
     reader = spark.read.option("multiLine", True)
     docs = (reader if schema is None else reader.schema(schema)).json(path)
     return docs.select("*", F.col("_metadata.file_name").alias("file_name"))
+
+
+def read_expected(spark: SparkSession, folder: str, files: Mapping[str, str]) -> DataFrame:
+    """One row for each expected document: name, payload, available, broken.
+
+    `files` gives the file of each name. A file that is not there, or does not hold JSON, has a null payload and is not available;
+    the latter is marked as broken. An empty file counts as not there. A byte-order mark is accepted. The folder itself may be missing.
+    """
+    wanted = spark.createDataFrame(list(files.items()), "name string, file string")
+    if not path_exists(spark, folder):
+        return wanted.select("name", F.lit(None).cast("string").alias("payload"), F.lit(False).alias("available"),
+                             F.lit(False).alias("broken"))
+    listed = spark.read.format("binaryFile").load(folder)
+    there = listed.select(F.element_at(F.split("path", "/"), -1).alias("file"),
+                          F.try_validate_utf8(F.col("content").cast("string")).alias("text"))
+    there = there.withColumn("text", F.regexp_replace("text", "^\ufeff", ""))
+    whole = F.when(F.try_parse_json("text").isNotNull(), F.col("text"))
+    found = there.select("file", whole.alias("payload"), F.lit(True).alias("_there"))
+    return wanted.join(found, "file", "left").select(
+        "name", "payload", F.col("payload").isNotNull().alias("available"),
+        (F.coalesce("_there", F.lit(False)) & F.col("payload").isNull()).alias("broken"))
