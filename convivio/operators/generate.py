@@ -223,6 +223,48 @@ def exact_likes(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Co
                       moment_before(as_of, draw(F.col(key), "likes/created", seed), days).alias("created_at"))
 
 
+PAIR_ROUNDS = 4
+
+
+def _permuted_pair(ids: DataFrame, number: Column, firsts: int | Column, seconds: int | Column, stream: str,
+                   seed: int) -> DataFrame:
+    """`ids` with `_first` (0..firsts - 1) and `_second` (0..seconds - 1) of the pair with this number; numbers start at 1.
+
+    A keyed permutation of all pairs: the number's quotient and remainder are shifted in turn, each by a draw
+    that follows from the other. Every shift can be undone, so different numbers give different pairs, for any two sizes and without
+    a shuffle. A number beyond the pairs there are raises an error.
+    """
+    a, b = [(n if isinstance(n, Column) else F.lit(n)).cast("long") for n in (firsts, seconds)]
+    at = F.when(number.between(F.lit(1), a * b), number.cast("long") - 1).otherwise(
+        F.raise_error(F.lit("more pairs asked for than there are")).cast("long"))
+    pairs = ids.withColumn("_at", at)
+    pairs = pairs.withColumn("_first", F.call_function("div", F.col("_at"), b)).withColumn("_second", F.col("_at") % b)
+    for n in range(PAIR_ROUNDS):
+        # Remainders are taken first, so that no sum can overflow.
+        pairs = pairs.withColumn("_first", (F.col("_first") + draw(F.col("_second"), f"{stream}/first{n}", seed) % a) % a)
+        pairs = pairs.withColumn("_second", (F.col("_second") + draw(F.col("_first"), f"{stream}/second{n}", seed) % b) % b)
+    return pairs.drop("_at")
+
+
+def random_followers(ids: DataFrame, max_user_id: int | Column, as_of: Column, seed: int = 42, key: str = "id",
+                     days: int = 60) -> DataFrame:
+    """One edge per id, all different and none to oneself, spread like random draws; ids as in `exact_followers`."""
+    total = (max_user_id if isinstance(max_user_id, Column) else F.lit(max_user_id)).cast("long")
+    pairs = _permuted_pair(ids.select(key), F.col(key), total, total - 1, "follows", seed)
+    return pairs.select((F.col("_first") + 1).alias("follower_id"),
+                        ((F.col("_first") + 1 + F.col("_second")) % total + 1).alias("following_id"),
+                        moment_before(as_of, draw(F.col(key), "follows/created", seed), days).alias("created_at"))
+
+
+def random_likes(ids: DataFrame, max_post_id: int | Column, max_user_id: int | Column, as_of: Column, seed: int = 42,
+                 key: str = "id", days: int = 30) -> DataFrame:
+    """One like per id, all different, spread like random draws, with the id as like id; ids as in `exact_likes`."""
+    pairs = _permuted_pair(ids.select(key), F.col(key), max_post_id, max_user_id, "likes", seed)
+    return pairs.select(F.col(key).cast("long").alias("like_id"), (F.col("_first") + 1).alias("post_id"),
+                        (F.col("_second") + 1).alias("user_id"),
+                        moment_before(as_of, draw(F.col(key), "likes/created", seed), days).alias("created_at"))
+
+
 def sample_parent(children: DataFrame, child_key: str, parents: DataFrame, parent_key: str,
                   name: str, seed: int = 42) -> DataFrame:
     """Give each child a random existing parent.

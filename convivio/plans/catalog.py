@@ -254,6 +254,18 @@ def _(t):
     return generate.exact_likes(_ids(t, "events", "event_id", "id"), posts, _user_total(t), moment(EVENTS_AS_OF))
 
 
+@query("g4_random")
+def _(t):
+    """As many different edges as there are ids, spread like random draws."""
+    return generate.random_followers(_ids(t, "events", "event_id", "id"), _user_total(t), moment(EVENTS_AS_OF))
+
+
+@query("g5_random")
+def _(t):
+    posts = t.accounts.select(F.count(F.lit(1))).scalar()
+    return generate.random_likes(_ids(t, "events", "event_id", "id"), posts, _user_total(t), moment(EVENTS_AS_OF))
+
+
 @query("g6_random_time")
 def _(t):
     drawn = draws.draw(F.col("user_id"), "time")
@@ -295,6 +307,14 @@ def _(t):
     return joins.user_profile_with_posts(found, t.posts)
 
 
+@query("f2_filtered_lookup")
+def _(t):
+    """The same from a table with a Bloom filter on the name."""
+    path = tables.write_lookup_table(t.users, _fresh(t, "lookup"), "username", 200_000)
+    found = filters.point_lookup(tables.scan(t.spark, path), "username", "Customer#000000007")
+    return joins.user_profile_with_posts(found, t.posts)
+
+
 @query("f3_key_range")
 def _(t):
     chosen = filters.key_range(t.users, "user_id", 1, 100)
@@ -1018,6 +1038,13 @@ def _(t):
     return outbox.read_model(t.spark, path, *snapshot)
 
 
+@query("t1_layout_feed")
+def _(t):
+    """A user's newest posts from files in the order of user and moment."""
+    path = tables.write_feed_layout(t.posts, _fresh(t, "feed"), 16)
+    return ordering.user_feed(tables.read_feed_layout(t.spark, path, 7), 7)
+
+
 @query("t1_model_feed")
 def _(t):
     """A user's feed from the projected read model."""

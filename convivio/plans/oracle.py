@@ -210,6 +210,15 @@ def _place(row_id: str) -> str:
     return f"CASE WHEN {one} THEN {names[0]} WHEN {two} THEN {names[1]} ELSE {names[2]} END"
 
 
+def _permuted(source: str, stream: str) -> str:
+    """Pairs (l, r) of the numbers `id` of a source that has the sizes a and b."""
+    sql = f"SELECT *, (id - 1) // b AS l, (id - 1) % b AS r FROM ({source})"
+    for n in range(generate.PAIR_ROUNDS):
+        sql = f"SELECT * REPLACE ((l + {drawn_sql('r', f'{stream}/first{n}')} % a) % a AS l) FROM ({sql})"
+        sql = f"SELECT * REPLACE ((r + {drawn_sql('l', f'{stream}/second{n}')} % b) % b AS r) FROM ({sql})"
+    return sql
+
+
 POSTS_AS_OF = "2001-08-01 00:00:00"
 EVENTS_AS_OF = "2024-02-01 00:00:00"
 
@@ -295,6 +304,12 @@ def _generators() -> dict[str, str]:
             SELECT *, ((id - 1) % m + {drawn_sql('turn', 'likes/turn')} % m) % m + 1 AS post_id FROM (
                 SELECT event_id + 1 AS id, event_id // m AS turn, n, m
                 FROM n_users, (SELECT count(*) AS m FROM supplier), events))""",
+        "g4_random": f"""SELECT l + 1 AS follower_id, (l + 1 + r) % a + 1 AS following_id,
+                {_before(EVENTS_AS_OF, e('follows/created'), 60)} AS created_at FROM (
+            {_permuted("SELECT event_id + 1 AS id, n AS a, n - 1 AS b FROM n_users, events", "follows")})""",
+        "g5_random": f"""SELECT id AS like_id, l + 1 AS post_id, r + 1 AS user_id,
+                {_before(EVENTS_AS_OF, e('likes/created'), 30)} AS created_at FROM (
+            {_permuted("SELECT event_id + 1 AS id, m AS a, n AS b FROM n_users, (SELECT count(*) AS m FROM supplier), events", "likes")})""",
         "g6_random_time": f"SELECT user_id, {_before(EVENTS_AS_OF, drawn_sql('user_id', 'time'), 90)} AS at FROM users",
         "g7_tag_sample": f"""SELECT post_id, {_words('post_id', 'tag', generate.HASHTAGS,
             _between(drawn_sql('post_id', 'size'), 2, 4))} AS tags FROM posts""",
@@ -417,6 +432,8 @@ PLAIN = {
     "f1_pruned_lookup": "SELECT * FROM users WHERE user_id = 1",
     "f2_text_lookup": """SELECT u.user_id, u.username, u.full_name, count(p.post_id) AS post_count FROM users u
         LEFT JOIN posts p ON u.user_id = p.user_id WHERE u.username = 'Customer#000000007' GROUP BY ALL""",
+    "f2_filtered_lookup": """SELECT u.user_id, u.username, u.full_name, count(p.post_id) AS post_count FROM users u
+        LEFT JOIN posts p ON u.user_id = p.user_id WHERE u.username = 'Customer#000000007' GROUP BY ALL""",
     "f3_key_range": _stats("WHERE u.user_id BETWEEN 1 AND 100"),
     "f4_in_list": "SELECT * FROM user_counters WHERE user_id IN (1, 2)",
     "f5_like": """SELECT * FROM users WHERE username LIKE 'Customer#00000001%'
@@ -506,6 +523,7 @@ PLAIN = {
         ORDER BY full_name <> 'BUILDING', username, user_id) AS row_number FROM users""",
     "w2_number_likes": """SELECT post_id, user_id, created_at, row_number() OVER (ORDER BY post_id, user_id) AS like_id
         FROM post_likes""",
+    "t1_layout_feed": "SELECT * FROM posts WHERE user_id = 7 ORDER BY created_at DESC, post_id LIMIT 20",
     "t1_user_feed": "SELECT * FROM posts WHERE user_id = 7 ORDER BY created_at DESC, post_id LIMIT 20",
     "t2_all_feeds": """SELECT post_id, user_id, location, like_count, created_at FROM (SELECT *, row_number() OVER (
         PARTITION BY user_id ORDER BY created_at DESC, post_id) AS rn FROM posts) WHERE rn <= 20""",

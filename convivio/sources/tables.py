@@ -88,6 +88,38 @@ def read_hash_layout_key(spark: SparkSession, path: str, key: str, value: int,
     return scan(spark, path).filter((F.col("shard") == value % shards) & (F.col(key) == value))
 
 
+def write_lookup_table(df: DataFrame, path: str, column: str, distinct_rows: int, row_group_bytes: int = 32 * 2**20) -> str:
+    """A table with a Bloom filter on one column in every row group, for lookups of single values such as names.
+
+    A lookup by equality then skips the row groups whose filter rules the value out, in whatever order the rows lie.
+    `distinct_rows` is the number of different values expected in a row group; the filter takes some ten bits for each.
+    """
+    (df.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{column}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{column}", str(distinct_rows))
+        .option("parquet.block.size", str(row_group_bytes)).parquet(path))
+    return path
+
+
+def write_feed_layout(df: DataFrame, path: str, files: int, user: str = "user_id", at: str = "created_at") -> str:
+    """Rows ordered by user and newest first, in `files` folders that follow each other, with an index of their users.
+
+    The moment is part of the order, so a user with very many rows is spread over several files, newest ones in the first.
+    """
+    ranged = df.repartitionByRange(files, F.col(user), F.col(at).desc()).sortWithinPartitions(F.col(user), F.col(at).desc())
+    ranged.withColumn("part", F.spark_partition_id()).write.mode("errorifexists").partitionBy("part").parquet(f"{path}/rows")
+    index = scan(df.sparkSession, f"{path}/rows").groupBy("part").agg(
+        F.min(user).alias("low"), F.max(user).alias("high"), F.count(F.lit(1)).alias("rows"))
+    index.coalesce(1).write.mode("errorifexists").parquet(f"{path}/index")
+    return path
+
+
+def read_feed_layout(spark: SparkSession, path: str, value: int, user: str = "user_id") -> DataFrame:
+    """The rows of one user; the index names the few folders to list, no other file is opened."""
+    held = scan(spark, f"{path}/index").filter(F.lit(value).between(F.col("low"), F.col("high"))).select("part").collect()
+    parts = [r["part"] for r in held]
+    return scan(spark, f"{path}/rows").filter(F.col("part").isin(parts) & (F.col(user) == value)).drop("part")
+
+
 def read_since(spark: SparkSession, path: str, since: Column, at: str = "created_at") -> DataFrame:
     """Rows at or after `since` from a month layout; earlier months are pruned."""
     months = F.col("created_month").cast("string") >= F.date_format(since, "yyyyMM")
