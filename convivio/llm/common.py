@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,25 @@ def without_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame
     return df.join(sized(ids), key, "left_anti")
 
 
+def sheltered(df: DataFrame, used: Sequence[str], own: Iterable[str]) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The columns an operator reads, apart from all others, and how to put its result together again.
+
+    The narrow table has `used` and, if there are others, one struct `_rest` of them, so that an operator's helper columns can
+    have any names. The second value takes a result that kept `_rest`, and its columns to add: it selects all input columns but
+    those named like the operator's own, in their order, and then the added ones.
+    """
+    kept = [c for c in df.columns if c.lower() not in {o.lower() for o in own}]
+    others = [c for c in kept if c not in used]
+    rest = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest")] if others else []
+    narrow = df.select(*[F.col(f"`{c}`") for c in used if c in df.columns], *rest)
+
+    def back(out: DataFrame, *added: Column | str) -> DataFrame:
+        columns = [F.col("_rest").getField(c).alias(c) if c in others else F.col(f"`{c}`") for c in kept]
+        return out.select(*columns, *added)
+
+    return narrow, back
+
+
 def fresh(df: DataFrame, *wanted: str) -> str | list[str]:
     """Helper column names that the table does not have, as near to the wanted ones as can be."""
     taken, names = {c.lower() for c in df.columns}, []

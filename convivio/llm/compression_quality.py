@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import sheltered
+
 DICT_ROWS, DICT_CHARS, FIT_ROWS = 800, 20_000, 6_000
 DICT_BYTES, PIECE, LEVEL = 64 * 1024, 2048, 3
 THRESHOLD = 0.3
@@ -146,9 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """Every document with held_out, score (likelihood of label 1) and predicted."""
-    own = {"held_out", "score", "predicted", "_m"}
-    df = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in own],
-                     _measure(model.good, model.bad)("text").alias("_m"))
+    narrow, back = sheltered(docs, ["doc_id", "text"], ["held_out", "score", "predicted"])
+    df = narrow.withColumn("_m", _measure(model.good, model.bad)("text"))
     raw = F.col("_m.raw").cast("double")
     a = ((F.col("_m.bad") - F.col("_m.good")) / raw - model.centre[0]) / model.scale[0]
     b = (F.log(F.col("_m.good") / raw) - model.centre[1]) / model.scale[1]
@@ -159,6 +160,5 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     else:
         likely = F.lit(None).cast("double")
     out = df.withColumn("score", F.coalesce(likely, F.lit(model.prior)))
-    return out.select(*[f"`{c}`" for c in df.columns if c != "_m"],
-                      F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(True)).alias("held_out"), "score",
-                      (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return back(out, F.coalesce(fold_of(F.col("doc_id")) == 0, F.lit(True)).alias("held_out"), "score",
+                (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -2,9 +2,11 @@
 
 A small tree builder tokenises the page, closes elements that HTML closes by implication (a paragraph before a
 block, a list item before the next, table rows and cells), and marks what is not shown: script, style, head and the
-like, `hidden`, `aria-hidden=true`, `display:none` and `visibility:hidden`. Rendering keeps one blank line between
-paragraph-like blocks and one line break between other blocks, marks list items, indents nested lists, keeps
-preformatted text, and pads table cells to aligned columns.
+like, `hidden`, `display:none` and `visibility:hidden`. Rendering keeps one blank line between
+paragraph-like blocks and one line break between other blocks, marks list items with their numbers, indents nested lists, keeps
+preformatted text, and pads table cells to aligned columns, over columns and rows that a cell spans; a cell
+may have several lines. Building takes time linear in the page, for any depth: open elements are found by their tag. Neither
+building nor rendering recurses; inner tables are laid out before the tables around them.
 
 Defined results: a null page gives an empty text. Unclosed tags, comments and unknown entities do not fail; text
 outside any element is kept. Repeated rows are rendered alike. An empty table gives an empty result. Extra columns
@@ -14,6 +16,7 @@ pass through; the operator's own columns replace columns of the same name.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from html import unescape
 
 import pandas as pd
@@ -47,10 +50,17 @@ _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
 class Element:
-    __slots__ = ("tag", "shown", "inside", "mark")
+    __slots__ = ("tag", "shown", "inside", "mark", "given", "lines")
 
-    def __init__(self, tag: str, shown: bool = True):
-        self.tag, self.shown, self.inside, self.mark = tag, shown, [], "- "
+    def __init__(self, tag: str, shown: bool = True, given: dict[str, str] | None = None):
+        self.tag, self.shown, self.inside, self.mark, self.given = tag, shown, [], "- ", given or {}
+        # A table's text, once it is laid out.
+        self.lines: list[str] = []
+
+    def number(self, name: str, default: int, least: int, most: int) -> int:
+        """A whole-number attribute within bounds."""
+        found = re.match(r"\s*([+-]?[0-9]{1,9})", self.given.get(name, ""))
+        return max(least, min(most, int(found.group(1)))) if found else default
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -62,32 +72,49 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _seen(tag: str, attributes: str) -> bool:
-    if tag in UNSEEN:
-        return False
-    found = _attributes(attributes) if attributes.strip() else {}
-    return not ("hidden" in found or found.get("aria-hidden", "").strip().lower() == "true"
-                or _STYLE.search(found.get("style", "")))
+def _seen(tag: str, found: dict[str, str]) -> bool:
+    return not (tag in UNSEEN or "hidden" in found or _STYLE.search(found.get("style", "")))
+
+
+class Path:
+    """The open elements, and for each tag the depths at which it is open."""
+
+    def __init__(self, root: Element):
+        self.open, self.depths = [root], {}
+
+    def push(self, element: Element) -> None:
+        self.depths.setdefault(element.tag, []).append(len(self.open))
+        self.open.append(element)
+
+    def cut(self, depth: int) -> None:
+        """Close the element at a depth and all in it."""
+        for element in self.open[depth:]:
+            self.depths[element.tag].pop()
+        del self.open[depth:]
+
+    def nearest(self, tag: str) -> int:
+        """The depth of the innermost open element of a tag, 0 if there is none."""
+        found = self.depths.get(tag)
+        return found[-1] if found else 0
+
+    def end(self, tags: tuple[str, ...], stops: tuple[str, ...]) -> None:
+        """Close the outermost open element of `tags` inside the nearest of `stops`."""
+        stop, outer = max(map(self.nearest, stops), default=0), []
+        for tag in tags:
+            held = self.depths.get(tag, ())
+            at = bisect_right(held, stop)
+            outer += held[at:at + 1]
+        if outer:
+            self.cut(min(outer))
 
 
 def build(page: str) -> Element:
     """The tree of elements and texts."""
     root = Element("html")
-    path = [root]
+    place = Path(root)
+    path = place.open
     # Open svg and math elements, by their depth.
     foreign: list[int] = []
-
-    def end(tags: tuple[str, ...], stops: tuple[str, ...]) -> None:
-        """Close the outermost open element of `tags` inside the nearest of `stops`."""
-        found = None
-        for depth in range(len(path) - 1, 0, -1):
-            if path[depth].tag in tags:
-                found = depth
-            elif path[depth].tag in stops:
-                break
-        if found is not None:
-            del path[found:]
-
     at = 0
     while at < len(page):
         token = _TOKEN.search(page, at)
@@ -105,25 +132,30 @@ def build(page: str) -> Element:
             # A form between the parts of a table holds nothing.
             continue
         if closing:
-            for depth in range(len(path) - 1, 0, -1):
-                if path[depth].tag == tag:
-                    del path[depth:]
-                    break
+            if place.nearest(tag):
+                place.cut(place.nearest(tag))
             continue
         if tag in ENDS:
-            end(ENDS[tag], SCOPE[tag])
+            place.end(ENDS[tag], SCOPE[tag])
         if tag in BLOCK and tag not in ("html", "body"):
-            end(("p",), ("td", "th", "table", "button", "object"))
+            place.end(("p",), ("td", "th", "table", "button", "object"))
         if tag == "html" and path[-1] is root:
             continue
         if tag in ("td", "th") and path[-1].tag in ("table", *SECTIONS):
             row = Element("tr")
             path[-1].inside.append(row)
-            path.append(row)
+            place.push(row)
         while foreign and (foreign[-1] >= len(path) or path[foreign[-1]].tag not in FOREIGN):
             foreign.pop()
         within = path[foreign[-1]].tag if foreign else None
-        element = Element(tag, _seen(tag, token.group(3)) and not (within and tag in FOREIGN[within]))
+        given = _attributes(token.group(3)) if token.group(3).strip() else {}
+        element = Element(tag, _seen(tag, given) and not (within and tag in FOREIGN[within]),
+                          given if tag in ("ol", "li", "td", "th") else None)
+        if tag == "optgroup" and given.get("label"):
+            # A line of its own, as an option has.
+            label = Element("option")
+            label.inside.append(given["label"])
+            element.inside.append(label)
         path[-1].inside.append(element)
         if (within or tag in FOREIGN) and token.group(3).endswith("/"):
             continue
@@ -136,7 +168,7 @@ def build(page: str) -> Element:
                 element.inside.append(unescape(inner) if tag == "textarea" else inner)
             at = close.end()
         elif tag not in VOID:
-            path.append(element)
+            place.push(element)
     return root
 
 
@@ -182,45 +214,87 @@ class Layout:
         return "".join(self.parts).strip("\n")
 
 
-def _rows(table: Element) -> list[Element]:
-    rows = []
-    for x in table.inside:
-        if isinstance(x, Element) and x.shown:
-            rows += [x] if x.tag == "tr" else _rows(x) if x.tag in SECTIONS else []
-    return rows
-
-
-def _strays(part: Element) -> list[Element | str]:
-    """What stands between the rows of a table or section."""
-    found: list[Element | str] = []
-    for x in part.inside:
+def _parts(table: Element) -> tuple[list[Element], list[Element | str]]:
+    """The rows of a table, and what stands between them."""
+    rows, strays, stack = [], [], table.inside[::-1]
+    while stack:
+        x = stack.pop()
         if isinstance(x, str):
-            found += [x] if x.strip() else []
+            strays += [x] if x.strip() else []
+        elif not x.shown:
+            continue
         elif x.tag in SECTIONS:
-            found += _strays(x) if x.shown else []
-        elif x.tag != "tr":
-            found.append(x)
-    return found
-
-
-def _table(table: Element, layout: Layout) -> None:
-    """Cells of one column start at the same place; a cell is one line."""
-    for x in _strays(table):
-        _render(x, layout, False, 0)
-        layout.line(1)
-    grid = []
-    for row in _rows(table):
-        cells = [x for x in row.inside if not isinstance(x, str) or x.strip()]
-        grid.append([_BLANKS.sub(" ", rendered(x)) if isinstance(x, Element) else x.strip() for x in cells])
+            stack += x.inside[::-1]
+        elif x.tag == "tr":
+            rows.append(x)
+        else:
+            strays.append(x)
+    return rows, strays
+
+
+class Cell:
+    __slots__ = ("column", "span", "lines")
+
+    def __init__(self, column: int, span: int, lines: list[str]):
+        self.column, self.span, self.lines = column, span, lines
+
+
+def _grid(rows: list[Element]) -> list[list[Cell]]:
+    """The cells of each row in their columns; a cell that spans rows keeps its columns from later rows."""
+    grid, held = [], []
+    for number, row in enumerate(rows):
+        # (first column, end column, end row) of cells from rows above, from the left.
+        held = sorted(h for h in held if h[2] > number)
+        cells, column, new, left = [], 0, [], list(reversed(held))
+        for x in row.inside:
+            if isinstance(x, str) and not x.strip() or not isinstance(x, str) and not x.shown:
+                continue
+            spans = (1, 1) if isinstance(x, str) else (x.number("colspan", 1, 1, 1000), x.number("rowspan", 1, 0, 65534))
+            while left and left[-1][0] <= column:
+                column = max(column, left.pop()[1])
+            lines = [x.strip()] if isinstance(x, str) else rendered(x).split("\n")
+            cells.append(Cell(column, spans[0], [line.rstrip() for line in lines]))
+            if spans[1] != 1:
+                new.append((column, column + spans[0], number + (spans[1] or len(rows))))
+            column += spans[0]
+        held += new
+        grid.append(cells)
+    return grid
+
+
+def _table_lines(table: Element) -> list[str]:
+    """A table's text: cells of one column start at the same place."""
+    rows, strays = _parts(table)
+    out = [line for x in strays for line in rendered(x).split("\n")]
+    grid = _grid(rows)
+    # The last cell of a row may be longer than its column.
+    inner = [cell for cells in grid for cell in cells[:-1]]
     widths: dict[int, int] = {}
-    for row in grid:
-        for n, cell in enumerate(row[:-1]):
-            widths[n] = max(widths.get(n, 0), len(cell))
-    for row in grid:
-        line = "  ".join(cell.ljust(widths.get(n, 0)) if n < len(row) - 1 else cell for n, cell in enumerate(row)).rstrip()
-        if line:
-            layout.text(line, True)
-        layout.line(1)
+    for cell in inner:
+        if cell.span == 1:
+            widths[cell.column] = max(widths.get(cell.column, 0), max(map(len, cell.lines)))
+    for cell in inner:
+        if cell.span > 1:
+            last = cell.column + cell.span - 1
+            room = sum(widths[c] + 2 for c in range(cell.column, last) if c in widths) + widths.get(last, 0)
+            widths[last] = widths.get(last, 0) + max(0, max(map(len, cell.lines)) - room)
+    used = sorted({cell.column for cells in grid for cell in cells})
+    starts, place, at = {}, 0, 0
+    for column in used:
+        while at < column:
+            # Columns in which nothing begins or ends take no room.
+            place += widths[at] + 2 if at in widths else 0
+            at += 1
+        starts[column] = place
+    for cells in grid:
+        for n in range(max((len(cell.lines) for cell in cells), default=0)):
+            line = ""
+            for cell in cells:
+                text = cell.lines[n] if n < len(cell.lines) else ""
+                line = line.ljust(starts[cell.column]) + text if text else line
+            if line or n:
+                out.append(line)
+    return out
 
 
 def _render(node: Element | str, layout: Layout, kept: bool, depth: int) -> None:
@@ -247,7 +321,10 @@ def _render(node: Element | str, layout: Layout, kept: bool, depth: int) -> None
         count = 2 if tag in SPACED and not (tag in ("ul", "ol") and depth) else 1 if tag in BLOCK or tag in LINES else 0
         if tag == "table":
             layout.line(2)
-            _table(node, layout)
+            for line in node.lines:
+                if line:
+                    layout.text(line, True)
+                layout.line(1 if line else 2)
             layout.line(2)
             continue
         indent, inner = None, depth
@@ -263,9 +340,12 @@ def _render(node: Element | str, layout: Layout, kept: bool, depth: int) -> None
                 layout.indent = "  " * depth
             stack.append((None, kept, depth, (count, indent)))
         if tag == "ol":
-            items = (x for x in node.inside if isinstance(x, Element) and x.tag == "li" and x.shown)
-            for number, item in enumerate(items, start=1):
-                item.mark = f"{number}. "
+            number = node.number("start", 1, -10**9, 10**9)
+            for item in node.inside:
+                if isinstance(item, Element) and item.tag == "li" and item.shown:
+                    number = item.number("value", number, -10**9, 10**9)
+                    item.mark = f"{number}. "
+                    number += 1
         as_is = kept or tag in ("pre", "textarea", "xmp")
         stack.extend((x, as_is, inner, None) for x in reversed(node.inside))
 
@@ -276,8 +356,24 @@ def rendered(node: Element) -> str:
     return layout.result()
 
 
+def _lay_out_tables(root: Element) -> None:
+    """The text of all tables that are shown, inner ones first."""
+    tables, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if node.tag == "table":
+            tables.append(node)
+        stack.extend(x for x in node.inside if not isinstance(x, str) and x.shown)
+    for table in reversed(tables):
+        table.lines = _table_lines(table)
+
+
 def visible_text(page: str | None) -> str:
-    return rendered(build(page)) if page else ""
+    if not page:
+        return ""
+    root = build(page)
+    _lay_out_tables(root)
+    return rendered(root)
 
 
 @F.pandas_udf(T.StringType())

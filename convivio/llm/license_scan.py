@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .common import ascii_lower
+from .common import ascii_lower, sheltered
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Phrases of the base scan, with their labels.
@@ -181,11 +181,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, rarest: int = RAREST, least_share
 
     The score is the largest agreeing share of a verified template, or a half if only a base phrase stands.
     """
-    own = {"text", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"}
+    own = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     vocab = vocabulary(templates)
-    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in own]
+    narrow, back = sheltered(docs, ["doc_id", "text"], own)
+    kept = [c for c in narrow.columns if c != "text"]
     # A projection of its own, so that the words are taken once for all uses.
-    split = docs.select(*kept, F.xxhash64("text").alias("_key"),
+    split = narrow.select(*kept, F.xxhash64("text").alias("_key"),
                         words_of(F.coalesce(ascii_lower(F.col("text")), F.lit(""))).alias("_words"))
     index = durable(split.select(*kept, "_key", F.size("_words").cast("long").alias("n_words"),
                                  places_of("_words", vocab).alias("_hits"),
@@ -199,8 +200,9 @@ def scan(docs: DataFrame, templates=TEMPLATES, rarest: int = RAREST, least_share
     joined = df.join(found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
     labels = F.array_sort(F.array_distinct(F.concat("_base", F.coalesce("_found", F.array().cast("array<string>")))))
     least = F.when(F.size("_base") > 0, 0.5).otherwise(0.0)
-    return joined.select(
-        *kept, "n_words", F.size("_starts").cast("long").alias("n_base"),
+    out = joined.select(
+        *kept, F.lit(None).cast("string").alias("text"), "n_words", F.size("_starts").cast("long").alias("n_base"),
         F.array_min("_starts").cast("long").alias("first_word"), F.array_max("_starts").cast("long").alias("last_word"),
         F.array_join("_base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
         F.greatest(F.coalesce("_share", F.lit(0.0)), least).alias("score"))
+    return back(out, *own).drop("text")

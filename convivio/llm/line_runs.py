@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranks import number_rows
 from ..session import durable
-from .common import WORD
+from .common import WORD, sheltered
 
 MIN_LINES, MIN_CHARS = 3, 24
 _KEY = ["_id", "_key"]
@@ -41,7 +41,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     marked = F.transform(F.split("text", "\n"), lambda line, no: F.struct(no.alias("no"), line.alias("line")))
     worded = F.filter(marked, lambda e: e["line"].rlike(WORD))
     packed = F.transform(worded, lambda e: F.struct(
-        e["no"].alias("no"), F.xxhash64(e["line"]).alias("h1"), F.xxhash64(e["line"], F.lit(1)).alias("h2"),
+        e["no"].alias("no"), F.xxhash64(e["line"]).alias("h1"), F.xxhash64(F.lit(1), e["line"]).alias("h2"),
         F.length(e["line"]).alias("chars")))
     return _keyed(docs).select(*_KEY, F.posexplode(packed).alias("seq", "e")).select(
         *_KEY, "seq", "e.no", "e.h1", "e.h2", "e.chars")
@@ -90,16 +90,14 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int =
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
     """Every document with its text without later copies, n_lines, n_cut and n_runs."""
-    own = {"n_lines", "n_cut", "n_runs"}
-    kept = [c for c in docs.columns if c.lower() not in own]
-    cuts = durable(repeated_lines(docs, min_lines, min_chars))
-    joined = _keyed(docs.select(*[F.col(f"`{c}`") for c in kept])).join(cuts, _KEY, "left")
+    narrow, back = sheltered(docs, ["doc_id", "text"], ["n_lines", "n_cut", "n_runs"])
+    cuts = durable(repeated_lines(narrow.select("doc_id", "text"), min_lines, min_chars))
+    joined = _keyed(narrow).join(cuts, _KEY, "left")
     lines = F.split("text", "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("cut"))
     text = F.when(F.col("cut").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(left, lambda no: F.get(lines, no)), "\n"))
     count = F.when(F.col("text").isNotNull(), F.size(lines)).otherwise(0)
-    return joined.select(
-        *[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in kept], count.cast("long").alias("n_lines"),
-        F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias("n_cut"),
-        F.coalesce("n_runs", F.lit(0)).cast("long").alias("n_runs"))
+    out = joined.withColumn("n_lines", count.cast("long")).withColumn("text", text)
+    return back(out, "n_lines", F.coalesce(F.size("cut"), F.lit(0)).cast("long").alias("n_cut"),
+                F.coalesce("n_runs", F.lit(0)).cast("long").alias("n_runs"))

@@ -14,7 +14,7 @@ When a source has no blocks left its slots stay empty; the others keep their pla
 
 Defined results: sources without a weight, and null, form one class that shares the weight `rest`. Every row
 gets a slot, none is dropped. Rows are dealt in the order of md5(doc_id), then doc_id, then text; equal rows
-take consecutive places. An empty table gives an empty result. Extra columns pass through; the operator's own
+take consecutive places, and rows without an id are dealt by a hash of text and source. An empty table gives an empty result. Extra columns pass through; the operator's own
 columns replace columns of the same name.
 """
 
@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
+from .common import sheltered
 
 # Target weights: one dominant source is cut back to an eighth, the others share the remainder evenly.
 WEIGHTS = {"src0": 0.125} | {f"src{n}": 0.045 for n in range(1, 20)}
@@ -85,9 +86,11 @@ def interleave(docs: DataFrame, weights: dict[str, float] | None = None, rest: f
         raise ValueError("the empty name is not a source")
     own = {"mix_class", "mix_number", "mix_block", "mix_slot", "mix_place"}
     slots = cycle_slots(whole_parts(weights, rest, cycle))
-    named = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in own],
-                        _class_of(F.col(source), list(weights)).alias("mix_class"))
-    mark = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(""))
+    narrow, back = sheltered(docs, ["doc_id", source, "text"], own)
+    named = narrow.withColumn("mix_class", _class_of(F.col(source), list(weights)))
+    # Rows without an id are spread by what else they hold.
+    other = F.md5(F.xxhash64(*[F.col(c) for c in ("text", source) if c in docs.columns]).cast("string").cast("binary"))
+    mark = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), other)
     # The leading digits of the order are the range: ranges follow one another, and each fits one task.
     width = (ranges - 1).bit_length()
     span = F.shiftright(F.coalesce(F.conv(F.substring(mark, 1, 8), 16, 10).cast("long"), F.lit(0).cast("long")), 32 - width)
@@ -101,7 +104,7 @@ def interleave(docs: DataFrame, weights: dict[str, float] | None = None, rest: f
     offsets = offsets.withColumnsRenamed({"mix_class": "_class", "_range": "_r"})
     number = numbered.join(F.broadcast(offsets), (F.col("_range") == F.col("_r")) & F.col("mix_class").eqNullSafe(F.col("_class")))
     block = F.floor(F.col("mix_number") / block_rows)
-    return (number.withColumn("mix_number", F.col("_before") + F.col("_at")).withColumn("mix_block", block)
-            .withColumn("mix_slot", schedule(F.col("mix_block"), F.col("mix_class"), slots))
-            .withColumn("mix_place", F.col("mix_number") % block_rows)
-            .drop("_mark", "_range", "_at", "_class", "_r", "_before"))
+    out = (number.withColumn("mix_number", F.col("_before") + F.col("_at")).withColumn("mix_block", block)
+           .withColumn("mix_slot", schedule(F.col("mix_block"), F.col("mix_class"), slots))
+           .withColumn("mix_place", F.col("mix_number") % block_rows))
+    return back(out, "mix_class", "mix_number", "mix_block", "mix_slot", "mix_place")

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD
+from .common import WORD, sheltered
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_bangs")
 STATS = T.StructType([T.StructField(name, T.LongType()) for name in COUNTS])
@@ -211,4 +211,5 @@ def judge(docs: DataFrame, rules: list[Rule], min_words: int = MIN_WORDS,
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return judge(docs, learn_rules(docs, labels)).filter("kept").select(*[f"`{c}`" for c in docs.columns])
+    narrow, back = sheltered(docs, ["doc_id", "text"], [])
+    return back(judge(narrow, learn_rules(narrow, labels)).filter("kept"))

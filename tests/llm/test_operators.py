@@ -308,7 +308,7 @@ def test_op3_hard_rows(spark, hard):
     ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "- a\n- b\n  - c\n- d"),
     ("<ol><li><p>x</p><li>y</ol>", "1. x\n\n2. y"),
     ("<table><tr><th>n<th>long name<tr><td>1000<td>b</table>", "n     long name\n1000  b"),
-    ("<div hidden>no</div><p style='display: none'>no</p><span aria-hidden=true>no</span>yes", "yes"),
+    ("<div hidden>no</div><p style='display: none'>no</p><span aria-hidden=true>shown</span> yes", "shown yes"),
     ("<title>t</title><script>var x='<p>';</script><style>p{}</style>seen<!-- <p>not</p> -->", "seen"),
     ("<pre>a\n  b</pre>", "a\n  b"), ("<p>unclosed <i>tags", "unclosed tags"), ("<p>a</p>\n\n<p>b</p>", "a\n\nb"),
     ("x" + "<div>" * 3000 + "deep", "x\ndeep"), ("a < b && c", "a < b && c"), ("<p title='a>b'>q</p>", "q"),
