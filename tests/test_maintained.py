@@ -10,7 +10,7 @@ from convivio.operators import joins
 from convivio.sources import maintained, merges
 
 POST, LIKE, EDGE = "post_id long, user_id long", "post_id long, user_id long", "following_id long, follower_id long"
-SHARDS = 8
+SHARDS = 4
 
 
 def frames(spark, posts, likes, edges):
@@ -28,7 +28,7 @@ def test_random_batches(spark, tmp_path, rows):
     base, draw = str(tmp_path), random.Random(3)
     users = spark.range(20).select(F.col("id").alias("user_id"), F.concat(F.lit("u"), "id").alias("username"))
     posts, likes, edges = {}, set(), set()
-    for number in range(5):
+    for number in range(3):
         gone_posts = draw.sample(sorted(posts), len(posts) // 4)
         gone_likes = draw.sample(sorted(likes), len(likes) // 5)
         gone_edges = draw.sample(sorted(edges), len(edges) // 5)

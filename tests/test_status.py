@@ -67,6 +67,6 @@ def test_saga_stream_matches_the_batch_fold(spark, tmp_path, rows):
     base, want = str(tmp_path), m.fold_sagas(events)
     for part in (events.filter(F.col("seq") > 0), events.filter("seq = 0"), events):
         tables.append(part, f"{base}/events")
-        stream = status.read_events(spark, f"{base}/events", events.schema, max_files=1)
+        stream = status.read_events(spark, f"{base}/events", events.schema, max_files=100)
         status.start_sagas(stream, f"{base}/table", f"{base}/checkpoint", 8).awaitTermination()
     assert rows(merges.read_shards(spark, f"{base}/table", want.schema)) == rows(want)
