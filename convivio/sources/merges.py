@@ -95,16 +95,19 @@ def merge(path: str, batch: DataFrame, key: str, schema: T.StructType, fold: Fol
     done = f"{path}/_merges/batch-{batch_id}.done"
     if batch_id is not None and path_exists(spark, done):
         return Merged([], 0)
-    batch = durable(batch.filter(F.col(key).isNotNull()))
-    touched = touched_shards(batch, key, shards)
-    rows = 0
-    if touched:
-        stage = scratch_path(spark, "merge") if batch_id is None else f"{path}/_merges/batch-{batch_id}"
-        if not path_exists(spark, f"{stage}/_SUCCESS"):
-            merged = fold(read_shards(spark, path, schema, touched), batch)
-            placed = merged.withColumn("shard", shard_of_key(merged.schema, key, shards))
-            placed.write.mode("overwrite").parquet(stage)
-        rows = publish(spark, stage, path, touched)
+    stage = scratch_path(spark, "merge") if batch_id is None else f"{path}/_merges/batch-{batch_id}"
+    if not path_exists(spark, f"{stage}/_SUCCESS"):
+        batch = durable(batch.filter(F.col(key).isNotNull()))
+        touched = touched_shards(batch, key, shards)
+        # Stored with the stage, so that a repeated call swaps in what was staged, whatever batch it is given.
+        listed = spark.createDataFrame([(shard,) for shard in touched], "shard long")
+        listed.coalesce(1).write.mode("overwrite").parquet(f"{stage}-touched")
+        merged = fold(read_shards(spark, path, schema, touched), batch)
+        placed = merged.withColumn("shard", shard_of_key(merged.schema, key, shards))
+        placed.write.mode("overwrite").parquet(stage)
+    else:
+        touched = sorted(r["shard"] for r in spark.read.schema("shard long").parquet(f"{stage}-touched").collect())
+    rows = publish(spark, stage, path, touched) if touched else 0
     if batch_id is not None:
         mark(spark, done)
     return Merged(touched, rows)
