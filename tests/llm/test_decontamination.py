@@ -17,10 +17,10 @@ def exact(index, words):
 @pytest.mark.parametrize("size", [5, 14, 60, 150, 300, 600])
 def test_recall_up_to_the_bound(size):
     draw = np.random.default_rng(size)
-    items = [(n, zipf(draw, size)) for n in range(40)]
+    items = [(n, zipf(draw, size)) for n in range(24)]
     index, want, got = decontaminate.Index(items, 0.2), 0, 0
     for n, item in items:
-        for share in (0.2, 0.2, 0.1):
+        for share in (0.2, 0.1):
             words = zipf(draw, 60) + edited(draw, item, int(share * size)) + zipf(draw, 60)
             all_, found = exact(index, words), {x[0] for x in index.matches(" ".join(words))}
             assert found <= all_ and n in all_
