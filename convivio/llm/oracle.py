@@ -29,6 +29,7 @@ def _urls() -> str:
     rules = sorted(u.RULES, key=lambda r: (-len(r[1] + r[2]), r[1], r[2]))
     fits = [f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')" for _, h, p in rules]
     rule = " ".join(f"WHEN {f} THEN '{h}{p}'" for f, (_, h, p) in zip(fits, rules))
+    shared = ", ".join(f"'{name}'" for name in u.SHARED_SUFFIXES)
     said = " ".join(f"WHEN {f} THEN '{v}'" for f, (v, _, _) in zip(fits, rules))
     return f"""
         WITH parts AS (
@@ -51,8 +52,13 @@ def _urls() -> str:
                    least(greatest(CASE WHEN k > 1 AND spread - p * (1.0 - p) * inverse / k > 0
                                        THEN (p * (1.0 - p) - spread) / (spread - p * (1.0 - p) * inverse / k)
                                        ELSE {u.UNKNOWN} END, {u.WEAKEST}), {u.STRONGEST}) AS strength FROM moments),
-        seen AS (SELECT *, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-                        string_split(host, '.')[-1] AS suffix FROM hosts),
+        names AS (SELECT *, regexp_replace(host, ':[0-9]*$', '') AS name FROM hosts),
+        ends AS (SELECT *, array_to_string(string_split(name, '.')[-2:], '.') AS last_two,
+                        regexp_matches(name, '{u.IP_HOST}') AS address FROM names),
+        seen AS (SELECT host, n, good, CASE WHEN address THEN name WHEN last_two IN ({shared})
+                            THEN array_to_string(string_split(name, '.')[-3:], '.') ELSE last_two END AS domain,
+                        CASE WHEN address THEN '{u.IP_SUFFIX}' WHEN last_two IN ({shared}) THEN last_two
+                             ELSE string_split(name, '.')[-1] END AS suffix FROM ends),
         suffixes AS (SELECT suffix, (sum(good) + any_value(strength * share)) / (sum(n) + any_value(strength)) AS above
                      FROM seen, prior GROUP BY suffix),
         domains AS (SELECT domain, (sum(good) + any_value(strength * above)) / (sum(n) + any_value(strength)) AS mean

@@ -2,7 +2,9 @@
 
 Labelled page outcomes are counted per host. The strength of the beta prior is fitted to all hosts by moments
 (the spread of the hosts' good shares beyond what binomial draws explain). The share of all pages shrinks each
-suffix, the suffix its registered domains (the last two names), and the domain its hosts.
+suffix, the suffix its registered domains, and the domain its hosts. A registered domain is the last two names of a host,
+or the last three if the last two are a known public suffix such as `co.uk`; that is then the suffix. An IP address is a
+domain of its own, and all addresses share one suffix. A port takes no part.
 A host is blocked when the lower posterior bound of its good share (mean minus `z` deviations) is too low.
 Explicit rules come first: the rule with the longest host and path that fits decides.
 
@@ -11,7 +13,7 @@ one row per host, so that Spark can split the hot join partition.
 
 Defined results: a null url, or one without `://`, has empty host and path, and the reputation of the empty
 host. Hosts without labelled pages inherit from their domain, suffix or the whole. Null labels are ignored;
-without any label nothing is blocked by reputation. Repeated pages are judged alike; of several labels for one id
+without any label nothing is blocked by reputation. Labels name pages by their id (`labels.doc_id` is a page_id). Repeated pages are judged alike; of several labels for one id
 the lowest counts. Extra columns pass through.
 """
 
@@ -32,6 +34,23 @@ WEAKEST, STRONGEST, UNKNOWN = 2.0, 200.0, 20.0
 Z, LEAST_GOOD = 1.0, 0.6
 
 
+# Public suffixes of two names, under which sites have different owners.
+SHARED_SUFFIXES = [f"{kind}.{land}" for land in ("uk", "au", "nz", "za", "jp", "kr", "in", "br", "mx", "tr", "cn", "tw", "hk", "sg", "il")
+                   for kind in ("co", "com", "org", "net", "ac", "edu", "gov", "ne", "or")] + [
+    "github.io", "gitlab.io", "blogspot.com", "wordpress.com", "tumblr.com", "herokuapp.com", "netlify.app", "vercel.app",
+    "pages.dev", "web.app", "appspot.com", "cloudfront.net", "amazonaws.com", "azurewebsites.net"]
+IP_HOST, IP_SUFFIX = r"^([0-9]+(\.[0-9]+){3}|\[.*\])$", "(address)"
+
+
+def domain_and_suffix(host: Column) -> tuple[Column, Column]:
+    """The registered domain and the public suffix of a host."""
+    name = F.regexp_replace(host, ":[0-9]*$", "")
+    last_two = F.substring_index(name, ".", -2)
+    shared, address = last_two.isin(SHARED_SUFFIXES), name.rlike(IP_HOST)
+    domain = F.when(address, name).when(shared, F.substring_index(name, ".", -3)).otherwise(last_two)
+    return domain, F.when(address, IP_SUFFIX).when(shared, last_two).otherwise(F.substring_index(name, ".", -1))
+
+
 def host_of(url: Column) -> Column:
     """After the first `://` up to `/`, `?`, `#` or the end, A-Z lower-cased."""
     rest = F.substring_index(F.substring_index(F.substring_index(_rest(url), "/", 1), "?", 1), "#", 1)
@@ -77,8 +96,8 @@ def prior(outcomes: DataFrame) -> DataFrame:
 def reputation(hosts: DataFrame, z: float = Z) -> DataFrame:
     """Posterior of each host: (host, n, good, rate, bound); `hosts` has (host, n, good), one row per host."""
     base = prior(hosts)
-    seen = hosts.select("host", "n", "good", F.substring_index("host", ".", -2).alias("domain"),
-                        F.substring_index("host", ".", -1).alias("suffix"))
+    domain, suffix = domain_and_suffix(F.col("host"))
+    seen = hosts.select("host", "n", "good", domain.alias("domain"), suffix.alias("suffix"))
     strength = base.select("strength").scalar()
     shrink = lambda g, n, mean: (F.col(g) + strength * mean) / (F.col(n) + strength)
     counted = lambda key: seen.groupBy(*key).agg(F.sum("n").alias("_n"), F.sum("good").alias("_g"))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from convivio.llm import (compression_quality, decontaminate, html_text, license_scan, line_runs, mixing,
                           near_duplicates, personal_data, quality_rules, url_reputation)
@@ -546,6 +547,26 @@ def test_op10_hard_urls(spark):
     assert {r.verdict for r in none} == {"allow"}
 
 
+def test_op10_registered_domains(spark):
+    hosts = {"a.b.example.org": ("example.org", "org"), "www.shop.co.uk": ("shop.co.uk", "co.uk"), "shop.co.uk:8080": ("shop.co.uk", "co.uk"),
+             "co.uk": ("co.uk", "co.uk"), "10.0.0.1": ("10.0.0.1", "(address)"), "10.0.0.1:80": ("10.0.0.1", "(address)"),
+             "[::1]:443": ("[::1]", "(address)"), "me.github.io": ("me.github.io", "github.io"), "localhost:": ("localhost", "localhost"),
+             "": ("", ""), "1.2.3": ("2.3", "3")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    domain, suffix = url_reputation.domain_and_suffix(F.col("host"))
+    assert {r.host: (r.d, r.s) for r in df.select("host", domain.alias("d"), suffix.alias("s")).collect()} == hosts
+
+
+def test_op10_addresses_and_long_urls(spark):
+    """An address does not inherit from another that ends alike; empty and very long urls are judged."""
+    urls = [f"http://10.0.{n}.1/{k}" for n in range(3) for k in range(4)] + ["http://a.co.uk/", "http://b.co.uk/", "http://" + "x" * 100_000 + ".com/" + "y" * 100_000]
+    pages = spark.createDataFrame([(n, u, "r", 1) for n, u in enumerate(urls)], "page_id long, url string, rule string, _good int")
+    labels = spark.createDataFrame([(n, int(n >= 4)) for n in range(13)], "doc_id long, quality int")
+    got = {r.page_id: r for r in url_reputation.judge_urls(pages, labels).collect()}
+    assert len(got) == len(urls) and got[0].bound < got[4].bound and got[14].host == "x" * 100_000 + ".com"
+    assert url_reputation.judge_urls(pages.limit(0), labels).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_sql(spark, data, name):
     assert compare(spark, connect(data), data, QUERIES[name], oracle_sql()[name])["problems"] == {}
