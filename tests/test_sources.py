@@ -175,3 +175,22 @@ def test_shared_folder_is_required_off_local():
     for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master)))
+
+
+def test_merged_partitions_are_bounded(spark, data):
+    """AQE merges at most 16 MiB of a shuffle into a task, and a large folder is cut into enough partitions for that."""
+    merged, first = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(merged)
+    session._FOLDER_BYTES["/pretend-6"] = 6 * 2**30
+    try:
+        spark.conf.set(merged, "64MB")
+        session.prepare(spark, data)
+        assert spark.conf.get(merged) == str(16 * 2**20) and spark.conf.get(first, None) is None
+        spark.conf.set(merged, "1MB")
+        session.bound_tasks(spark, "/pretend-6")
+        assert spark.conf.get(merged) == "1MB" and spark.conf.get(first) == "384"
+        session.bound_tasks(spark, data)
+        assert spark.conf.get(first) == "384"
+    finally:
+        spark.conf.set(merged, before)
+        spark.conf.unset(first)
