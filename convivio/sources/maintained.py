@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import zero_if_null
-from ..session import path_exists
+from ..session import durable, path_exists
 from . import merges
 
 _LONG = T.LongType()
@@ -90,8 +90,10 @@ def apply_batch(spark: SparkSession, base: str, batch: Batch, batch_id: int | st
     if not path_exists(spark, f"{stage}/done/_SUCCESS"):
         touched = {}
         for name, (schema, key) in TABLES.items():
-            none = spark.createDataFrame([], schema)
-            added, deleted = batch.added.get(name, none).select(*schema.names), batch.deleted.get(name, none).select(*key)
+            none = merges.no_rows(spark, schema)
+            # Stored before they are read twice, so that whatever makes a batch's rows runs once.
+            added, deleted = [durable(rows[name].select(*names)) if name in rows else none.select(*names)
+                              for rows, names in ((batch.added, schema.names), (batch.deleted, key))]
             touched[name] = merges.touched_shards(added.select(key[0]).unionByName(deleted.select(key[0])), key[0], shards)
             stored = merges.read_shards(spark, f"{base}/{name}", schema, touched[name])
             signed_changes(stored, added, deleted, key).write.mode("overwrite").parquet(f"{stage}/{name}")
@@ -101,7 +103,8 @@ def apply_batch(spark: SparkSession, base: str, batch: Batch, batch_id: int | st
         change = stats_change(posts, likes, changes["posts"], changes["likes"], changes["edges"])
         change.write.mode("overwrite").parquet(f"{stage}/stats")
         spark.range(0).write.mode("overwrite").parquet(f"{stage}/done")
-    merges.merge(f"{base}/stats", spark.read.schema(STATS).parquet(f"{stage}/stats"), "user_id", STATS, _add_counts, shards, batch_id)
+    summed = spark.read.schema(STATS).parquet(f"{stage}/stats")
+    merges.merge(f"{base}/stats", summed, "user_id", STATS, _add_counts, shards, batch_id, stored=True)
     for name, (schema, key) in TABLES.items():
         def renew(current: DataFrame, change: DataFrame, key=key) -> DataFrame:
             gone = change.filter("sign < 0").select(*key)
@@ -109,7 +112,7 @@ def apply_batch(spark: SparkSession, base: str, batch: Batch, batch_id: int | st
             return left.unionByName(change.filter("sign > 0").select(*current.columns))
 
         change = spark.read.schema(T.StructType([*schema.fields, T.StructField("sign", _LONG)])).parquet(f"{stage}/{name}")
-        merges.merge(f"{base}/{name}", change, key[0], schema, renew, shards, batch_id)
+        merges.merge(f"{base}/{name}", change, key[0], schema, renew, shards, batch_id, stored=True)
 
 
 def maintained_stats(spark: SparkSession, base: str, users: DataFrame) -> DataFrame:

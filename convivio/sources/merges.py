@@ -59,10 +59,15 @@ def touched_shards(keys: DataFrame, key: str, shards: int) -> list[int]:
     return sorted(r[0] for r in found)
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that Catalyst knows to be empty, so that joins with it are planned away."""
+    return spark.range(0).filter(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def read_shards(spark: SparkSession, path: str, schema: T.StructType, touched: Sequence[int] | None = None) -> DataFrame:
     """The table without its shard column, or the rows of some shards; a table not yet written is empty."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return no_rows(spark, schema)
     rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("shard", T.LongType())])).parquet(path)
     if touched is not None:
         rows = rows.filter(F.col("shard").isin(list(touched)))
@@ -86,10 +91,11 @@ def publish(spark: SparkSession, stage: str, path: str, touched: Sequence[int] =
 
 
 def merge(path: str, batch: DataFrame, key: str, schema: T.StructType, fold: Fold, shards: int = SHARDS,
-          batch_id: int | str | None = None) -> Merged:
+          batch_id: int | str | None = None, stored: bool = False) -> Merged:
     """Replace the touched shards by fold(their rows, the batch).
 
-    `fold` must keep every row's key. Batch rows with a null key are left out.
+    `fold` must keep every row's key. Batch rows with a null key are left out. The batch is read more than once, so it is
+    stored first, unless it is `stored` already.
     """
     spark = batch.sparkSession
     done = f"{path}/_merges/batch-{batch_id}.done"
@@ -97,7 +103,8 @@ def merge(path: str, batch: DataFrame, key: str, schema: T.StructType, fold: Fol
         return Merged([], 0)
     stage = scratch_path(spark, "merge") if batch_id is None else f"{path}/_merges/batch-{batch_id}"
     if not path_exists(spark, f"{stage}/_SUCCESS"):
-        batch = durable(batch.filter(F.col(key).isNotNull()))
+        batch = batch.filter(F.col(key).isNotNull())
+        batch = batch if stored else durable(batch)
         touched = touched_shards(batch, key, shards)
         # Stored with the stage, so that a repeated call swaps in what was staged, whatever batch it is given.
         listed = spark.createDataFrame([(shard,) for shard in touched], "shard long")

@@ -87,3 +87,21 @@ def test_a_shard_that_becomes_empty(spark, tmp_path):
     gone = spark.createDataFrame([(1,), (2,)], "post_id long")
     maintained.apply_batch(spark, base, maintained.Batch({}, {"posts": gone}), 1, SHARDS)
     assert merges.read_shards(spark, f"{base}/posts", maintained.POSTS).count() == 0
+
+
+def test_a_batch_is_worked_out_once(spark, tmp_path):
+    """The rows of a batch are made once, whatever reads them; a table not yet written leaves no join in the plan."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(part):
+        for row in part:
+            seen.add(1)
+            yield row
+
+    posts = spark.createDataFrame(spark.sparkContext.parallelize([(n, n % 3) for n in range(50)], 2).mapPartitions(counted), POST)
+    maintained.apply_batch(spark, str(tmp_path), maintained.Batch({"posts": posts}, {}), 0, SHARDS)
+    assert seen.value == 50
+    assert merges.read_shards(spark, f"{tmp_path}/posts", maintained.POSTS).count() == 50
+    none = merges.read_shards(spark, f"{tmp_path}/absent", maintained.POSTS)
+    changes = maintained.signed_changes(none, posts, none.select("post_id"), ["post_id"])
+    assert none.schema == maintained.POSTS and "Join" not in changes._jdf.queryExecution().optimizedPlan().toString()
