@@ -1,5 +1,6 @@
 """Status folds as streams: late and repeated events, restarts, and plans without a sort."""
 
+import os
 import random
 
 import pytest
@@ -70,3 +71,12 @@ def test_saga_stream_matches_the_batch_fold(spark, tmp_path, rows):
         stream = status.read_events(spark, f"{base}/events", events.schema, max_files=100)
         status.start_sagas(stream, f"{base}/table", f"{base}/checkpoint", 8).awaitTermination()
     assert rows(merges.read_shards(spark, f"{base}/table", want.schema)) == rows(want)
+
+
+def test_state_is_written_without_lookups(spark, tmp_path):
+    """The state store counts no rows, which costs a look-up for each write, and commits changes instead of snapshots."""
+    base = str(tmp_path)
+    tables.append(spark.createDataFrame(log(10), LOG), f"{base}/events")
+    run(spark, base, status.start_transactions)
+    found = [f for _, _, files in os.walk(f"{base}/checkpoint/state") for f in files]
+    assert any(f.endswith(".changelog") for f in found) and not any(f.endswith(".zip") for f in found)
