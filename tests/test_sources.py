@@ -194,3 +194,16 @@ def test_merged_partitions_are_bounded(spark, data):
     finally:
         spark.conf.set(merged, before)
         spark.conf.unset(first)
+
+
+def test_insert_ignore_runs_with_bounded_partitions(spark, data):
+    """The registered query lowers a session's larger size, and its plan is made under the lower one."""
+    from convivio.plans.catalog import REGISTRY
+    merged = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(merged)
+    try:
+        spark.conf.set(merged, "64MB")
+        assert REGISTRY["m1_insert_ignore"](spark, data).columns == ["follower_id", "following_id", "created_at"]
+        assert spark.conf.get(merged) == str(16 * 2**20)
+    finally:
+        spark.conf.set(merged, before)
