@@ -207,3 +207,29 @@ def test_insert_ignore_runs_with_bounded_partitions(spark, data):
         assert spark.conf.get(merged) == str(16 * 2**20)
     finally:
         spark.conf.set(merged, before)
+
+
+def test_large_folders_are_read_in_bounded_splits(spark, data, tmp_path, monkeypatch):
+    """The insert-ignore query of a folder of 40 pieces reads tables in 40 splits at least, so that map tasks aggregate few rows."""
+    from convivio.plans.catalog import REGISTRY
+    splits, cost = "spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes"
+    keys = (splits, cost, "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = [spark.conf.get(k, None) for k in keys]
+    path, piece = str(tmp_path / "rows"), 16 * 2**20
+    spark.range(400_000).coalesce(1).write.option("parquet.block.size", str(2**16)).parquet(path)
+    try:
+        spark.conf.unset(splits)
+        spark.conf.set(cost, "1")
+        monkeypatch.setitem(session._FOLDER_BYTES, str(data).rstrip("/"), 40 * piece)
+        REGISTRY["m1_insert_ignore"](spark, data)
+        read = tables.scan(spark, path).rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert len(read) >= 40 and sum(read) == 400_000 and max(read) < 400_000 / 10
+        monkeypatch.setitem(session._FOLDER_BYTES, "/pretend-6t", 6 * 2**40)
+        session.bound_tasks(spark, "/pretend-6t")
+        assert spark.conf.get(splits) == "2000"
+        spark.conf.set(splits, "3000")
+        session.bound_tasks(spark, "/pretend-6t")
+        assert spark.conf.get(splits) == "3000"
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
